@@ -1,6 +1,6 @@
 """The registered queries and their SQL twins."""
 
-from airgrid.catalog import cleaning  # noqa: F401
+from airgrid.catalog import cleaning, modelling_tables  # noqa: F401
 from airgrid.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
