@@ -100,9 +100,10 @@ def add_dataset_columns(
     lags: Sequence[int] = config.TARGET_LAGS,
     keys: Sequence[str] = ("station",),
     ts: str = "ts",
+    cell: sequence.Cell = sequence.month_cell,
 ) -> DataFrame:
     """What cleaning adds to the data set: target lags, hour and month on circles."""
-    lagged = add_lags(df, target, lags, keys, ts)
+    lagged = add_lags(df, target, lags, keys, ts, cell)
     return lagged.withColumns(moments.cyclic_columns(F.col(ts)))
 
 

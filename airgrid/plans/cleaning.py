@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airgrid import config
-from airgrid.operators import align, features, quality
+from airgrid.operators import align, features, quality, sequence
 
 
 @dataclass(frozen=True)
@@ -31,27 +31,32 @@ def clean_readings(
     period: tuple[str, str] = (config.EXCLUDED_START, config.EXCLUDED_END),
     gap_hours: float = config.GAP_HOURS,
     rules: Sequence[str] = quality.DEFAULT_RULES,
+    exact_times: bool = False,
 ) -> Cleaned:
     """All stations at once: clean values, align, apply the row rules, add features.
 
     ``readings`` is long: (station, variable, ts, value, arrival). Values are cleaned
-    before the alignment, where they are still one column.
+    before the alignment, where they are still one column. Times are taken to the full
+    hour; with ``exact_times`` they stay as they are, up to one row per second.
     """
     cleaned = quality.clean_values(readings)
-    aligned = align.align_hourly(
-        cleaned.select("station", "variable", "ts", F.col("clean_value").alias("value"), "arrival"),
-        variables,
+    to_align = cleaned.select(
+        "station", "variable", "ts", F.col("clean_value").alias("value"), "arrival"
     )
+    aligner = align.align if exact_times else align.align_hourly
+    cell = sequence.day_cell if exact_times else sequence.month_cell
+    aligned = aligner(to_align, variables)
     pollutants = [v for v in variables if v in config.POLLUTANTS]
     applied = [r for r in rules if exclude or r != quality.PERIOD]
     tagged = quality.tag_removals(
-        aligned, target, pollutants, applied, period=period, gap_hours=gap_hours
+        aligned, target, pollutants, applied, period=period, gap_hours=gap_hours,
+        cell=cell,
     )
     kept = tagged.filter("removed_by is null").drop("removed_by")
     return Cleaned(
-        dataset=features.add_dataset_columns(kept, target),
+        dataset=features.add_dataset_columns(kept, target, cell=cell),
         audit=quality.removal_audit(tagged, applied, ("station",)),
         anomalies=quality.anomaly_count(cleaned),
         completeness=quality.completeness(readings, variables),
-        gaps=quality.gap_blocks(aligned, pollutants, longer_than=gap_hours),
+        gaps=quality.gap_blocks(aligned, pollutants, longer_than=gap_hours, cell=cell),
     )

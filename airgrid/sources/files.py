@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import csv
-import os
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -182,7 +180,7 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     if not found:
         raise ValueError(f"no recognised file in {folder}")
     parts = [
-        wide_to_readings(scan_delimited(spark, unquote(row["path"])), row["variable"])
+        wide_to_readings(scan_delimited(spark, row["path"]), row["variable"])
         for row in sorted(found, key=lambda row: row["variable"])
     ]
     union = parts[0]
@@ -190,7 +188,3 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
         union = union.unionByName(part)
     return union
 
-
-def plain_path(path: str) -> str:
-    """A listed path as the operating system writes it."""
-    return os.path.normpath(unquote(path.removeprefix("file:")))
