@@ -300,8 +300,10 @@ def stack_parts(spark, sf):
 
 
 def _persistence(spark, sf):
-    lagged = fe.add_lags(v.series(spark, sf), "value", (1,), USER)
-    return lagged.select("user_id", "ts", F.col("value").alias("y"), F.col("value_lag_1h").alias("yhat"))
+    lagged = fe.add_lags(v.series(spark, sf), "value", (1,), USER, keep_position=True)
+    return lagged.select(
+        "user_id", "ts", "pos", "n_rows", F.col("value").alias("y"), F.col("value_lag_1h").alias("yhat")
+    )
 
 
 _FORECAST = f"forecast AS (SELECT *, lag(value) {OVER} AS yhat FROM {{source}})"
@@ -399,7 +401,7 @@ ROUNDS = tuple(range(1, 11))
 
 def _curves(spark, sf):
     """Learning curves by stand-in: round k scores the forecast of k + 1 rows ago."""
-    lagged = fe.add_lags(v.series(spark, sf), "value", ROUNDS, USER)
+    lagged = fe.add_lags(v.series(spark, sf), "value", ROUNDS, USER, keep_position=True)
     folds = splits.time_series_folds(lagged, USER)
     wide = folds.groupBy(
         (F.col("user_id") % 3).alias("target"), "fold", F.col("role").alias("split")

@@ -54,9 +54,11 @@ def add_lags(
     keys: Sequence[str] = ("station",),
     ts: str = "ts",
     cell: sequence.Cell = sequence.month_cell,
+    keep_position: bool = False,
 ) -> DataFrame:
     return sequence.over_rows(
-        df, keys, ts, max(lags), lambda w: lag_columns(column, lags, w), cell
+        df, keys, ts, max(lags), lambda w: lag_columns(column, lags, w), cell,
+        keep_position=keep_position,
     )
 
 

@@ -95,26 +95,28 @@ def over_rows(
     columns: Callable[[Window], Mapping[str, Column]],
     cell: Cell = month_cell,
     block_rows: int = BLOCK_ROWS,
+    keep_position: bool = False,
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows.
 
     ``columns`` gets the window (partition and order, no frame) and returns the
-    new columns by name. All of them share one exchange and one sort.
+    new columns by name. All of them share one exchange and one sort. With
+    ``keep_position`` the result has ``pos`` and ``n_rows`` as well, so that a split
+    of the same rows needs no second numbering.
     """
     if reach > block_rows:
         raise ValueError("a block must hold at least as many rows as the windows look back")
-    numbered = with_position(df, keys, order, cell, position="__pos", total="__total")
-    index = F.col("__pos") - 1
+    numbered = with_position(df, keys, order, cell)
+    index = F.col("pos") - 1
     block = F.floor(index / block_rows)
     is_tail = (index % block_rows) >= block_rows - reach
-    is_last = F.floor((F.col("__total") - 1) / block_rows) == block
+    is_last = F.floor((F.col("n_rows") - 1) / block_rows) == block
     targets = F.when(is_tail & ~is_last, F.array(block, block + 1)).otherwise(F.array(block))
     spread = numbered.withColumn("__home", block).withColumn("__block", F.explode(targets))
-    window = Window.partitionBy(*keys, "__block").orderBy("__pos")
+    window = Window.partitionBy(*keys, "__block").orderBy("pos")
+    extra = ["__home", "__block"] + ([] if keep_position else ["pos", "n_rows"])
     return (
-        spread.withColumns(dict(columns(window)))
-        .filter("__block = __home")
-        .drop("__pos", "__total", "__home", "__block")
+        spread.withColumns(dict(columns(window))).filter("__block = __home").drop(*extra)
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid import config
@@ -15,6 +15,13 @@ def train_rows(total: Column, ratio: float = config.TRAIN_RATIO) -> Column:
     return F.floor(total * F.lit(ratio))
 
 
+def _numbered(df: DataFrame, keys: Sequence[str], ts: str, cell: sequence.Cell) -> DataFrame:
+    """Rows with ``pos`` and ``n_rows``; a table that has them already is taken as it is."""
+    if {"pos", "n_rows"} <= set(df.columns):
+        return df
+    return sequence.with_position(df, keys, ts, cell)
+
+
 def chronological_split(
     df: DataFrame,
     keys: Sequence[str] = ("station",),
@@ -26,19 +33,20 @@ def chronological_split(
     """Add ``role``: the first rows of a series train, the rest test.
 
     With ``inner_ratio`` the training rows are cut again into ``fit`` and ``val``.
+    Existing columns ``pos`` and ``n_rows`` are used and consumed.
     """
-    numbered = sequence.with_position(df, keys, ts, cell, position="__pos", total="__total")
-    cut = train_rows(F.col("__total"), ratio)
+    numbered = _numbered(df, keys, ts, cell)
+    cut = train_rows(F.col("n_rows"), ratio)
     if inner_ratio is None:
-        role = F.when(F.col("__pos") <= cut, "train").otherwise("test")
+        role = F.when(F.col("pos") <= cut, "train").otherwise("test")
     else:
         inner = train_rows(cut, inner_ratio)
         role = (
-            F.when(F.col("__pos") <= inner, "fit")
-            .when(F.col("__pos") <= cut, "val")
+            F.when(F.col("pos") <= inner, "fit")
+            .when(F.col("pos") <= cut, "val")
             .otherwise("test")
         )
-    return numbered.withColumn("role", role).drop("__pos", "__total")
+    return numbered.withColumn("role", role).drop("pos", "n_rows")
 
 
 def fold_role(pos: Column, total: Column, fold: Column, folds: int) -> Column:
@@ -55,22 +63,26 @@ def time_series_folds(
     folds: int = config.FOLDS,
     cell: sequence.Cell = sequence.month_cell,
 ) -> DataFrame:
-    """One row per row and fold it takes part in, with ``fold`` (from 1) and ``role``."""
-    numbered = sequence.with_position(df, keys, ts, cell, position="__pos", total="__total")
+    """One row per row and fold it takes part in, with ``fold`` (from 1) and ``role``.
+
+    Existing columns ``pos`` and ``n_rows`` are used and consumed.
+    """
+    numbered = _numbered(df, keys, ts, cell)
     copies = numbered.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
-    role = fold_role(F.col("__pos"), F.col("__total"), F.col("fold"), folds)
-    return copies.withColumn("role", role).filter("role is not null").drop("__pos", "__total")
+    role = fold_role(F.col("pos"), F.col("n_rows"), F.col("fold"), folds)
+    return copies.withColumn("role", role).filter("role is not null").drop("pos", "n_rows")
 
 
 def split_ranges(split: DataFrame, keys: Sequence[str] = ("station",), ts: str = "ts") -> DataFrame:
-    """Per series and role: rows, first and last time, share of the series."""
+    """Per series and role: rows, first and last time, share of the series.
+
+    The window runs over the two or three result rows of a series.
+    """
     parts = split.groupBy(*keys, "role").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
-    totals = parts.groupBy(*keys).agg(F.sum("n_rows").alias("__total"))
-    return parts.join(totals, list(keys)).withColumn(
-        "share", F.col("n_rows") / F.col("__total")
-    ).drop("__total")
+    whole = Window.partitionBy(*keys)
+    return parts.withColumn("share", F.col("n_rows") / F.sum("n_rows").over(whole))
 
 
 def stack_parts(*parts: DataFrame) -> DataFrame:

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.operators import align, features, quality, sequence
+from airgrid.session import checkpointed
 
 
 @dataclass(frozen=True)
 class Cleaned:
-    """The results of one cleaning run; every part is a lazy table."""
+    """The results of one cleaning run; every part is a lazy table.
+
+    They read the aligned and the tagged rows, which are written once.
+    """
 
     dataset: DataFrame
     audit: DataFrame
@@ -45,12 +49,13 @@ def clean_readings(
     )
     aligner = align.align if exact_times else align.align_hourly
     cell = sequence.day_cell if exact_times else sequence.month_cell
-    aligned = aligner(to_align, variables)
+    aligned = checkpointed(aligner(to_align, variables))
     pollutants = [v for v in variables if v in config.POLLUTANTS]
     applied = [r for r in rules if exclude or r != quality.PERIOD]
-    tagged = quality.tag_removals(
-        aligned, target, pollutants, applied, period=period, gap_hours=gap_hours,
-        cell=cell,
+    tagged = checkpointed(
+        quality.tag_removals(
+            aligned, target, pollutants, applied, period=period, gap_hours=gap_hours, cell=cell
+        )
     )
     kept = tagged.filter("removed_by is null").drop("removed_by")
     return Cleaned(

@@ -12,6 +12,7 @@ from airgrid import config
 from airgrid.models import boosted, importance
 from airgrid.operators import features as fe
 from airgrid.operators import metrics, quality, schema, splits, stats
+from airgrid.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -30,11 +31,6 @@ class Trained:
     ends: DataFrame
     cross_validated: boosted.CrossValidated | None
     importance: DataFrame | None
-    rows: DataFrame
-
-    def release(self) -> None:
-        """Free the cached feature rows once the tables are written."""
-        self.rows.unpersist()
 
 
 def prepare(
@@ -79,52 +75,50 @@ def train(
     target and the pollutants the selection kept, each without other pollutants.
     Climatology and last times come from training rows, feature means from all rows.
     """
-    full = prepare(df, target, pollutants, keys, ts, exclude, engineer, exclude_current)
+    full = checkpointed(
+        prepare(df, target, pollutants, keys, ts, exclude, engineer, exclude_current)
+    )
     candidates = [c for c in schema.numeric_columns(full) if c not in (target, *keys)]
-    split = splits.chronological_split(full, keys, ts).persist()
-    try:
-        chosen, selection = boosted.select_features(
-            split.filter("role <> 'test'"), candidates, target, top
-        )
-        clean = quality.require_all(
-            split.select(*keys, ts, target, *chosen), [*chosen, target]
-        )
-        validated = None
-        if validate:
-            kept = [p for p in pollutants if p in clean.columns]
-            x = [c for c in chosen if c not in pollutants]
-            validated = boosted.cross_validate(
-                clean, kept, {p: x for p in kept}, keys, ts, folds, params
-            )
-        again = splits.chronological_split(clean, keys, ts)
-        rows = boosted.assemble(again, chosen, target).persist()
-        fit, val = rows.filter("role = 'fit'"), rows.filter("role = 'val'")
-        model = boosted.fit_boosted(fit, val, params)
-        predicted = boosted.predict(model.model, rows).drop(boosted.VECTOR)
-        part = F.when(F.col("role") == "test", "test").otherwise("train")
-        scores = metrics.regression_metrics(
-            predicted.withColumn("part", part), ("part",), boosted.LABEL, boosted.PREDICTION
+    split = checkpointed(splits.chronological_split(full, keys, ts))
+    chosen, selection = boosted.select_features(
+        split.filter("role <> 'test'"), candidates, target, top
+    )
+    clean = quality.require_all(
+        full.select(*keys, ts, target, *chosen), [*chosen, target]
+    )
+    validated = None
+    if validate:
+        kept = [p for p in pollutants if p in clean.columns]
+        x = [c for c in chosen if c not in pollutants]
+        validated = boosted.cross_validate(
+            clean, kept, {p: x for p in kept}, keys, ts, folds, params
         )
-        ranked = None
-        if repeats:
-            ranked = importance.permutation_importance(
-                model.model, rows.filter("role = 'test'"), chosen, [*keys, ts], repeats, sample
-            )
-        trained_rows = again.filter("role <> 'test'")
-        return Trained(
-            model=model,
-            features=chosen,
-            target=target,
-            selection=selection,
-            scores=scores,
-            predictions=predicted,
-            scaler=stats.scaler_stats(fit, chosen),
-            climatology=stats.climatology_wide(trained_rows, chosen, keys, ts),
-            means=clean.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in chosen]),
-            ends=trained_rows.groupBy(*keys).agg(F.max(ts).alias("last_train_ts")),
-            cross_validated=validated,
-            importance=ranked,
-            rows=rows,
+    again = checkpointed(splits.chronological_split(clean, keys, ts))
+    rows = boosted.assemble(again, chosen, target)
+    fit, val = rows.filter("role = 'fit'"), rows.filter("role = 'val'")
+    model = boosted.fit_boosted(fit, val, params)
+    predicted = boosted.predict(model.model, rows).drop(boosted.VECTOR)
+    part = F.when(F.col("role") == "test", "test").otherwise("train")
+    scores = metrics.regression_metrics(
+        predicted.withColumn("part", part), ("part",), boosted.LABEL, boosted.PREDICTION
+    )
+    ranked = None
+    if repeats:
+        ranked = importance.permutation_importance(
+            model.model, rows.filter("role = 'test'"), chosen, [*keys, ts], repeats, sample
         )
-    finally:
-        split.unpersist()
+    trained_rows = again.filter("role <> 'test'")
+    return Trained(
+        model=model,
+        features=chosen,
+        target=target,
+        selection=selection,
+        scores=scores,
+        predictions=predicted,
+        scaler=stats.scaler_stats(fit, chosen),
+        climatology=stats.climatology_wide(trained_rows, chosen, keys, ts),
+        means=clean.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in chosen]),
+        ends=trained_rows.groupBy(*keys).agg(F.max(ts).alias("last_train_ts")),
+        cross_validated=validated,
+        importance=ranked,
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -29,18 +29,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, one machine) a temporary folder stands in for it.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests,
+    one machine) a temporary folder stands in for it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    path = tempfile.mkdtemp(prefix="airgrid-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="airgrid-"))
+    return context.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -48,9 +48,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there.
+
+    For tables that several later steps read: each of them would otherwise compute
+    the whole way again, and a lost executor would too.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
