@@ -13,7 +13,7 @@ from airgrid.models import boosted, importance, shap
 from airgrid.operators import features as fe
 from airgrid.operators import metrics, quality, schema, splits, stats
 from airgrid.plans import scoring
-from airgrid.session import checkpointed
+from airgrid.session import stored
 
 QUICK = boosted.BoostParams(rounds=5, depth=3, rate=0.3)
 TARGET = "value"
@@ -21,7 +21,7 @@ IDS = ("user_id", "ts")
 
 
 def _features(spark, sf):
-    return checkpointed(fe.build_features(_with_weather(v.series(spark, sf)), [TARGET], USER))
+    return stored(fe.build_features(_with_weather(v.series(spark, sf)), [TARGET], USER))
 
 
 def _columns(df):
@@ -78,8 +78,8 @@ def multi_target(spark, sf):
     timed = wide.withColumns(fe.derived_columns(wide.columns, F.col("ts")))
     targets = ("view", "click")
     columns = [c for c in schema.numeric_columns(timed) if c not in (*v.VARIABLES, TARGET, "user_id")]
-    split = splits.chronological_split(checkpointed(timed), USER, inner_ratio=None)
-    train = checkpointed(split.filter("role = 'train'"))
+    split = splits.chronological_split(stored(timed), USER, inner_ratio=None)
+    train = stored(split.filter("role = 'train'"))
     result = boosted.fit_multi_target(
         train, columns, targets, USER, folds=2, batch=2,
         params=boosted.BoostParams(rounds=6, depth=3, rate=0.3),
@@ -161,7 +161,7 @@ SCENARIO_COLUMNS = (*config.WEATHER, "hora_sin", "hora_cos", "es_finde", "click"
 @query("score_scenarios")
 def score_scenarios(spark, sf):
     """Predictions, index and category for weather scenarios, one per event."""
-    hourly = checkpointed(v.hourly(spark, sf).filter(F.col("view").isNotNull()))
+    hourly = stored(v.hourly(spark, sf).filter(F.col("view").isNotNull()))
     weather = _with_weather(hourly.withColumn("value", F.col("view"))).withColumn(
         "Precipitacion", F.col("view") % 5
     )

@@ -12,7 +12,7 @@ from airgrid import config
 from airgrid.functions.labels import air_category, air_index, gauge_pointer
 from airgrid.operators import sequence
 
-PAIRS_PER_PASS = 300
+PAIRS_PER_PASS = 60
 
 
 def unfold(df: DataFrame, rows: list[Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -85,6 +85,17 @@ def top_variance(df: DataFrame, columns: Sequence[str], n: int = 20) -> DataFram
 # -- correlation -----------------------------------------------------------------------
 
 
+def pearson(a: str, b: str) -> Column:
+    """Aggregate: correlation over the rows that have both values.
+
+    NULL where a column does not vary on them; the built-in ``corr`` stops with a
+    division by zero there.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete correlation of every pair, lower triangle.
 
@@ -98,12 +109,12 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     out = None
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         part = pairs[start : start + PAIRS_PER_PASS]
-        wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
+        wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
         rows = [
             F.struct(
                 F.lit(a).alias("col_a"),
                 F.lit(b).alias("col_b"),
-                F.nanvl(F.col(f"r{i}"), F.lit(None).cast("double")).alias("r"),
+                F.col(f"r{i}").alias("r"),
             )
             for i, (a, b) in enumerate(part)
         ]
@@ -118,7 +129,7 @@ def pearson_listwise(df: DataFrame, columns: Sequence[str], minimum: int = 10) -
     pairs = list(combinations(columns, 2))
     wide = complete.agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        *[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
     )
     enough = F.col("__n") >= minimum
     rows = [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.operators import align, features, quality, sequence
-from airgrid.session import checkpointed
+from airgrid.session import stored
 
 
 @dataclass(frozen=True)
@@ -49,10 +49,10 @@ def clean_readings(
     )
     aligner = align.align if exact_times else align.align_hourly
     cell = sequence.day_cell if exact_times else sequence.month_cell
-    aligned = checkpointed(aligner(to_align, variables))
+    aligned = stored(aligner(to_align, variables))
     pollutants = [v for v in variables if v in config.POLLUTANTS]
     applied = [r for r in rules if exclude or r != quality.PERIOD]
-    tagged = checkpointed(
+    tagged = stored(
         quality.tag_removals(
             aligned, target, pollutants, applied, period=period, gap_hours=gap_hours, cell=cell
         )

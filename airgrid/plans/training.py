@@ -12,7 +12,7 @@ from airgrid import config
 from airgrid.models import boosted, importance
 from airgrid.operators import features as fe
 from airgrid.operators import metrics, quality, schema, splits, stats
-from airgrid.session import checkpointed
+from airgrid.session import stored
 
 
 @dataclass(frozen=True)
@@ -75,11 +75,11 @@ def train(
     target and the pollutants the selection kept, each without other pollutants.
     Climatology and last times come from training rows, feature means from all rows.
     """
-    full = checkpointed(
+    full = stored(
         prepare(df, target, pollutants, keys, ts, exclude, engineer, exclude_current)
     )
     candidates = [c for c in schema.numeric_columns(full) if c not in (target, *keys)]
-    split = checkpointed(splits.chronological_split(full, keys, ts))
+    split = stored(splits.chronological_split(full, keys, ts))
     chosen, selection = boosted.select_features(
         split.filter("role <> 'test'"), candidates, target, top
     )
@@ -93,7 +93,7 @@ def train(
         validated = boosted.cross_validate(
             clean, kept, {p: x for p in kept}, keys, ts, folds, params
         )
-    again = checkpointed(splits.chronological_split(clean, keys, ts))
+    again = stored(splits.chronological_split(clean, keys, ts))
     rows = boosted.assemble(again, chosen, target)
     fit, val = rows.filter("role = 'fit'"), rows.filter("role = 'val'")
     model = boosted.fit_boosted(fit, val, params)

@@ -48,13 +48,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the written table.
 
     For tables that several later steps read: each of them would otherwise compute
-    the whole way again, and a lost executor would too.
+    the whole way again, and so would a lost executor. A written table costs one pass
+    (a checkpoint computes its input twice) and is read back by column.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
