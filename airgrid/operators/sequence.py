@@ -27,6 +27,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airgrid.session import stored
+
 BLOCK_ROWS = 8192
 CELL_IDS = 65536
 
@@ -185,13 +187,14 @@ def with_known(
 def join_per_key(
     df: DataFrame, facts: DataFrame, keys: Sequence[str], spread: str, salts: int = 16
 ) -> DataFrame:
-    """Left-join one row of facts per key, with hot keys spread over ``salts`` tasks.
+    """Left-join one row of facts per key without a hot task and, if possible, a shuffle.
 
-    ``spread`` is a column that differs within a key. Only the facts, one row per
-    key, are copied.
+    The facts are written first, so that their size is known when the join is planned:
+    below ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts them and ``df``
+    stays where it is. Above it the join shuffles, with each key spread over ``salts``
+    tasks by ``spread``, a column that differs within a key; only the facts are copied.
     """
+    known = stored(facts, "facts")
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    copies = facts.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    copies = known.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "__salt"], "left").drop("__salt")

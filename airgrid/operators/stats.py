@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.functions.labels import air_category, air_index, gauge_pointer
 from airgrid.operators import sequence
+from airgrid.session import stored
 
 PAIRS_PER_PASS = 60
 
@@ -210,11 +211,11 @@ def lookup_climatology(
 ) -> DataFrame:
     """Add the climatological mean of each feature at the row's hour and month.
 
-    No broadcast hint: the table grows with the stations, and adaptive execution
-    broadcasts it where its measured size allows. The 288 (hour, month) groups spread
-    a hot station.
+    The table grows with the stations, so it is written first and Spark broadcasts it
+    only where its size allows; beyond that the 288 (hour, month) groups spread a hot
+    station over the join's tasks.
     """
-    table = wide.select(
+    table = stored(wide, "climatology").select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         F.col("hour").alias("__hour"),
         F.col("month").alias("__month"),
