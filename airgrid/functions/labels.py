@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,14 +11,19 @@ from pyspark.sql import functions as F
 from airgrid import config
 
 
-def _per_pollutant(pollutant: str | Column, choices: Mapping[str, Column], default: Column) -> Column:
-    """Pick a column by pollutant; a plain string is decided at plan time."""
+def _per_pollutant(
+    pollutant: str | Column,
+    tables: Mapping[str, Any],
+    build: Callable[[Any], Column],
+    default: Column,
+) -> Column:
+    """The column built from the pollutant's table; a plain string is decided at plan time."""
     if isinstance(pollutant, str):
-        return choices.get(pollutant, default)
+        return build(tables[pollutant]) if pollutant in tables else default
     chosen = None
-    for name, column in choices.items():
+    for name, table in tables.items():
         hit = pollutant == F.lit(name)
-        chosen = F.when(hit, column) if chosen is None else chosen.when(hit, column)
+        chosen = F.when(hit, build(table)) if chosen is None else chosen.when(hit, build(table))
     return default if chosen is None else chosen.otherwise(default)
 
 
@@ -45,17 +51,16 @@ def air_index(
     or below zero, scores 0; :func:`air_index_continuous` has no holes.
     An unknown pollutant or a missing value has no index.
     """
-    choices = {}
-    for name, parts in segments.items():
-        score = F.when(value.isNull(), F.lit(None).cast("double"))
+
+    def score(parts: Sequence[tuple[float, float, int, int]]) -> Column:
+        out = F.when(value.isNull(), F.lit(None).cast("double"))
         for c_lo, c_hi, i_lo, i_hi in parts:
-            line = F.lit(float(i_lo)) + (value - F.lit(c_lo)) * F.lit(float(i_hi - i_lo)) / F.lit(
-                c_hi - c_lo
-            )
-            score = score.when(value.between(F.lit(c_lo), F.lit(c_hi)), line)
-        score = score.when(value > F.lit(parts[-1][1]), F.lit(config.INDEX_CEILING))
-        choices[name] = score.otherwise(F.lit(0.0))
-    return _per_pollutant(pollutant, choices, F.lit(None).cast("double"))
+            line = (value - c_lo) * float(i_hi - i_lo) / (c_hi - c_lo) + float(i_lo)
+            out = out.when(value.between(c_lo, c_hi), line)
+        out = out.when(value > parts[-1][1], F.lit(config.INDEX_CEILING))
+        return out.otherwise(F.lit(0.0))
+
+    return _per_pollutant(pollutant, segments, score, F.lit(None).cast("double"))
 
 
 def _category(index: Column, part: int) -> Column:
@@ -86,17 +91,17 @@ def air_index_continuous(
     bounds: Mapping[str, Sequence[tuple[float, int]]] = config.CONTINUOUS_BOUNDS,
 ) -> Column:
     """Index that interpolates from one upper bound to the next; 500 above the last."""
-    choices = {}
-    for name, steps in bounds.items():
-        score = F.when(value.isNull(), F.lit(None).cast("double"))
+
+    def score(steps: Sequence[tuple[float, int]]) -> Column:
+        out = F.when(value.isNull(), F.lit(None).cast("double"))
         c_prev, i_prev = 0.0, 0
         for c_hi, i_hi in steps:
-            slope = F.lit(float(i_hi - i_prev)) / F.lit(c_hi - c_prev)
-            line = slope * (value - F.lit(c_prev)) + F.lit(float(i_prev))
-            score = score.when(value <= F.lit(c_hi), line)
+            slope = float(i_hi - i_prev) / (c_hi - c_prev)
+            out = out.when(value <= c_hi, (value - c_prev) * slope + float(i_prev))
             c_prev, i_prev = c_hi, i_hi
-        choices[name] = score.otherwise(F.lit(config.INDEX_CEILING))
-    return _per_pollutant(pollutant, choices, F.lit(None).cast("double"))
+        return out.otherwise(F.lit(config.INDEX_CEILING))
+
+    return _per_pollutant(pollutant, bounds, score, F.lit(None).cast("double"))
 
 
 def air_category_continuous(index: Column) -> Column:
@@ -104,13 +109,13 @@ def air_category_continuous(index: Column) -> Column:
 
 
 def aqi_label(pollutant: str | Column, value: Column) -> Column:
-    choices = {name: ladder(value, steps) for name, steps in config.AQI_LABELS.items()}
-    return _per_pollutant(pollutant, choices, F.lit(config.AQI_UNKNOWN))
+    unknown = F.lit(config.AQI_UNKNOWN)
+    return _per_pollutant(pollutant, config.AQI_LABELS, lambda s: ladder(value, s), unknown)
 
 
 def aqi_icon(pollutant: str | Column, value: Column) -> Column:
-    choices = {name: ladder(value, steps) for name, steps in config.AQI_ICONS.items()}
-    return _per_pollutant(pollutant, choices, F.lit(config.ICON_UNKNOWN))
+    unknown = F.lit(config.ICON_UNKNOWN)
+    return _per_pollutant(pollutant, config.AQI_ICONS, lambda s: ladder(value, s), unknown)
 
 
 def pm25_quality(value: Column) -> Column:
@@ -118,8 +123,7 @@ def pm25_quality(value: Column) -> Column:
 
 
 def unit_of(pollutant: str | Column) -> Column:
-    choices = {name: F.lit(unit) for name, unit in config.UNITS.items()}
-    return _per_pollutant(pollutant, choices, F.lit(config.DEFAULT_UNIT))
+    return _per_pollutant(pollutant, config.UNITS, F.lit, F.lit(config.DEFAULT_UNIT))
 
 
 def r2_level(r2: Column) -> Column:

@@ -134,13 +134,13 @@ def index_by_range(
     form; this one takes the segments as data. The table has a fixed 36 rows, so it
     is broadcast.
     """
-    rows = [
-        (name, c_lo, c_hi, float(i_lo), float(i_hi), parts[-1][1])
+    rows = ", ".join(
+        f"('{name}', {c_lo}D, {c_hi}D, {i_lo}D, {i_hi}D)"
         for name, parts in config.INDEX_SEGMENTS.items()
         for c_lo, c_hi, i_lo, i_hi in parts
-    ]
-    table = df.sparkSession.createDataFrame(
-        rows, "__p string, c_lo double, c_hi double, i_lo double, i_hi double, __top double"
+    )
+    table = df.sparkSession.sql(
+        f"SELECT * FROM VALUES {rows} AS segments(__p, c_lo, c_hi, i_lo, i_hi)"
     )
     tops = {name: parts[-1][1] for name, parts in config.INDEX_SEGMENTS.items()}
     top = F.create_map(*[F.lit(x) for pair in tops.items() for x in pair])

@@ -90,8 +90,8 @@ def detect_xy_strict(
     x = [c for c in base if c in free] + [c for c in free if c not in base]
     if not x:
         raise SchemaError("no numeric feature columns")
-    leaks = [c for c in x if name_relation(c, y) == "exacto"]
-    if leaks and any(c in y for c in leaks):
+    leaks = [c for c in x if c in y]
+    if leaks:
         raise SchemaError(f"targets among the features: {', '.join(leaks)}")
     lags = [(c, p) for c in x for p in y if name_relation(c, [p]) == "prefijo"]
     return x, y, lags
