@@ -27,14 +27,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+# Two engines round an exact half differently; a nudge far below the sixth decimal and
+# far above the noise of a sum decides halves the same way in both.
+HALF_UP = 1e-10
+
+
 def r6(value: Column | str) -> Column:
     """Six decimals, the common ground of two engines' sums."""
-    return F.round(F.col(value) if isinstance(value, str) else value, 6)
+    return F.round((F.col(value) if isinstance(value, str) else value) + F.lit(HALF_UP), 6)
 
 
 def s6(expression: str, name: str) -> str:
     """The same in SQL; adding zero turns minus zero into zero."""
-    return f"round({expression}, 6) + 0.0 AS {name}"
+    return f"round(({expression}) + {HALF_UP}, 6) + 0.0 AS {name}"
 
 
 def ts_text(ts: Column | str) -> Column:
