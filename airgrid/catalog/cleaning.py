@@ -193,7 +193,9 @@ def coerce_types(spark, sf):
         .when(F.col("event_id") % 83 == 0, "NaN")
         .otherwise(F.col("value").cast("string"))
         .alias("x"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"),
+        F.expr(
+            "datediff(ts, DATE'1970-01-01') * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+        ).alias("s"),
     )
     typed = spoiled.select(
         "event_id",
