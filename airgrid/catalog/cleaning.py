@@ -9,6 +9,7 @@ from airgrid.catalog.registry import query, r6, s6, s_ts, ts_text, with_sql
 from airgrid.functions import text, values
 from airgrid.operators import align as al
 from airgrid.operators import quality as qu
+from airgrid.session import stored
 
 EXPECTED = (*v.VARIABLES, "refund", "logout")
 GAP_COLUMNS = ("purchase", "signup")
@@ -482,7 +483,7 @@ _ISLANDS = (
     ),
 )
 def gap_blocks(spark, sf):
-    runs = qu.gap_blocks(v.user_hourly(spark, sf), GAP_COLUMNS, ("user_id",))
+    runs = qu.gap_blocks(stored(v.user_hourly(spark, sf)), GAP_COLUMNS, ("user_id",))
     return runs.select(
         "user_id",
         ts_text("first_ts").alias("first_ts"),
@@ -503,7 +504,7 @@ def gap_blocks(spark, sf):
     ),
 )
 def gap_filter(spark, sf):
-    kept = qu.drop_long_gaps(v.user_hourly(spark, sf), GAP_COLUMNS, keys=("user_id",))
+    kept = qu.drop_long_gaps(stored(v.user_hourly(spark, sf)), GAP_COLUMNS, keys=("user_id",))
     return kept.select("user_id", ts_text("ts").alias("ts"))
 
 
@@ -512,7 +513,7 @@ AUDIT_RULES = (qu.PERIOD, qu.GAP, qu.ANY, qu.TARGET)
 
 def _tagged(spark, sf):
     return qu.tag_removals(
-        v.user_hourly(spark, sf),
+        stored(v.user_hourly(spark, sf)),
         target="view",
         pollutants=("view", *GAP_COLUMNS),
         rules=AUDIT_RULES,

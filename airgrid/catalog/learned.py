@@ -21,7 +21,7 @@ IDS = ("user_id", "ts")
 
 
 def _features(spark, sf):
-    return stored(fe.build_features(_with_weather(v.series(spark, sf)), [TARGET], USER))
+    return stored(fe.build_features(_with_weather(stored(v.series(spark, sf))), [TARGET], USER))
 
 
 def _columns(df):

@@ -13,6 +13,7 @@ from airgrid.operators import features as fe
 from airgrid.operators import fills, metrics, splits, stats
 from airgrid.operators import sequence as sq
 from airgrid.plans import scoring
+from airgrid.session import stored
 
 USER = ("user_id",)
 OVER = "OVER (PARTITION BY user_id ORDER BY ts)"
@@ -30,7 +31,7 @@ OVER = "OVER (PARTITION BY user_id ORDER BY ts)"
     ),
 )
 def lag_features(spark, sf):
-    lagged = fe.add_lags(v.series(spark, sf), "value", keys=USER)
+    lagged = fe.add_lags(stored(v.series(spark, sf)), "value", keys=USER)
     return lagged.drop("value").withColumn("ts", ts_text("ts"))
 
 
@@ -46,7 +47,7 @@ def lag_features(spark, sf):
     ),
 )
 def diff_features(spark, sf):
-    diffs = fe.add_diffs(v.series(spark, sf), ["value"], keys=USER)
+    diffs = fe.add_diffs(stored(v.series(spark, sf)), ["value"], keys=USER)
     return diffs.select(
         "user_id",
         ts_text("ts").alias("ts"),
@@ -72,7 +73,7 @@ _ROLLING = ", ".join(
     with_sql(v.SERIES, "SELECT user_id, " + s_ts("ts", "ts") + f", {_ROLLING} FROM series"),
 )
 def rolling_features(spark, sf):
-    rolled = fe.add_rolling(v.series(spark, sf), ["value"], keys=USER)
+    rolled = fe.add_rolling(stored(v.series(spark, sf)), ["value"], keys=USER)
     made = [c for c in rolled.columns if "_roll_" in c]
     return rolled.select("user_id", ts_text("ts").alias("ts"), *[r6(c).alias(c) for c in made])
 
@@ -90,7 +91,7 @@ def rolling_features(spark, sf):
 def rolling_past(spark, sf):
     """Rolling features without the current row, on a sparse column."""
     rolled = fe.add_rolling(
-        v.user_hourly(spark, sf), ["view"], (6,), (24,), USER, exclude_current=True
+        stored(v.user_hourly(spark, sf)), ["view"], (6,), (24,), USER, exclude_current=True
     )
     made = ["view_roll_mean_6h", "view_roll_std_24h"]
     return rolled.select("user_id", ts_text("ts").alias("ts"), *[r6(c).alias(c) for c in made])
@@ -152,7 +153,7 @@ _WIND_SQL = ", ".join(
 )
 def build_features(spark, sf):
     """All features of the model, complete rows only."""
-    built = fe.build_features(_with_weather(v.series(spark, sf)), ["value"], USER)
+    built = fe.build_features(_with_weather(stored(v.series(spark, sf))), ["value"], USER)
     rounded = [
         r6(c).alias(c) if t == "double" and c != "value" else F.col(c)
         for c, t in built.dtypes
@@ -177,7 +178,7 @@ def build_features(spark, sf):
     ),
 )
 def impute_temporal(spark, sf):
-    filled = fills.impute_temporal(v.user_hourly(spark, sf), v.VARIABLES, USER)
+    filled = fills.impute_temporal(stored(v.user_hourly(spark, sf)), v.VARIABLES, USER)
     return filled.withColumn("ts", ts_text("ts"))
 
 
@@ -194,7 +195,7 @@ def impute_temporal(spark, sf):
 )
 def directional_fills(spark, sf):
     """One column filled forwards, another backwards."""
-    wide = v.user_hourly(spark, sf).select("user_id", "ts", "view", "click")
+    wide = stored(v.user_hourly(spark, sf)).select("user_id", "ts", "view", "click")
     filled = fills.backward_fill(fills.forward_fill(wide, ["view"], USER), ["click"], USER)
     return filled.withColumn("ts", ts_text("ts"))
 
@@ -213,7 +214,7 @@ def directional_fills(spark, sf):
 )
 def column_fills(spark, sf):
     """Missing targets by the column mean and by the exact median."""
-    hourly = v.hourly(spark, sf).select(
+    hourly = stored(v.hourly(spark, sf)).select(
         "station", "ts", F.col("view").alias("view_mean"), F.col("click").alias("click_median")
     )
     filled = fills.fill_with_medians(fills.fill_with_means(hourly, ["view_mean"]), ["click_median"])
@@ -255,7 +256,7 @@ _FOLD = (
 )
 def split_ranges(spark, sf):
     """Training, validation and test stretch of each series."""
-    ranges = splits.split_ranges(splits.chronological_split(v.series(spark, sf), USER), USER)
+    ranges = splits.split_ranges(splits.chronological_split(stored(v.series(spark, sf)), USER), USER)
     return ranges.select(
         "user_id", "role", "n_rows", ts_text("first_ts").alias("first_ts"),
         ts_text("last_ts").alias("last_ts"), r6("share").alias("share"),
@@ -275,7 +276,7 @@ def split_ranges(spark, sf):
     ),
 )
 def time_series_folds(spark, sf):
-    folds = splits.time_series_folds(v.series(spark, sf), USER)
+    folds = splits.time_series_folds(stored(v.series(spark, sf)), USER)
     is_val = F.col("role") == "val"
     return folds.groupBy("user_id", "fold").agg(
         F.count_if(F.col("role") == "train").alias("n_train"),
@@ -291,7 +292,7 @@ def time_series_folds(spark, sf):
 )
 def stack_parts(spark, sf):
     """The fit part on top of the validation part."""
-    split = splits.chronological_split(v.series(spark, sf), USER)
+    split = splits.chronological_split(stored(v.series(spark, sf)), USER)
     stacked = splits.stack_parts(split.filter("role = 'fit'"), split.filter("role = 'val'"))
     return stacked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -300,7 +301,7 @@ def stack_parts(spark, sf):
 
 
 def _persistence(spark, sf):
-    lagged = fe.add_lags(v.series(spark, sf), "value", (1,), USER, keep_position=True)
+    lagged = fe.add_lags(stored(v.series(spark, sf)), "value", (1,), USER, keep_position=True)
     return lagged.select(
         "user_id", "ts", "pos", "n_rows", F.col("value").alias("y"), F.col("value_lag_1h").alias("yhat")
     )
@@ -401,7 +402,7 @@ ROUNDS = tuple(range(1, 11))
 
 def _curves(spark, sf):
     """Learning curves by stand-in: round k scores the forecast of k + 1 rows ago."""
-    lagged = fe.add_lags(v.series(spark, sf), "value", ROUNDS, USER, keep_position=True)
+    lagged = fe.add_lags(stored(v.series(spark, sf)), "value", ROUNDS, USER, keep_position=True)
     folds = splits.time_series_folds(lagged, USER)
     wide = folds.groupBy(
         (F.col("user_id") % 3).alias("target"), "fold", F.col("role").alias("split")
@@ -741,7 +742,7 @@ SCENARIO_FEATURES = (
 )
 def assemble_scenarios(spark, sf):
     """Feature rows from weather, clock, climatology and means."""
-    hourly = v.hourly(spark, sf)
+    hourly = stored(v.hourly(spark, sf))
     wide = stats.climatology_wide(hourly, ("signup", "purchase"))
     means = hourly.groupBy("station").agg(
         *[F.avg(c).alias(c) for c in ("signup", "purchase", "error")]
@@ -769,7 +770,7 @@ def assemble_scenarios(spark, sf):
 )
 def assemble_last_known(spark, sf):
     """Feature rows that carry the last row, or the last known lags, forward."""
-    hourly = v.hourly(spark, sf).withColumnRenamed("purchase", "purchase_lag_1h")
+    hourly = stored(v.hourly(spark, sf)).withColumnRenamed("purchase", "purchase_lag_1h")
     last = stats.last_known(hourly, ("signup", "purchase_lag_1h"))
     means = hourly.groupBy("station").agg(F.avg("error").alias("error"))
     scenarios = _scenarios(spark, sf)
@@ -818,7 +819,7 @@ def json_scenarios(spark, sf):
 )
 def extrapolation(spark, sf):
     """How far test rows lie past the training rows."""
-    split = splits.chronological_split(v.series(spark, sf), USER, inner_ratio=None)
+    split = splits.chronological_split(stored(v.series(spark, sf)), USER, inner_ratio=None)
     ends = split.filter("role = 'train'").groupBy("user_id").agg(F.max("ts").alias("last_train_ts"))
     rows = scoring.extrapolation(split.filter("role = 'test'"), ends, USER)
     return rows.select(

@@ -1,6 +1,8 @@
 """The given tables seen as sensor data, for Spark and as SQL.
 
-``events`` plays the readings: its type is the variable, its user the series.
+``events`` plays the readings: its type is the variable, its user the series. Queries
+whose operators read an aligned view more than once store it first, so that the raw
+table is scanned and aligned once.
 """
 
 from __future__ import annotations
