@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from airgrid.llm import mixing, quality_rules, url_filters
+from airgrid.llm import (
+    decontaminate,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    toxicity,
+    url_filters,
+)
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+    "op7_secret_scans": secrets.op7_secret_scans,
     "op8_mix": mixing.op8_mix,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 SQL = {
     "op1_url_filters": url_filters.OP1_SQL,
+    "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_mix": mixing.OP8_SQL,
 }
