@@ -131,13 +131,14 @@ def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def triple_table(words: list[str]) -> np.ndarray:
     """Triple weights of every word: a column per word, in the kernel's feature space."""
     codes, owner = encode(words)
-    out = np.zeros((1 << 15, len(words)))
+    out = np.zeros((1 << 15, len(words)), np.float32)
     for i, j in _OFFSETS:
         if len(codes) > j:
             same = owner[:-j] == owner[j:]
             triple = (codes[:-j].astype(np.int64) << 10) | (codes[i : len(codes) - j + i].astype(np.int64) << 5) | codes[j:]
             np.add.at(out, (triple[same], owner[:-j][same]), DECAY ** (j + 1))
-    return out / norms(np.bincount(owner, minlength=len(words)))
+    out /= norms(np.bincount(owner, minlength=len(words))).astype(np.float32)
+    return out
 
 
 @dataclass(frozen=True)
@@ -226,11 +227,12 @@ def fit(texts: list[str], toxic: list[int]) -> ToxicModel:
     landmarks += (ordinary[: ORDINARY // 2] + ordinary[:: step])[:ORDINARY]
     landmarks = list(dict.fromkeys(landmarks))
     columns = triple_table(landmarks)
-    gram = columns.T @ columns
+    gram = (columns.T @ columns).astype(float)
     value, vector = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
     good = (value > 1e-4 * value.max()) & (np.arange(len(value)) >= len(value) - RANK)
     root = vector[:, good] / np.sqrt(value[good])
-    features = (columns @ root).astype(np.float32)  # of every triple
+    features = columns @ root.astype(np.float32)  # of every triple
+    del columns
 
     def nystroem(words: list[str]) -> np.ndarray:
         codes, owner = encode(words)
@@ -241,9 +243,9 @@ def fit(texts: list[str], toxic: list[int]) -> ToxicModel:
     place = {w: i for i, w in enumerate(mine)}
     if not mine or not ordinary:
         return ToxicModel(None)
-    z_mine = np.concatenate([nystroem(mine[i : i + 4000]) for i in range(0, len(mine), 4000)])
+    z_mine = np.concatenate([nystroem(mine[i : i + 1000]) for i in range(0, len(mine), 1000)])
     clean = ordinary[:NEGATIVES]
-    z_clean = np.concatenate([nystroem(clean[i : i + 4000]) for i in range(0, len(clean), 4000)])
+    z_clean = np.concatenate([nystroem(clean[i : i + 1000]) for i in range(0, len(clean), 1000)])
     toxic_bags = [np.array([place[w] for w in bag], int) for bag, k in zip(bags, y, strict=True) if k and bag]
     order = np.array([blame(w) for w in mine])
     weights = np.zeros(1 << 15)
@@ -262,10 +264,15 @@ def fit(texts: list[str], toxic: list[int]) -> ToxicModel:
         weights = features @ beta[:-1]
         order = z_mine @ beta[:-1]
     model = ToxicModel(weights)
+    peak = np.concatenate([model.highest(*flat(texts[i : i + 64])) for i in range(0, len(texts), 64)])
+    return ToxicModel(weights, logistic(peak, y))
+
+
+def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some texts in a row, and where each begins."""
     parts = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    peak = model.highest(np.frombuffer(b"".join(parts), np.uint8), offsets)
-    return ToxicModel(weights, logistic(peak, y))
+    return np.frombuffer(b"".join(parts), np.uint8), offsets
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, most=SAMPLE) -> ToxicModel:
