@@ -40,6 +40,7 @@ from airgrid.llm.shipping import in_tasks
 from airgrid.session import stored
 
 _PLACE_BITS = 30
+_COUNT_BITS = 15  # start, count and the settled flag travel in one number, as rows are many
 
 
 @dataclass
@@ -171,16 +172,12 @@ def unit_rows(docs: DataFrame, method: Method) -> DataFrame:
                     _signed(_aside(core, known, rank, own)),
                     _signed(unit),
                     ids.take(pa.array(text)),
-                    pa.array(own.astype(np.int32)),
-                    pa.array(count.astype(np.int32)),
-                    pa.array(known),
+                    pa.array((own << _COUNT_BITS | count) << 1 | known),
                 ],
-                ["core", "unit", "doc_id", "start", "count", "known"],
+                ["core", "unit", "doc_id", "at"],
             )
 
-    return in_tasks(
-        docs, rows, f"core bigint, unit bigint, doc_id {kind}, start int, count int, known boolean"
-    )
+    return in_tasks(docs, rows, f"core bigint, unit bigint, doc_id {kind}, at bigint")
 
 
 def window_rows(docs: DataFrame, method: Method) -> DataFrame:
@@ -212,26 +209,28 @@ def window_rows(docs: DataFrame, method: Method) -> DataFrame:
                     _signed(_aside(core, known, rank, own)),
                     _signed(name),
                     ids.take(pa.array(text)),
-                    pa.array(own.astype(np.int32)),
-                    pa.array(known),
+                    pa.array(own << 1 | known),
                 ],
-                ["core", "name", "doc_id", "start", "known"],
+                ["core", "name", "doc_id", "at"],
             )
 
-    return in_tasks(docs, rows, f"core bigint, name bigint, doc_id {kind}, start int, known boolean")
+    return in_tasks(docs, rows, f"core bigint, name bigint, doc_id {kind}, at bigint")
 
 
 def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     """(doc_id, start, end) ranges of symbols in windows that start earlier, too."""
     units = unit_rows(docs, method).repartition("core")
-    earlier = F.rank().over(Window.partitionBy("core", "unit").orderBy("doc_id", "start"))
+    earlier = F.rank().over(Window.partitionBy("core", "unit").orderBy("doc_id", "at"))
+    known = F.col("at").bitwiseAND(F.lit(1)) == 1
     shared = Window.partitionBy("core")
     judged = units.withColumn("place", earlier).withColumn(
         "mixed", F.min("unit").over(shared) != F.max("unit").over(shared)
     )
-    state = F.when(F.col("known") | (F.col("place") > 1), 2).when(F.col("mixed"), 1)
+    state = F.when(known | (F.col("place") > 1), 2).when(F.col("mixed"), 1)
+    start = F.shiftright("at", _COUNT_BITS + 1).cast("int").alias("start")
+    count = F.shiftright("at", 1).bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)).cast("int").alias("count")
     judged = stored(
-        judged.select("doc_id", "start", "count", "core", state.alias("state")).where("state IS NOT NULL"),
+        judged.select("doc_id", start, count, "core", state.alias("state")).where("state IS NOT NULL"),
         "repeat_units",
     )
     unsettled = (
@@ -241,8 +240,9 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     )
     texts = docs.join(unsettled, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "open")
     windows = window_rows(texts, method).repartition("core", "name")
-    earlier = F.rank().over(Window.partitionBy("core", "name").orderBy("doc_id", "start"))
-    windows = windows.withColumn("place", earlier).where(F.col("known") | (F.col("place") > 1))
+    earlier = F.rank().over(Window.partitionBy("core", "name").orderBy("doc_id", "at"))
+    windows = windows.withColumn("place", earlier).where(known | (F.col("place") > 1))
+    windows = windows.select("doc_id", F.shiftright("at", 1).cast("int").alias("start"))
     length = F.lit(method.length)
     whole = judged.where("state = 2").select(
         "doc_id", "start", (F.col("start") + F.col("count") - 1 + length).alias("end")
