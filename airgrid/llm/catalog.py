@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from airgrid.llm import (
     decontaminate,
+    jaccard_join,
     mixing,
     quality_classifier,
     quality_rules,
@@ -16,6 +17,7 @@ from airgrid.llm import (
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_quality_rules": quality_rules.op5_quality_rules,
@@ -28,6 +30,7 @@ QUERIES = {
 
 SQL = {
     "op1_url_filters": url_filters.OP1_SQL,
+    "op2_jaccard_join": jaccard_join.OP2_SQL,
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_mix": mixing.OP8_SQL,

@@ -132,7 +132,9 @@ def candidate_windows(
 ) -> DataFrame:
     """Every row of ``docs`` with n_words and the windows that pass the filters."""
     fields = "n_words bigint, windows array<struct<start:int,length:int,name1:bigint,name2:bigint>>"
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {fields}"
+    others = [c for c in docs.columns if c != "text"]
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in others]
+    schema = ", ".join([*kinds, fields])
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         for piece, data, offsets in arrays.pieces(batches):
@@ -170,14 +172,14 @@ def candidate_windows(
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays(piece.column("doc_id").chunks),
+                    *[pa.concat_arrays(piece.column(c).chunks) for c in others],
                     pa.array(np.diff(words.first).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), structs),
                 ],
-                ["doc_id", "n_words", "windows"],
+                [*others, "n_words", "windows"],
             )
 
-    return in_tasks(docs.select("doc_id", "text"), rows, schema)
+    return in_tasks(docs, rows, schema)
 
 
 def covered(ranges: Column) -> Column:
@@ -193,10 +195,17 @@ def covered(ranges: Column) -> Column:
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = FILTER_BITS
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    bits: int = FILTER_BITS,
+    with_text_hash: bool = False,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans) for every row: item ids sorted as strings, and
-    the matching windows as (start, end) word ranges."""
+    the matching windows as (start, end) word ranges; on request text_hash (xxhash64)."""
+    extra = ["text_hash"] if with_text_hash else []
+    docs = docs.select("doc_id", "text", *[F.xxhash64(F.coalesce("text", F.lit(""))).alias(c) for c in extra])
     known = stored(benchmark_windows(items, window, gram), "benchmark_windows")
     full = known.where("kind = 0").select("name1", "name2", "length", "item_id").distinct()
     short = sorted(r["length"] for r in full.where(F.col("length") < window).select("length").distinct().collect())
@@ -218,7 +227,7 @@ def decontaminate(
             F.collect_set(F.col("item_id").cast("string")).alias("items"),
         )
     )
-    joined = rows.select("row", "doc_id", "n_words").join(hits, "row", "left")
+    joined = rows.select("row", "doc_id", "n_words", *extra).join(hits, "row", "left")
     no_items, no_spans = F.array().cast("array<string>"), F.array().cast("array<struct<start:int,end:int>>")
     return joined.select(
         "doc_id",
@@ -226,9 +235,24 @@ def decontaminate(
         let(F.coalesce("spans", no_spans), covered).alias("n_hit"),
         F.sort_array(F.coalesce("items", no_items)).alias("items"),
         F.sort_array(F.coalesce("spans", no_spans)).alias("spans"),
+        *extra,
     )
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` without the rows of which a word is hit; all columns and other rows stay.
+
+    Rows are told apart by id and text, so rows that repeat an id are judged each for itself.
+    """
+    found = decontaminate(docs, items, window, gram, with_text_hash=True).where("n_hit > 0")
+    found = stored(
+        found.select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_mark")).distinct(), "contaminated"
+    )
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (mark == F.col("_mark"))
+    return docs.join(found, same, "left_anti")
+
+
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     judged = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
