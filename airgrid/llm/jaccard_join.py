@@ -3,14 +3,14 @@
 Any fixed order of all tokens gives an exact filter: two sets with Jaccard similarity t or
 more share a token among the first ``n - ceil(t n) + 1`` of each. Here three orders, by three
 unrelated hashes of the token, are used at once: a candidate pair must share such a prefix
-token under each of them before its sets are compared.
+token under the first, and under each of the others k tokens of the first p + k - 1, as any
+similar pair does, before its sets are compared.
 
 1. Each text becomes its set's size, a 64-bit class name (equal sets are one class), and its
    prefixes. Only classes go on.
-2. Prefix tokens of the first order are sorted together. A class none of whose prefix tokens
-   is shared has no partner and is done. The sets of the others are fetched once.
-3. Classes with the same least token and like size are compared with the lowest of them, which
-   joins most copies of one text at once, in one pass over sorted rows.
+2. Prefix tokens of the first order are sorted together; tokens of one class only are dropped.
+3. Classes with the same least token and like size are paired with the lowest of them, filtered
+   by the other orders and compared, which joins most near copies at once: one pair for each.
 4. Tokens that still stand in more than ``HOT`` groups go to the end of the first order (this is
    again one order of all tokens), and prefixes move on to the next tokens. What a longer
    prefix does not hold is joined under the first order as it was.
@@ -18,6 +18,8 @@ token under each of them before its sets are compared.
    prefixes of the second and third order are compared in full.
 6. Components of the links found; copies take their class's component.
 
+Full sets are made again from the texts where they lie, for the classes in filtered pairs only:
+a bit array of bounded length tells tasks which texts to look at. No text is shuffled.
 No link between different components is missed; pairs inside a group found in step 3 are not
 listed, as they add nothing to the components. Groups are never collected; rows are sorted
 by Spark, and copies inside a piece of texts send their prefixes once.
@@ -45,7 +47,8 @@ from airgrid.llm.text import table
 from airgrid.session import stored
 
 WORDS, PERCENT = 5, 80
-HOT = 48  # groups that may meet at a token before it goes to the end of the order
+HOT = 24  # groups that may meet at a token before it goes to the end of the order
+MOST_BITS = 1 << 27
 _POS_BITS = 31
 
 
@@ -79,14 +82,15 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefix_column(percent: int) -> Column:
-    """``prefix_length`` of the column n."""
-    return (F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("bigint")
+def prefix_column(percent: int, n: Column | None = None) -> Column:
+    """``prefix_length`` of a column, by default n."""
+    n = F.col("n") if n is None else n
+    return (n - F.floor((percent * n + 99) / 100) + 1).cast("bigint")
 
 
 def longer(p):
     """How much of the first order is kept, for tokens that go to its end."""
-    return p + p // 4 + 16
+    return p + p // 2 + 24
 
 
 def _lists(values: np.ndarray, bounds: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -117,7 +121,7 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 value = arrays.spread(names, seed)
                 value = value[np.lexsort((value, text))]
                 # Half a name is enough to sort out pairs; equal names have equal halves.
-                others.append(_lists((value >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, p))
+                others.append(_lists((value >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, np.where(p > 0, 2 * p + 32, 0)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays(piece.column("doc_id").chunks),
@@ -135,27 +139,56 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return in_tasks(docs, rows, schema)
 
 
-def set_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(cls, n, least, members) of (key, text, wanted: class), for rows of the wanted class."""
+def wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """A bit array with a bit set for the hash of every ``key``; at most ``MOST_BITS`` long.
+
+    The fuller it is, the more sets are made in vain; none is missed.
+    """
+    bits = 1 << 16
+    while bits < min(16 * wanted.count(), MOST_BITS):
+        bits *= 2
+    place = F.pmod(F.xxhash64("key"), F.lit(bits))
+    one = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    words = (
+        wanted.select(place.alias("place"))
+        .groupBy(F.floor(F.col("place") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(one).alias("bits"))
+        .toPandas()
+    )
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint8)
 
-    def rows(batches) -> Iterator[pa.RecordBatch]:
-        for piece, data, offsets in arrays.pieces(batches):
-            names, bounds = shingle_names(data, offsets, words)
-            cls = class_names(names, bounds, 0).view(np.int64)
-            right = np.flatnonzero(cls == piece.column("wanted").to_numpy())
-            right = right[np.diff(bounds)[right] > 0]
-            members = [names[bounds[i] : bounds[i + 1]].tobytes() for i in right]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(cls[right]),
-                    pa.array(np.diff(bounds)[right].astype(np.int64)),
-                    pa.array(names[bounds[right]].view(np.int64)),
-                    pa.array(members, pa.binary()),
-                ],
-                ["cls", "n", "least", "members"],
-            )
 
-    return in_tasks(docs, rows, "cls bigint, n bigint, least bigint, members binary")
+def set_rows(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(cls, n, members) of the classes in ``wanted`` (cls, key: of one of its texts).
+
+    Texts are read where they lie: a bit array names those to look at.
+    """
+    bits = wanted_bits(wanted)
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("mark").to_numpy(zero_copy_only=False) % (len(bits) * 8)
+            maybe = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            for piece, data, offsets in arrays.pieces([batch.filter(pa.array(maybe))]):
+                names, bounds = shingle_names(data, offsets, words)
+                n = np.diff(bounds)
+                some = np.flatnonzero(n > 0)
+                cls = class_names(names, bounds, 0).view(np.int64)
+                members = [names[bounds[i] : bounds[i + 1]].tobytes() for i in some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pc.take(pa.concat_arrays(piece.column("key").chunks), pa.array(some)),
+                        pa.array(cls[some]),
+                        pa.array(members, pa.binary()),
+                    ],
+                    ["key", "cls", "members"],
+                )
+
+    marked = texts.select("key", "text", F.xxhash64("key").alias("mark"))
+    made = in_tasks(marked, rows, "key string, cls bigint, members binary")
+    return made.join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
 
 
 def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -167,27 +200,42 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(two) - common)
 
 
-def with_lowest(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) of each class with the lowest one of its least token and size band."""
-    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
-    dealt = sets.select("least", band.alias("band"), "cls", "members")
-    dealt = dealt.repartition("least", "band").sortWithinPartitions("least", "band", "cls")
+def overlapping(one: Column, n_one: Column, two: Column, n_two: Column, percent: int) -> Column:
+    """Whether two sets of the given sizes may be similar, by their lists under one order.
 
-    def rows(batches) -> Iterator[pa.RecordBatch]:
-        group, lowest, lead = None, None, None
-        for batch in batches:
-            u, v = [], []
-            for least, size, cls, members in zip(*(batch.column(k) for k in range(4)), strict=True):
-                own = np.frombuffer(members.as_buffer(), np.uint64)
-                of = (least.as_py(), size.as_py())
-                if of != group:
-                    group, lowest, lead = of, cls.as_py(), own.copy()
-                elif cls.as_py() != lowest and similar(lead, own, percent):
-                    u.append(lowest)
-                    v.append(cls.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    Of the first p + k - 1 tokens (p the prefix length) similar sets share k; the lists hold
+    k = p + 33 or the whole set. Tokens of a list with equal halves count in favour.
+    """
+    p_one, p_two = prefix_column(percent, n_one), prefix_column(percent, n_two)
+    more = F.least(F.size(one) - p_one, F.size(two) - p_two)
+    one, two = F.slice(one, 1, (p_one + more).cast("int")), F.slice(two, 1, (p_two + more).cast("int"))
+    equal_halves = F.size(one) - F.size(F.array_distinct(one))
+    return F.size(F.array_intersect(one, two)) + equal_halves >= more + 1
 
-    return in_tasks(dealt, rows, "u bigint, v bigint")
+
+def with_lowest(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of the lowest class of each least token and size band with the others,
+    as far as they overlap under the other orders."""
+    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
+    group = Window.partitionBy("least", "band").orderBy("cls").rowsBetween(Window.unboundedPreceding, 0)
+    lowest = {c: F.first(c).over(group).alias(f"{c}_u") for c in ("cls", "n", "b", "c")}
+    met = prefixes.withColumn("band", band).select("cls", "n", "b", "c", *lowest.values()).where("cls <> cls_u")
+    like = 100 * F.least("n", "n_u") >= percent * F.greatest("n", "n_u")
+    for order in "bc":
+        like &= overlapping(F.col(f"{order}_u"), F.col("n_u"), F.col(order), F.col("n"), percent)
+    return met.where(like).select(F.col("cls_u").alias("u"), F.col("cls").alias("v"))
+
+
+def filtered(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (u, v) that overlap under the second and the third order."""
+    for order in "bc":
+        one, two = (
+            prefixes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col(order).alias(f"l_{x}"))
+            for x in "uv"
+        )
+        ok = overlapping(F.col("l_u"), F.col("n_u"), F.col("l_v"), F.col("n_v"), percent)
+        pairs = stored(pairs.join(one, "u").join(two, "v").where(ok).select("u", "v"), "jaccard_filtered")
+    return pairs
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,7 +275,7 @@ def candidates(shared: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
     counted = stored(counted.withColumn("is_hot", (F.col("groups") > hot).cast("int")), "jaccard_tokens")
     own = Window.partitionBy("cls")
     p = prefix_column(percent)
-    kept = F.least(F.col("n"), (p + F.floor(p / 4) + 16).cast("bigint"))
+    kept = F.least(F.col("n"), (p + F.floor(p / 2) + 24).cast("bigint"))
     before = F.sum("is_hot").over(own.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("before", before).withColumn("all_hot", F.sum("is_hot").over(own))
     placed = placed.withColumn("p", p).withColumn("left_over", kept - F.col("all_hot")).withColumn("kept", kept)
@@ -273,19 +321,21 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.col("place").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("pos"),
     )
     shared = stored(shared, "jaccard_shared")
-    open_classes = shared.where(F.col("pos") < prefix_column(percent)).select("cls").distinct()
-    shared = shared.join(open_classes, "cls", "left_semi")
-    wanted = classes.join(open_classes, "cls").select("key", F.col("cls").alias("wanted"))
-    sets = set_rows(texts.join(wanted, "key").select("key", "text", "wanted"), words)
-    sets = stored(sets, "jaccard_sets").dropDuplicates(["cls"])
-    starred = stored(with_lowest(sets, percent), "jaccard_links")
+    prefixes = made_of.where(F.size("b") > 0).dropDuplicates(["cls"])
+    prefixes = prefixes.select("cls", "n", F.get("a", F.lit(0)).alias("least"), "b", "c")
+    of_classes = classes.select("cls", "key")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls"))).distinct()
+        wanted = stored(of_classes.join(ids, "cls", "left_semi"), "jaccard_wanted")
+        return stored(set_rows(texts, wanted, words), "jaccard_sets").dropDuplicates(["cls"])
+
+    first = stored(with_lowest(prefixes, percent), "jaccard_first")
+    starred = stored(compared(first, sets_of(first), percent), "jaccard_links")
     roots = starred.select(F.col("v").alias("cls"), F.col("u").alias("root"))
     pairs = stored(candidates(shared, roots, percent), "jaccard_pairs")
-    prefixes = made_of.where(F.size("b") > 0).select("cls", "b", "c").dropDuplicates(["cls"])
-    met = pairs.join(prefixes.select(F.col("cls").alias("u"), F.col("b").alias("b_u"), F.col("c").alias("c_u")), "u")
-    met = met.join(prefixes.select(F.col("cls").alias("v"), "b", "c"), "v")
-    met = met.where(F.arrays_overlap("b", "b_u") & F.arrays_overlap("c", "c_u")).select("u", "v")
-    links = starred.unionByName(compared(met, sets, percent))
+    met = filtered(pairs, prefixes, percent)
+    links = starred.unionByName(compared(met, sets_of(met), percent))
     reached = components(links).select(F.col("node").alias("cls"), "root")
     placed = classes.select("cls", "first_doc").join(reached, "cls", "left")
     placed = stored(placed.select("cls", "first_doc", F.coalesce("root", "cls").alias("root")), "jaccard_roots")
