@@ -9,13 +9,14 @@ similar pair does, before its sets are compared.
 1. Each text becomes its set's size, a 64-bit class name (equal sets are one class), and its
    prefixes. Only classes go on.
 2. Prefix tokens of the first order are sorted together; tokens of one class only are dropped.
-3. Classes with the same least token and like size are paired with the lowest of them, filtered
-   by the other orders and compared, which joins most near copies at once: one pair for each.
+3. Classes with the same least token, under any order, and like size are compared among
+   themselves inside a task, which joins most near copies. Large groups are dealt in pairs of
+   blocks. Only links that join something leave the task.
 4. Tokens that still stand in more than ``HOT`` groups go to the end of the first order (this is
    again one order of all tokens), and prefixes move on to the next tokens. What a longer
    prefix does not hold is joined under the first order as it was.
-5. Pairs of different groups that share a prefix token, are of like size and overlap in the
-   prefixes of the second and third order are compared in full.
+5. Pairs of different components, not compared in step 3, that share a prefix token, have enough
+   tokens after it and overlap under the second and third order, are compared in full.
 6. Components of the links found; copies take their class's component.
 
 Full sets are made again from the texts where they lie, for the classes in filtered pairs only:
@@ -49,6 +50,7 @@ from airgrid.session import stored
 WORDS, PERCENT = 5, 80
 HOT = 24  # groups that may meet at a token before it goes to the end of the order
 MOST_BITS = 1 << 27
+BLOCK = 2048  # classes of one group that a task compares with as many others
 _POS_BITS = 31
 
 
@@ -121,7 +123,7 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 value = arrays.spread(names, seed)
                 value = value[np.lexsort((value, text))]
                 # Half a name is enough to sort out pairs; equal names have equal halves.
-                others.append(_lists((value >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, np.where(p > 0, 2 * p + 32, 0)))
+                others.append(_lists((value >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, np.where(p > 0, p + 16, 0)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays(piece.column("doc_id").chunks),
@@ -204,7 +206,7 @@ def overlapping(one: Column, n_one: Column, two: Column, n_two: Column, percent:
     """Whether two sets of the given sizes may be similar, by their lists under one order.
 
     Of the first p + k - 1 tokens (p the prefix length) similar sets share k; the lists hold
-    k = p + 33 or the whole set. Tokens of a list with equal halves count in favour.
+    k = 17 or the whole set. Tokens of a list with equal halves count in favour.
     """
     p_one, p_two = prefix_column(percent, n_one), prefix_column(percent, n_two)
     more = F.least(F.size(one) - p_one, F.size(two) - p_two)
@@ -213,17 +215,78 @@ def overlapping(one: Column, n_one: Column, two: Column, n_two: Column, percent:
     return F.size(F.array_intersect(one, two)) + equal_halves >= more + 1
 
 
-def with_lowest(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of the lowest class of each least token and size band with the others,
-    as far as they overlap under the other orders."""
-    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).cast("int")
-    group = Window.partitionBy("least", "band").orderBy("cls").rowsBetween(Window.unboundedPreceding, 0)
-    lowest = {c: F.first(c).over(group).alias(f"{c}_u") for c in ("cls", "n", "b", "c")}
-    met = prefixes.withColumn("band", band).select("cls", "n", "b", "c", *lowest.values()).where("cls <> cls_u")
-    like = 100 * F.least("n", "n_u") >= percent * F.greatest("n", "n_u")
-    for order in "bc":
-        like &= overlapping(F.col(f"{order}_u"), F.col("n_u"), F.col(order), F.col("n"), percent)
-    return met.where(like).select(F.col("cls_u").alias("u"), F.col("cls").alias("v"))
+def groupings(keys: DataFrame, percent: int) -> DataFrame:
+    """Adds g0, g1, g2: under each order, the name of the least token and band of sizes.
+
+    Rows are (cls, n, keys), the least token under each order. Bands are shifted by a third
+    from order to order, so that sets of nearly one size share some band.
+    """
+    size = F.log(F.col("n")) / F.lit(math.log(100 / percent))
+    names = [F.xxhash64(F.lit(k), F.get("keys", F.lit(k)), F.floor(size + k / 3)) for k in range(3)]
+    return keys.select("cls", "n", *[x.alias(f"g{k}") for k, x in enumerate(names)])
+
+
+def dealt(groups: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(cls, name, i, j): the blocks that a class is compared in.
+
+    A group of more than ``block`` classes is cut into blocks, and each two of them meet in
+    a place of their own, so that no task holds more than two blocks.
+    """
+    parts = groups.select("cls", F.explode(F.array("g0", "g1", "g2")).alias("name"))
+    group = Window.partitionBy("name")
+    parts = parts.withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1")
+    turn = F.floor((F.row_number().over(group.orderBy("cls")) - 1) / block).cast("int")
+    parts = parts.withColumn("own", turn).withColumn("last", F.floor((F.col("size") - 1) / block).cast("int"))
+    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    return parts.select("cls", "name", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def spanning_links(sets: list[tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links that join what the similar pairs among some sets join."""
+    sizes = np.array([len(m) for _, m in sets])
+    values, token = np.unique(np.concatenate([m for _, m in sets]), return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    root = np.arange(len(sets))
+    mark = np.zeros(len(values), bool)
+    out = []
+    for i in range(len(sets) - 1):
+        own = token[bounds[i] : bounds[i] + sizes[i]]
+        mark[own] = True
+        at = bounds[i + 1]
+        common = np.add.reduceat(mark[token[at:]].astype(np.int32), bounds[i + 1 :] - at)
+        mark[own] = False
+        alike = 100 * common >= percent * (sizes[i] + sizes[i + 1 :] - common)
+        for j in i + 1 + np.flatnonzero(alike & (root[i + 1 :] != root[i])):
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                out.append((sets[i][0], sets[j][0]))
+    return out
+
+
+def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that join the similar classes of every place (name, i, j)."""
+    rows = places.join(sets, "cls").select("name", "i", "j", "cls", "members")
+    rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j", "cls")
+
+    def links(batches) -> Iterator[pa.RecordBatch]:
+        place, held = None, []
+
+        def found() -> pa.RecordBatch:
+            pairs = spanning_links(held, percent) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"]
+            )
+
+        for batch in batches:
+            places = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+            for at, cls, members in zip(places, batch.column(3).to_pylist(), batch.column(4), strict=True):
+                if at != place:
+                    yield found()
+                    place, held = at, []
+                held.append((cls, np.frombuffer(members.as_buffer(), np.uint64).copy()))
+        yield found()
+
+    return in_tasks(rows, links, "u bigint, v bigint")
 
 
 def filtered(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
@@ -257,16 +320,29 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs u < v of different groups that share a token and are of like size."""
-    other = right.select("token", F.col("cls").alias("v"), F.col("root").alias("root_v"), F.col("n").alias("n_v"))
-    like = (100 * F.least("n", "n_v") >= percent * F.greatest("n", "n_v")) & (F.col("root") != F.col("root_v"))
-    met = left.join(other, "token").where(like)
+    """Pairs u < v of different roots that share a token and were in no place together, of rows
+    (token, cls, root, n, rank, g0, g1, g2).
+
+    What follows the first shared token on either side must be enough for the similarity.
+    """
+    names = {"cls": "v", "root": "root_v", "n": "n_v", "rank": "rank_v"} | {f"g{k}": f"h{k}" for k in range(3)}
+    other = right.select("token", *[F.col(c).alias(x) for c, x in names.items()])
+    enough = (100 + percent) * F.least(F.col("n") - F.col("rank"), F.col("n_v") - F.col("rank_v")) >= percent * (
+        F.col("n") + F.col("n_v")
+    )
+    apart = F.col("root") != F.col("root_v")
+    for k in range(3):
+        apart &= F.col(f"g{k}") != F.col(f"h{k}")
+    met = left.join(other, "token").where(enough & apart)
     return met.select(F.least("cls", "v").alias("u"), F.greatest("cls", "v").alias("v")).distinct()
 
 
-def candidates(shared: DataFrame, roots: DataFrame, percent: int, hot: int = HOT) -> DataFrame:
+def candidates(
+    shared: DataFrame, groups: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
+) -> DataFrame:
     """Pairs that share a token under the first order, from rows (token, cls, n, pos)."""
-    grouped = shared.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    known = groups.drop("n").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = shared.join(known, "cls")
     at_token = Window.partitionBy("token")
     # The groups at a token: those that differ from the one before, in sorted order.
     turn = F.lag("root").over(at_token.orderBy("root"))
@@ -288,8 +364,11 @@ def candidates(shared: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
     placed = stored(
         placed.where((F.col("groups") > 1) & (F.col("here") | (F.col("pos") < F.col("p")))), "jaccard_prefixes"
     )
-    new_order = placed.where("here")
-    old_order = placed.where(F.col("pos") < F.col("p"))
+    new_rank = F.when(F.col("is_hot") == 1, F.col("left_over") + F.col("before") - 1).otherwise(
+        F.col("pos") - F.col("before")
+    )
+    new_order = placed.where("here").withColumn("rank", new_rank)
+    old_order = placed.where(F.col("pos") < F.col("p")).withColumn("rank", F.col("pos"))
     return (
         _pairs(new_order, new_order, percent)
         .unionByName(_pairs(old_order.where("short"), old_order, percent))
@@ -322,20 +401,24 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     shared = stored(shared, "jaccard_shared")
     prefixes = made_of.where(F.size("b") > 0).dropDuplicates(["cls"])
-    prefixes = prefixes.select("cls", "n", F.get("a", F.lit(0)).alias("least"), "b", "c")
+    least = [F.get(c, F.lit(0)).cast("bigint") for c in "abc"]
+    keys = made_of.where(F.size("b") > 0).select("cls", "n", F.array(*least).alias("keys"))
+    partnered = shared.select("cls").distinct()
+    keys = keys.dropDuplicates(["cls"]).join(partnered, "cls", "left_semi")
+    groups = stored(groupings(keys, percent), "jaccard_groups")
     of_classes = classes.select("cls", "key")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls"))).distinct()
-        wanted = stored(of_classes.join(ids, "cls", "left_semi"), "jaccard_wanted")
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = stored(of_classes.join(ids.distinct(), "cls", "left_semi"), "jaccard_wanted")
         return stored(set_rows(texts, wanted, words), "jaccard_sets").dropDuplicates(["cls"])
 
-    first = stored(with_lowest(prefixes, percent), "jaccard_first")
-    starred = stored(compared(first, sets_of(first), percent), "jaccard_links")
-    roots = starred.select(F.col("v").alias("cls"), F.col("u").alias("root"))
-    pairs = stored(candidates(shared, roots, percent), "jaccard_pairs")
+    places = stored(dealt(groups), "jaccard_places")
+    near = stored(within_groups(places, sets_of(places.select("cls")), percent), "jaccard_links")
+    roots = components(near).select(F.col("node").alias("cls"), "root")
+    pairs = stored(candidates(shared, groups, roots, percent), "jaccard_pairs")
     met = filtered(pairs, prefixes, percent)
-    links = starred.unionByName(compared(met, sets_of(met), percent))
+    ids = met.select(F.col("u").alias("cls")).unionByName(met.select(F.col("v").alias("cls")))
+    links = near.unionByName(compared(met, sets_of(ids), percent))
     reached = components(links).select(F.col("node").alias("cls"), "root")
     placed = classes.select("cls", "first_doc").join(reached, "cls", "left")
     placed = stored(placed.select("cls", "first_doc", F.coalesce("root", "cls").alias("root")), "jaccard_roots")
