@@ -127,7 +127,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, mo
     sample = training_rows(docs, labels, "quality", folds, held_out, most)
     got = in_tasks(sample, vectors, "label int, x array<double>").collect()
     got = sorted(got, key=lambda r: (r["label"], r["x"]))  # sums in one order on every run
-    x = np.array([r["x"] for r in got], float).reshape(len(got), -1)
+    x = np.array([r["x"] for r in got], float) if got else np.zeros((0, 1))
     return fit(x, np.array([r["label"] for r in got], int))
 
 

@@ -112,12 +112,17 @@ def _counts(values: DataFrame) -> list[float]:
 
 
 def ratio_table(random: list[float], ordinary: list[float]) -> list[int]:
-    """Thousandths of the log ratio of the two models' step probabilities."""
+    """Thousandths of the log ratio of the two models' step probabilities.
+
+    Unseen steps of the ordinary model fall back on how common the second character is.
+    """
     known = set(map(ord, RANDOM))
+    common = [sum(ordinary[b::SIZE]) + 0.05 for b in range(SIZE)]
+    total = sum(common)
     out = []
     for a in range(SIZE):
         r = [random[a * SIZE + b] + (1.0 if a in known and b in known else 0.02) for b in range(SIZE)]
-        o = [ordinary[a * SIZE + b] + 0.02 for b in range(SIZE)]
+        o = [ordinary[a * SIZE + b] + common[b] / total for b in range(SIZE)]
         sum_r, sum_o = sum(r), sum(o)
         out += [round(1000 * math.log(x / sum_r * sum_o / y)) for x, y in zip(r, o, strict=True)]
     return out
