@@ -217,8 +217,8 @@ def window_rows(docs: DataFrame, method: Method) -> DataFrame:
     return in_tasks(docs, rows, f"core bigint, name bigint, doc_id {kind}, at bigint")
 
 
-def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
-    """(doc_id, start, end) ranges of symbols in windows that start earlier, too."""
+def settled_units(docs: DataFrame, method: Method) -> DataFrame:
+    """Step 1, written: (doc_id, start, count, core, state); state 2 is repeated, 1 unsettled."""
     units = unit_rows(docs, method).repartition("core")
     earlier = F.rank().over(Window.partitionBy("core", "unit").orderBy("doc_id", "at"))
     known = F.col("at").bitwiseAND(F.lit(1)) == 1
@@ -229,22 +229,37 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     state = F.when(known | (F.col("place") > 1), 2).when(F.col("mixed"), 1)
     start = F.shiftright("at", _COUNT_BITS + 1).cast("int").alias("start")
     count = F.shiftright("at", 1).bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)).cast("int").alias("count")
-    judged = stored(
+    return stored(
         judged.select("doc_id", start, count, "core", state.alias("state")).where("state IS NOT NULL"),
         "repeat_units",
     )
+
+
+def settled_windows(docs: DataFrame, units: DataFrame, method: Method) -> DataFrame:
+    """Step 2, written: (doc_id, start) of repeated windows in the unsettled units."""
     unsettled = (
-        judged.where("state = 1")
+        units.where("state = 1")
         .groupBy(F.col("doc_id").alias("of"))
         .agg(F.collect_list(F.struct("start", "count", "core")).alias("open"))
     )
     texts = docs.join(unsettled, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "open")
     windows = window_rows(texts, method).repartition("core", "name")
     earlier = F.rank().over(Window.partitionBy("core", "name").orderBy("doc_id", "at"))
+    known = F.col("at").bitwiseAND(F.lit(1)) == 1
     windows = windows.withColumn("place", earlier).where(known | (F.col("place") > 1))
-    windows = windows.select("doc_id", F.shiftright("at", 1).cast("int").alias("start"))
+    return stored(windows.select("doc_id", F.shiftright("at", 1).cast("int").alias("start")), "repeat_windows")
+
+
+def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
+    """(doc_id, start, end) ranges of symbols in windows that start earlier, too.
+
+    Each step is written in a function of its own, so that Spark may drop the shuffle files
+    of a step when the next one begins.
+    """
+    units = settled_units(docs, method)
+    windows = settled_windows(docs, units, method)
     length = F.lit(method.length)
-    whole = judged.where("state = 2").select(
+    whole = units.where("state = 2").select(
         "doc_id", "start", (F.col("start") + F.col("count") - 1 + length).alias("end")
     )
     return whole.unionByName(windows.select("doc_id", "start", (F.col("start") + length).alias("end")))

@@ -43,6 +43,7 @@ LANDMARKS, ORDINARY, NEGATIVES = 320, 160, 15_000
 RANK = 256  # features kept of the Nystroem map
 TURNS, COST = 4, 10.0
 STEMS = (3, 4, 5, 6, 7)
+PIECE = 1 << 20  # bytes of text scored at once, as every byte takes some ten numbers
 
 # Codes of 5 bits: 0 for bytes that can only be gaps, 1-26 letters, 27-30 accented letters by
 # their last byte, 31 the start of a word.
@@ -286,7 +287,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """All columns of ``docs`` and ``toxicity`` (0 to 1), read from the column text."""
     schema = docs.withColumn("toxicity", F.lit(0.0)).schema
     def scored(batches) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in arrays.pieces(batches):
+        for rows, data, offsets in arrays.pieces(batches, limit=PIECE):
             score = pa.array(model.score(data, offsets))
             columns = [pa.concat_arrays(c.chunks) for n, c in zip(rows.column_names, rows.columns, strict=True) if n != "toxicity"]
             yield pa.RecordBatch.from_arrays([*columns, score], [n for n in rows.column_names if n != "toxicity"] + ["toxicity"])
