@@ -10,6 +10,7 @@ from airgrid.functions import text, values
 from airgrid.operators import align as al
 from airgrid.operators import quality as qu
 from airgrid.session import stored
+from airgrid.sources import tables
 
 EXPECTED = (*v.VARIABLES, "refund", "logout")
 GAP_COLUMNS = ("purchase", "signup")
@@ -87,8 +88,8 @@ def dataset_metadata(spark, sf):
 )
 def preview_rows(spark, sf):
     """The first 100 rows by station and time."""
-    rows = v.readings(spark, sf).orderBy("station", "ts", "arrival").limit(100)
-    return rows.select("station", ts_text("ts").alias("ts"), "variable", "value")
+    rows = tables.preview(v.readings(spark, sf), ("station", "ts", "arrival"))
+    return rows.select("station", "ts", "variable", "value")
 
 
 @query(
@@ -102,8 +103,8 @@ def preview_rows(spark, sf):
     "'^[._\\-]+|[._\\-]+$', '', 'g'), ''), 'model') AS model_name, "
     "coalesce(nullif(regexp_replace(regexp_replace(raw, '[^\\w\\-]+', '_', 'g'), "
     "'^[._\\-]+|[._\\-]+$', '', 'g'), ''), 'dataset') AS dataset_name, "
-    "array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN string_split(p_name || ' x', ' ')], ' ') "
-    "AS station FROM model",
+    "array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN "
+    "regexp_extract_all(p_name || ' 2b-x', '[a-zA-Z]+|[^a-zA-Z]+')], '') AS station FROM model",
 )
 def safe_names(spark, sf):
     raw = F.when(F.col("p_partkey") % 50 == 7, "...").otherwise(
@@ -117,7 +118,7 @@ def safe_names(spark, sf):
         )
     )
     file = F.concat(
-        F.lit("/data/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_x.csv")
+        F.lit("/data/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_2b-x.csv")
     )
     return v.table(spark, sf, "part").select(
         "p_partkey",
@@ -389,18 +390,20 @@ _EXPECTED_SQL = "['" + "', '".join(v.VARIABLES) + "']"
 
 @query(
     "completeness",
-    "WITH present AS (SELECT user_id AS station, list(DISTINCT event_type) AS p FROM events "
-    "WHERE ts < TIMESTAMP '2024-01-04' AND value IS NOT NULL GROUP BY 1), "
+    "WITH present AS (SELECT user_id || ':' || hour(ts) AS station, list(DISTINCT event_type) AS p "
+    "FROM events WHERE value IS NOT NULL GROUP BY 1), "
     f"parts AS (SELECT station, [x FOR x IN {_EXPECTED_SQL} IF list_contains(p, x)] AS have, "
     f"[x FOR x IN {_EXPECTED_SQL} IF NOT list_contains(p, x)] AS miss FROM present) "
     "SELECT station, CAST(len(have) AS BIGINT) AS n_present, array_to_string(have, ',') AS present, "
     "array_to_string(miss, ',') AS missing, len(miss) <= 1 AS eligible FROM parts",
 )
 def completeness(spark, sf):
-    """Which variables each series has in a short stretch of time."""
-    readings = v.table(spark, sf, "events").filter(
-        F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-04 00:00:00"))
-    ).select(F.col("user_id").alias("station"), F.col("event_type").alias("variable"), "value")
+    """Which variables each series has; a user's hour of the day is a series, so that some lack."""
+    readings = v.table(spark, sf, "events").select(
+        F.concat_ws(":", F.col("user_id").cast("string"), F.hour("ts").cast("string")).alias("station"),
+        F.col("event_type").alias("variable"),
+        "value",
+    )
     return qu.completeness(readings, v.VARIABLES).select(
         "station",
         "n_present",

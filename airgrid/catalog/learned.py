@@ -109,23 +109,22 @@ def permutation_importance(spark, sf):
 
 @query("permutation_importance_mse")
 def permutation_importance_mse(spark, sf):
-    """Rise in squared error per shuffled feature on a sample of the test rows."""
+    """Rise in squared error per shuffled feature on all test rows."""
     fitted, rows, columns = _fitted(spark, sf)
     test = rows.filter("role = 'test'")
     return importance.permutation_importance(
-        fitted.model, test, columns, IDS, repeats=2, sample=config.SAMPLE_ROWS, score="mse"
+        fitted.model, test, columns, IDS, repeats=2, score="mse"
     )
 
 
 def _explained(spark, sf):
     fitted, rows, columns = _fitted(spark, sf)
-    sample = stats.sample_rows(rows.filter("role = 'test'"), IDS)
-    return shap.tree_shap(fitted.model, sample, columns, IDS)
+    return shap.tree_shap(fitted.model, rows.filter("role = 'test'"), columns, IDS)
 
 
 @query("tree_shap")
 def tree_shap(spark, sf):
-    """What each feature adds to the prediction of each sampled test row."""
+    """What each feature adds to the prediction of each test row."""
     return _explained(spark, sf).select(
         "user_id", ts_text("ts").alias("ts"), "feature", "phi", "base"
     )

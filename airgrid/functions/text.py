@@ -33,7 +33,10 @@ def safe_model_name(name: Column, fallback: str) -> Column:
 
 
 def station_from_file(name: Column) -> Column:
-    return F.initcap(F.replace(file_stem(name), F.lit("_"), F.lit(" ")))
+    """Title case: a letter after anything but a letter is a capital, the others are small."""
+    spaced = F.replace(file_stem(name), F.lit("_"), F.lit(" "))
+    runs = F.regexp_extract_all(spaced, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
 
 
 def similarity(feature: Column, target: Column) -> Column:

@@ -135,7 +135,16 @@ def exclude_period(
 def exclude_years(
     df: DataFrame, ts: str = "ts", years: Sequence[int] = config.EXCLUDED_YEARS
 ) -> DataFrame:
-    return df.filter(~F.year(ts).isin(list(years)))
+    """Each run of years is one range of times, which the scan can use."""
+    kept = F.col(ts).isNotNull()
+    wanted = sorted(set(years))
+    for first in (y for y in wanted if y - 1 not in wanted):
+        after = first + 1
+        while after in wanted:
+            after += 1
+        low, high = (F.to_timestamp_ntz(F.lit(f"{y:04d}-01-01 00:00:00")) for y in (first, after))
+        kept &= (F.col(ts) < low) | (F.col(ts) >= high)
+    return df.filter(kept)
 
 
 def require_target(df: DataFrame, target: str) -> DataFrame:
