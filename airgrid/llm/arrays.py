@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 #: Bytes between words where a word is a run without ASCII white space.
 SPACES = np.zeros(256, bool)
