@@ -9,9 +9,10 @@ similar pair does, before its sets are compared.
 1. Each text becomes its set's size, a 64-bit class name (equal sets are one class), and its
    prefixes. Only classes go on.
 2. Prefix tokens of the first order are sorted together; tokens of one class only are dropped.
-3. Classes with the same least token, under any order, and like size are compared among
-   themselves inside a task, which joins most near copies. Large groups are dealt in pairs of
-   blocks. Only links that join something leave the task.
+3. Classes with the same least token under the first order and like size are compared among
+   themselves inside a task, which joins most near copies; then those with the same least token
+   under one of the others, but for groups that are one component by then. Large groups are
+   dealt in pairs of blocks. Only links that join something leave the task.
 4. Tokens that still stand in more than ``HOT`` groups go to the end of the first order (this is
    again one order of all tokens), and prefixes move on to the next tokens. What a longer
    prefix does not hold is joined under the first order as it was.
@@ -163,9 +164,10 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def set_rows(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, n, members) of the classes in ``wanted`` (cls, key: of one of its texts).
+    """(key, cls, members) of the texts whose ``key`` is in ``wanted``, and of a few others.
 
-    Texts are read where they lie: a bit array names those to look at.
+    Texts are read where they lie: a bit array names those to look at. A text that repeats
+    with its key may come more than once.
     """
     bits = wanted_bits(wanted)
 
@@ -189,8 +191,7 @@ def set_rows(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 )
 
     marked = texts.select("key", "text", F.xxhash64("key").alias("mark"))
-    made = in_tasks(marked, rows, "key string, cls bigint, members binary")
-    return made.join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
+    return in_tasks(marked, rows, "key string, cls bigint, members binary")
 
 
 def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -226,13 +227,26 @@ def groupings(keys: DataFrame, percent: int) -> DataFrame:
     return keys.select("cls", "n", *[x.alias(f"g{k}") for k, x in enumerate(names)])
 
 
-def dealt(groups: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(cls, name, i, j): the blocks that a class is compared in.
+def parted(groups: DataFrame, roots: DataFrame | None, orders: tuple[int, ...]) -> DataFrame:
+    """(cls, name) of the groups under the given orders; not those that are one component.
+
+    ``roots`` (cls, root) are the components known so far.
+    """
+    parts = groups.select("cls", F.explode(F.array(*[f"g{k}" for k in orders])).alias("name"))
+    if roots is None:
+        return parts
+    group = Window.partitionBy("name")
+    parts = parts.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    parts = parts.withColumn("low", F.min("root").over(group)).withColumn("high", F.max("root").over(group))
+    return parts.where("low <> high").select("cls", "name")
+
+
+def dealt(parts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(cls, name, i, j): the blocks that the classes of a group (cls, name) are compared in.
 
     A group of more than ``block`` classes is cut into blocks, and each two of them meet in
     a place of their own, so that no task holds more than two blocks.
     """
-    parts = groups.select("cls", F.explode(F.array("g0", "g1", "g2")).alias("name"))
     group = Window.partitionBy("name")
     parts = parts.withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1")
     turn = F.floor((F.row_number().over(group.orderBy("cls")) - 1) / block).cast("int")
@@ -264,8 +278,11 @@ def spanning_links(sets: list[tuple[int, np.ndarray]], percent: int) -> list[tup
 
 
 def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that join the similar classes of every place (name, i, j)."""
-    rows = places.join(sets, "cls").select("name", "i", "j", "cls", "members")
+    """Links (u, v) that join the similar classes of every place.
+
+    Places are (key, cls, name, i, j), sets (key, cls, members), where rows may repeat.
+    """
+    rows = places.join(sets, ["key", "cls"]).select("name", "i", "j", "cls", "members")
     rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j", "cls")
 
     def links(batches) -> Iterator[pa.RecordBatch]:
@@ -283,7 +300,8 @@ def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 if at != place:
                     yield found()
                     place, held = at, []
-                held.append((cls, np.frombuffer(members.as_buffer(), np.uint64).copy()))
+                if not held or held[-1][0] != cls:
+                    held.append((cls, np.frombuffer(members.as_buffer(), np.uint64).copy()))
         yield found()
 
     return in_tasks(rows, links, "u bigint, v bigint")
@@ -291,6 +309,9 @@ def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def filtered(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (u, v) that overlap under the second and the third order."""
+    ids = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls")))
+    lists = prefixes.select("cls", "n", "b", "c").dropDuplicates(["cls"]).join(ids.distinct(), "cls", "left_semi")
+    prefixes = stored(lists, "jaccard_lists")
     for order in "bc":
         one, two = (
             prefixes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col(order).alias(f"l_{x}"))
@@ -302,8 +323,7 @@ def filtered(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) whose sets are similar."""
-    sets = sets.select("cls", "members")
+    """Those of the pairs (u, v) whose sets (cls, members) are similar."""
     both = pairs.join(sets.select(F.col("cls").alias("u"), F.col("members").alias("one")), "u").join(
         sets.select(F.col("cls").alias("v"), F.col("members").alias("two")), "v"
     )
@@ -341,14 +361,15 @@ def candidates(
     shared: DataFrame, groups: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
 ) -> DataFrame:
     """Pairs that share a token under the first order, from rows (token, cls, n, pos)."""
-    known = groups.drop("n").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    grouped = shared.join(known, "cls")
+    grouped = shared.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     at_token = Window.partitionBy("token")
     # The groups at a token: those that differ from the one before, in sorted order.
     turn = F.lag("root").over(at_token.orderBy("root"))
     marked = grouped.withColumn("new", F.when(turn.isNull() | (turn != F.col("root")), 1).otherwise(0))
     counted = marked.withColumn("groups", F.sum("new").over(at_token)).drop("new")
-    counted = stored(counted.withColumn("is_hot", (F.col("groups") > hot).cast("int")), "jaccard_tokens")
+    # A token of one group is not hot and makes no pair.
+    counted = counted.withColumn("is_hot", (F.col("groups") > hot).cast("int")).where("groups > 1").drop("groups")
+    counted = stored(counted, "jaccard_tokens").join(groups.drop("n"), "cls")
     own = Window.partitionBy("cls")
     p = prefix_column(percent)
     kept = F.least(F.col("n"), (p + F.floor(p / 2) + 24).cast("bigint"))
@@ -361,9 +382,7 @@ def candidates(
     cold = (F.col("is_hot") == 0) & (F.col("pos") - F.col("before") < F.col("p"))
     rest = (F.col("is_hot") == 1) & whole & (F.col("left_over") + F.col("before") - 1 < F.col("p"))
     placed = placed.withColumn("short", short).withColumn("here", ~short & (cold | rest))
-    placed = stored(
-        placed.where((F.col("groups") > 1) & (F.col("here") | (F.col("pos") < F.col("p")))), "jaccard_prefixes"
-    )
+    placed = stored(placed.where(F.col("here") | (F.col("pos") < F.col("p"))), "jaccard_prefixes")
     new_rank = F.when(F.col("is_hot") == 1, F.col("left_over") + F.col("before") - 1).otherwise(
         F.col("pos") - F.col("before")
     )
@@ -400,7 +419,7 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.col("place").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("pos"),
     )
     shared = stored(shared, "jaccard_shared")
-    prefixes = made_of.where(F.size("b") > 0).dropDuplicates(["cls"])
+    prefixes = made_of.where(F.size("b") > 0)
     least = [F.get(c, F.lit(0)).cast("bigint") for c in "abc"]
     keys = made_of.where(F.size("b") > 0).select("cls", "n", F.array(*least).alias("keys"))
     partnered = shared.select("cls").distinct()
@@ -408,17 +427,20 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     groups = stored(groupings(keys, percent), "jaccard_groups")
     of_classes = classes.select("cls", "key")
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = stored(of_classes.join(ids.distinct(), "cls", "left_semi"), "jaccard_wanted")
-        return stored(set_rows(texts, wanted, words), "jaccard_sets").dropDuplicates(["cls"])
-
-    places = stored(dealt(groups), "jaccard_places")
-    near = stored(within_groups(places, sets_of(places.select("cls")), percent), "jaccard_links")
-    roots = components(near).select(F.col("node").alias("cls"), "root")
+    near, roots = None, None
+    for orders in ((0,), (1, 2)):
+        places = stored(dealt(parted(groups, roots, orders)).join(of_classes, "cls"), "jaccard_places")
+        sets = set_rows(texts, places.select("key").distinct(), words)
+        links = stored(within_groups(places, sets, percent), "jaccard_links")
+        near = links if near is None else near.unionByName(links)
+        roots = components(near).select(F.col("node").alias("cls"), "root")
     pairs = stored(candidates(shared, groups, roots, percent), "jaccard_pairs")
     met = filtered(pairs, prefixes, percent)
     ids = met.select(F.col("u").alias("cls")).unionByName(met.select(F.col("v").alias("cls")))
-    links = near.unionByName(compared(met, sets_of(ids), percent))
+    wanted = stored(of_classes.join(ids.distinct(), "cls", "left_semi"), "jaccard_wanted")
+    sets = set_rows(texts, wanted, words).join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
+    sets = stored(sets.dropDuplicates(["cls"]), "jaccard_sets")
+    links = near.unionByName(compared(met, sets, percent))
     reached = components(links).select(F.col("node").alias("cls"), "root")
     placed = classes.select("cls", "first_doc").join(reached, "cls", "left")
     placed = stored(placed.select("cls", "first_doc", F.coalesce("root", "cls").alias("root")), "jaccard_roots")
