@@ -17,11 +17,13 @@ similar pair does, before its sets are compared.
    again one order of all tokens), and prefixes move on to the next tokens. What a longer
    prefix does not hold is joined under the first order as it was.
 5. Pairs of different components, not compared in step 3, that share a prefix token, have enough
-   tokens after it and overlap under the second and third order, are compared in full.
+   tokens after it, differ in few enough bits of a parity map of their sets and overlap under the
+   second and third order, are compared in full.
 6. Components of the links found; copies take their class's component.
 
-Full sets are made again from the texts where they lie, for the classes in filtered pairs only:
-a bit array of bounded length tells tasks which texts to look at. No text is shuffled.
+Full sets are made again from the texts where they lie, with the names of their groups, for the
+classes to compare only: bit arrays of bounded length tell tasks which texts to look at and which
+groups to send them to. No text is shuffled, and sets only to the place where they are compared.
 No link between different components is missed; pairs inside a group found in step 3 are not
 listed, as they add nothing to the components. Groups are never collected; rows are sorted
 by Spark, and copies inside a piece of texts send their prefixes once.
@@ -52,6 +54,7 @@ WORDS, PERCENT = 5, 80
 HOT = 24  # groups that may meet at a token before it goes to the end of the order
 MOST_BITS = 1 << 27
 BLOCK = 2048  # classes of one group that a task compares with as many others
+SEEDS = (41, 42)  # of the second and third order
 _POS_BITS = 31
 
 
@@ -105,8 +108,40 @@ def _lists(values: np.ndarray, bounds: np.ndarray, lengths: np.ndarray) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[at]))
 
 
+def least_tokens(names: np.ndarray, bounds: np.ndarray, full: np.ndarray) -> list[np.ndarray]:
+    """The least token under each order of ``full``, all sets that are not empty."""
+    if not len(full):
+        return [np.zeros(0, np.uint64)] * 3
+    orders = [names, *[arrays.spread(names, seed) for seed in SEEDS]]
+    return [np.minimum.reduceat(v, bounds[full]) for v in orders]
+
+
+def group_names(least: list[np.ndarray], n: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Under each order, a name of the least token and band of sizes.
+
+    Bands are shifted by a third from order to order, so that sets of nearly one size share
+    some band.
+    """
+    size = np.log(n) / math.log(100 / percent)
+    return [
+        arrays.spread(arrays.spread(token, 50 + k) + np.floor(size + k / 3).astype(np.uint64), 53 + k).view(np.int64)
+        for k, token in enumerate(least)
+    ]
+
+
+def parity_maps(names: np.ndarray, bounds: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """64 bits per set that is not empty, each the parity of the members that fall on it."""
+    if not len(full):
+        return np.zeros(0, np.int64)
+    bit = np.uint64(1) << (arrays.spread(names, 60) >> np.uint64(58))
+    return np.bitwise_xor.reduceat(bit, bounds[full]).view(np.int64)
+
+
 def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, key, n, cls, check, a, b, c) per row; a copy inside a piece has no prefixes."""
+    """(doc_id, key, n, cls, check, a, b, c, g0, g1, g2, parity) per row.
+
+    A copy inside a piece has no prefixes; only rows with prefixes have what follows them.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
@@ -120,11 +155,19 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             p = np.where(once & (n > 0), p, 0)
             text = np.repeat(np.arange(len(n)), n)
             others = []
-            for seed in (41, 42):
+            for seed in SEEDS:
                 value = arrays.spread(names, seed)
                 value = value[np.lexsort((value, text))]
                 # Half a name is enough to sort out pairs; equal names have equal halves.
                 others.append(_lists((value >> np.uint64(32)).astype(np.uint32).view(np.int32), bounds, np.where(p > 0, p + 16, 0)))
+            full = np.flatnonzero(n > 0)
+            facts = [
+                *group_names(least_tokens(names, bounds, full), n[full], percent),
+                parity_maps(names, bounds, full),
+            ]
+            place = np.zeros(len(n), np.int64)
+            place[full] = np.arange(len(full))
+            where = pa.array(place, mask=p <= 0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays(piece.column("doc_id").chunks),
@@ -134,23 +177,25 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array(class_names(names, bounds, 1).view(np.int64)),
                     _lists(names.view(np.int64), bounds, np.where(p > 0, longer(p), 0)),
                     *others,
+                    *[pc.take(pa.array(f), where) for f in facts],
                 ],
-                ["doc_id", "key", "n", "cls", "check", "a", "b", "c"],
+                ["doc_id", "key", "n", "cls", "check", "a", "b", "c", "g0", "g1", "g2", "parity"],
             )
 
     schema = f"doc_id {kind}, key string, n bigint, cls bigint, check bigint, a array<bigint>, b array<int>, c array<int>"
+    schema += ", g0 bigint, g1 bigint, g2 bigint, parity bigint"
     return in_tasks(docs, rows, schema)
 
 
-def wanted_bits(wanted: DataFrame) -> np.ndarray:
-    """A bit array with a bit set for the hash of every ``key``; at most ``MOST_BITS`` long.
+def bits_of(wanted: DataFrame, column: str) -> np.ndarray:
+    """A bit array with a bit set for the hash of every value; at most ``MOST_BITS`` long.
 
-    The fuller it is, the more sets are made in vain; none is missed.
+    The fuller it is, the more is looked at in vain; nothing is missed.
     """
     bits = 1 << 16
     while bits < min(16 * wanted.count(), MOST_BITS):
         bits *= 2
-    place = F.pmod(F.xxhash64("key"), F.lit(bits))
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
     one = F.expr("shiftleft(1L, cast(place % 64 as int))")
     words = (
         wanted.select(place.alias("place"))
@@ -163,35 +208,55 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def set_rows(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(key, cls, members) of the texts whose ``key`` is in ``wanted``, and of a few others.
+def maybe_set(bits: np.ndarray, marks: pa.Array) -> np.ndarray:
+    """Whether the bits of some hashes are set."""
+    place = marks.to_numpy(zero_copy_only=False) % (len(bits) * 8)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
 
-    Texts are read where they lie: a bit array names those to look at. A text that repeats
-    with its key may come more than once.
+def maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is in ``wanted``, and a few others; nothing is shuffled."""
+    bits = bits_of(wanted, column)
+
+    def kept(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_set(bits, batch.column("mark"))))
+
+    marked = rows.withColumn("mark", F.xxhash64(column))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in marked.schema)
+    return in_tasks(marked, kept, schema).drop("mark")
+
+
+def set_rows(texts: DataFrame, wanted: DataFrame, words: int, percent: int) -> DataFrame:
+    """(key, cls, g0, g1, g2, members) of the texts whose ``key`` is in ``wanted``, and of a few
+    others.
+
+    Texts are read where they lie. A text that repeats with its key may come more than once.
     """
-    bits = wanted_bits(wanted)
+    bits = bits_of(wanted, "key")
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column("mark").to_numpy(zero_copy_only=False) % (len(bits) * 8)
-            maybe = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            maybe = maybe_set(bits, batch.column("mark"))
             for piece, data, offsets in arrays.pieces([batch.filter(pa.array(maybe))]):
                 names, bounds = shingle_names(data, offsets, words)
                 n = np.diff(bounds)
                 some = np.flatnonzero(n > 0)
                 cls = class_names(names, bounds, 0).view(np.int64)
+                groups = group_names(least_tokens(names, bounds, some), n[some], percent)
                 members = [names[bounds[i] : bounds[i + 1]].tobytes() for i in some]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pc.take(pa.concat_arrays(piece.column("key").chunks), pa.array(some)),
                         pa.array(cls[some]),
+                        *map(pa.array, groups),
                         pa.array(members, pa.binary()),
                     ],
-                    ["key", "cls", "members"],
+                    ["key", "cls", "g0", "g1", "g2", "members"],
                 )
 
     marked = texts.select("key", "text", F.xxhash64("key").alias("mark"))
-    return in_tasks(marked, rows, "key string, cls bigint, members binary")
+    return in_tasks(marked, rows, "key string, cls bigint, g0 bigint, g1 bigint, g2 bigint, members binary")
 
 
 def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -216,43 +281,30 @@ def overlapping(one: Column, n_one: Column, two: Column, n_two: Column, percent:
     return F.size(F.array_intersect(one, two)) + equal_halves >= more + 1
 
 
-def groupings(keys: DataFrame, percent: int) -> DataFrame:
-    """Adds g0, g1, g2: under each order, the name of the least token and band of sizes.
-
-    Rows are (cls, n, keys), the least token under each order. Bands are shifted by a third
-    from order to order, so that sets of nearly one size share some band.
-    """
-    size = F.log(F.col("n")) / F.lit(math.log(100 / percent))
-    names = [F.xxhash64(F.lit(k), F.get("keys", F.lit(k)), F.floor(size + k / 3)) for k in range(3)]
-    return keys.select("cls", "n", *[x.alias(f"g{k}") for k, x in enumerate(names)])
-
-
 def parted(groups: DataFrame, roots: DataFrame | None, orders: tuple[int, ...]) -> DataFrame:
-    """(cls, name) of the groups under the given orders; not those that are one component.
+    """(cls, name, size) of the groups under the given orders; not those that are one component.
 
     ``roots`` (cls, root) are the components known so far.
     """
     parts = groups.select("cls", F.explode(F.array(*[f"g{k}" for k in orders])).alias("name"))
-    if roots is None:
-        return parts
+    root = F.col("cls")
+    if roots is not None:
+        parts = parts.join(roots, "cls", "left")
+        root = F.coalesce("root", "cls")
     group = Window.partitionBy("name")
-    parts = parts.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    parts = parts.withColumn("low", F.min("root").over(group)).withColumn("high", F.max("root").over(group))
-    return parts.where("low <> high").select("cls", "name")
+    parts = parts.withColumn("low", F.min(root).over(group)).withColumn("high", F.max(root).over(group))
+    parts = parts.withColumn("size", F.count(F.lit(1)).over(group))
+    return parts.where("low <> high").select("cls", "name", "size")
 
 
 def dealt(parts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(cls, name, i, j): the blocks that the classes of a group (cls, name) are compared in.
+    """(name, last): the last block of the groups (cls, name, size) of more than ``block`` classes.
 
-    A group of more than ``block`` classes is cut into blocks, and each two of them meet in
-    a place of their own, so that no task holds more than two blocks.
+    Classes are dealt to blocks by hash, and each two blocks meet in a place of their own, so
+    that no task holds much more than two blocks.
     """
-    group = Window.partitionBy("name")
-    parts = parts.withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1")
-    turn = F.floor((F.row_number().over(group.orderBy("cls")) - 1) / block).cast("int")
-    parts = parts.withColumn("own", turn).withColumn("last", F.floor((F.col("size") - 1) / block).cast("int"))
-    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    return parts.select("cls", "name", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    large = parts.where(F.col("size") > block).select("name", F.floor((F.col("size") - 1) / block).cast("int").alias("last"))
+    return large.distinct()
 
 
 def spanning_links(sets: list[tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
@@ -277,12 +329,15 @@ def spanning_links(sets: list[tuple[int, np.ndarray]], percent: int) -> list[tup
     return out
 
 
-def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that join the similar classes of every place.
+def within_groups(sets: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that join the similar classes of every group.
 
-    Places are (key, cls, name, i, j), sets (key, cls, members), where rows may repeat.
+    Rows are (name, cls, members) and may repeat; ``large`` is what ``dealt`` gives.
     """
-    rows = places.join(sets, ["key", "cls"]).select("name", "i", "j", "cls", "members")
+    last = F.coalesce("last", F.lit(0))
+    rows = sets.join(large, "name", "left").withColumn("own", F.pmod(F.xxhash64("cls"), last + 1).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    rows = rows.select("name", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "members")
     rows = rows.repartition("name", "i", "j").sortWithinPartitions("name", "i", "j", "cls")
 
     def links(batches) -> Iterator[pa.RecordBatch]:
@@ -310,8 +365,8 @@ def within_groups(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 def filtered(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (u, v) that overlap under the second and the third order."""
     ids = pairs.select(F.col("u").alias("cls")).unionByName(pairs.select(F.col("v").alias("cls")))
-    lists = prefixes.select("cls", "n", "b", "c").dropDuplicates(["cls"]).join(ids.distinct(), "cls", "left_semi")
-    prefixes = stored(lists, "jaccard_lists")
+    ids = stored(ids.distinct(), "jaccard_ids")
+    prefixes = stored(maybe_in(prefixes.select("cls", "n", "b", "c"), "cls", ids).dropDuplicates(["cls"]), "jaccard_lists")
     for order in "bc":
         one, two = (
             prefixes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col(order).alias(f"l_{x}"))
@@ -341,11 +396,13 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Pairs u < v of different roots that share a token and were in no place together, of rows
-    (token, cls, root, n, rank, g0, g1, g2).
+    (token, cls, root, n, rank, g0, g1, g2, parity).
 
-    What follows the first shared token on either side must be enough for the similarity.
+    What follows the first shared token on either side must be enough for the similarity, and
+    no more members may differ than similar sets of these sizes can: parity maps differ in at
+    most as many bits.
     """
-    names = {"cls": "v", "root": "root_v", "n": "n_v", "rank": "rank_v"} | {f"g{k}": f"h{k}" for k in range(3)}
+    names = {"cls": "v", "root": "root_v", "n": "n_v", "rank": "rank_v", "parity": "parity_v"} | {f"g{k}": f"h{k}" for k in range(3)}
     other = right.select("token", *[F.col(c).alias(x) for c, x in names.items()])
     enough = (100 + percent) * F.least(F.col("n") - F.col("rank"), F.col("n_v") - F.col("rank_v")) >= percent * (
         F.col("n") + F.col("n_v")
@@ -353,7 +410,10 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     apart = F.col("root") != F.col("root_v")
     for k in range(3):
         apart &= F.col(f"g{k}") != F.col(f"h{k}")
-    met = left.join(other, "token").where(enough & apart)
+    both = F.col("n") + F.col("n_v")
+    common = F.floor((percent * both + 99 + percent) / (100 + percent))
+    few = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity_v"))) <= both - 2 * common
+    met = left.join(other, "token").where(enough & apart & few)
     return met.select(F.least("cls", "v").alias("u"), F.greatest("cls", "v").alias("v")).distinct()
 
 
@@ -420,25 +480,28 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     shared = stored(shared, "jaccard_shared")
     prefixes = made_of.where(F.size("b") > 0)
-    least = [F.get(c, F.lit(0)).cast("bigint") for c in "abc"]
-    keys = made_of.where(F.size("b") > 0).select("cls", "n", F.array(*least).alias("keys"))
     partnered = shared.select("cls").distinct()
-    keys = keys.dropDuplicates(["cls"]).join(partnered, "cls", "left_semi")
-    groups = stored(groupings(keys, percent), "jaccard_groups")
+    groups = prefixes.select("cls", "n", "g0", "g1", "g2", "parity").dropDuplicates(["cls"])
+    groups = stored(groups.join(partnered, "cls", "left_semi"), "jaccard_groups")
     of_classes = classes.select("cls", "key")
 
     near, roots = None, None
     for orders in ((0,), (1, 2)):
-        places = stored(dealt(parted(groups, roots, orders)).join(of_classes, "cls"), "jaccard_places")
-        sets = set_rows(texts, places.select("key").distinct(), words)
-        links = stored(within_groups(places, sets, percent), "jaccard_links")
+        parts = stored(parted(groups, roots, orders), "jaccard_parts")
+        large = stored(dealt(parts), "jaccard_large")
+        wanted = stored(of_classes.join(parts.select("cls").distinct(), "cls", "left_semi"), "jaccard_wanted")
+        sets = set_rows(texts, wanted, words, percent)
+        sets = sets.select(F.explode(F.array(*[f"g{k}" for k in orders])).alias("name"), "cls", "members")
+        if len(orders) > 1:
+            sets = maybe_in(sets, "name", parts.select("name").distinct())
+        links = stored(within_groups(sets, large, percent), "jaccard_links")
         near = links if near is None else near.unionByName(links)
         roots = components(near).select(F.col("node").alias("cls"), "root")
     pairs = stored(candidates(shared, groups, roots, percent), "jaccard_pairs")
     met = filtered(pairs, prefixes, percent)
     ids = met.select(F.col("u").alias("cls")).unionByName(met.select(F.col("v").alias("cls")))
     wanted = stored(of_classes.join(ids.distinct(), "cls", "left_semi"), "jaccard_wanted")
-    sets = set_rows(texts, wanted, words).join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
+    sets = set_rows(texts, wanted, words, percent).join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
     sets = stored(sets.dropDuplicates(["cls"]), "jaccard_sets")
     links = near.unionByName(compared(met, sets, percent))
     reached = components(links).select(F.col("node").alias("cls"), "root")
