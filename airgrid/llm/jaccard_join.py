@@ -129,16 +129,18 @@ def group_names(least: list[np.ndarray], n: np.ndarray, percent: int) -> list[np
     ]
 
 
-def parity_maps(names: np.ndarray, bounds: np.ndarray, full: np.ndarray) -> np.ndarray:
-    """64 bits per set that is not empty, each the parity of the members that fall on it."""
+def parity_maps(names: np.ndarray, bounds: np.ndarray, full: np.ndarray) -> list[np.ndarray]:
+    """Two times 64 bits per set that is not empty, each the parity of the members that fall on it."""
     if not len(full):
-        return np.zeros(0, np.int64)
-    bit = np.uint64(1) << (arrays.spread(names, 60) >> np.uint64(58))
-    return np.bitwise_xor.reduceat(bit, bounds[full]).view(np.int64)
+        return [np.zeros(0, np.int64)] * 2
+    place = arrays.spread(names, 60) >> np.uint64(57)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    halves = [np.where(place >> np.uint64(6) == h, bit, np.uint64(0)) for h in (0, 1)]
+    return [np.bitwise_xor.reduceat(h, bounds[full]).view(np.int64) for h in halves]
 
 
 def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, key, n, cls, check, a, b, c, g0, g1, g2, parity) per row.
+    """(doc_id, key, n, cls, check, a, b, c, g0, g1, g2, odd0, odd1) per row.
 
     A copy inside a piece has no prefixes; only rows with prefixes have what follows them.
     """
@@ -163,7 +165,7 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             full = np.flatnonzero(n > 0)
             facts = [
                 *group_names(least_tokens(names, bounds, full), n[full], percent),
-                parity_maps(names, bounds, full),
+                *parity_maps(names, bounds, full),
             ]
             place = np.zeros(len(n), np.int64)
             place[full] = np.arange(len(full))
@@ -179,23 +181,23 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     *others,
                     *[pc.take(pa.array(f), where) for f in facts],
                 ],
-                ["doc_id", "key", "n", "cls", "check", "a", "b", "c", "g0", "g1", "g2", "parity"],
+                ["doc_id", "key", "n", "cls", "check", "a", "b", "c", "g0", "g1", "g2", "odd0", "odd1"],
             )
 
     schema = f"doc_id {kind}, key string, n bigint, cls bigint, check bigint, a array<bigint>, b array<int>, c array<int>"
-    schema += ", g0 bigint, g1 bigint, g2 bigint, parity bigint"
+    schema += ", g0 bigint, g1 bigint, g2 bigint, odd0 bigint, odd1 bigint"
     return in_tasks(docs, rows, schema)
 
 
-def bits_of(wanted: DataFrame, column: str) -> np.ndarray:
-    """A bit array with a bit set for the hash of every value; at most ``MOST_BITS`` long.
+def bits_of(wanted: DataFrame, mark: Column) -> np.ndarray:
+    """A bit array with a bit set for every ``mark``, a hash; at most ``MOST_BITS`` long.
 
     The fuller it is, the more is looked at in vain; nothing is missed.
     """
     bits = 1 << 16
     while bits < min(16 * wanted.count(), MOST_BITS):
         bits *= 2
-    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    place = F.pmod(mark, F.lit(bits))
     one = F.expr("shiftleft(1L, cast(place % 64 as int))")
     words = (
         wanted.select(place.alias("place"))
@@ -216,7 +218,7 @@ def maybe_set(bits: np.ndarray, marks: pa.Array) -> np.ndarray:
 
 def maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     """The rows whose ``column`` is in ``wanted``, and a few others; nothing is shuffled."""
-    bits = bits_of(wanted, column)
+    bits = bits_of(wanted, F.xxhash64(column))
 
     def kept(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,13 +229,17 @@ def maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     return in_tasks(marked, kept, schema).drop("mark")
 
 
-def set_rows(texts: DataFrame, wanted: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, cls, g0, g1, g2, members) of the texts whose ``key`` is in ``wanted``, and of a few
-    others.
+def set_rows(
+    texts: DataFrame, wanted: DataFrame, words: int, percent: int, groups: DataFrame | None = None, orders=()
+) -> DataFrame:
+    """(key, cls, name, members) of the texts whose ``key`` is in ``wanted``, and of a few others.
 
-    Texts are read where they lie. A text that repeats with its key may come more than once.
+    With ``orders``, a row for each of them with the name of the set's group, where it is in
+    ``groups`` (name), and for a few others; else ``name`` is 0. Texts are read where they lie.
+    A text that repeats with its key may come more than once.
     """
-    bits = bits_of(wanted, "key")
+    bits = bits_of(wanted, F.xxhash64("key"))
+    name_bits = bits_of(groups, F.col("name")) if groups is not None else None
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,22 +247,23 @@ def set_rows(texts: DataFrame, wanted: DataFrame, words: int, percent: int) -> D
             for piece, data, offsets in arrays.pieces([batch.filter(pa.array(maybe))]):
                 names, bounds = shingle_names(data, offsets, words)
                 n = np.diff(bounds)
-                some = np.flatnonzero(n > 0)
+                full = np.flatnonzero(n > 0)
+                key = pa.concat_arrays(piece.column("key").chunks)
                 cls = class_names(names, bounds, 0).view(np.int64)
-                groups = group_names(least_tokens(names, bounds, some), n[some], percent)
-                members = [names[bounds[i] : bounds[i + 1]].tobytes() for i in some]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pc.take(pa.concat_arrays(piece.column("key").chunks), pa.array(some)),
-                        pa.array(cls[some]),
-                        *map(pa.array, groups),
-                        pa.array(members, pa.binary()),
-                    ],
-                    ["key", "cls", "g0", "g1", "g2", "members"],
-                )
+                of_order = group_names(least_tokens(names, bounds, full), n[full], percent)
+                for name in [of_order[k] for k in orders] or [np.zeros(len(full), np.int64)]:
+                    some = full
+                    if name_bits is not None:
+                        chosen = maybe_set(name_bits, pa.array(name))
+                        some, name = full[chosen], name[chosen]
+                    members = [names[bounds[i] : bounds[i + 1]].tobytes() for i in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pc.take(key, pa.array(some)), pa.array(cls[some]), pa.array(name), pa.array(members, pa.binary())],
+                        ["key", "cls", "name", "members"],
+                    )
 
     marked = texts.select("key", "text", F.xxhash64("key").alias("mark"))
-    return in_tasks(marked, rows, "key string, cls bigint, g0 bigint, g1 bigint, g2 bigint, members binary")
+    return in_tasks(marked, rows, "key string, cls bigint, name bigint, members binary")
 
 
 def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -396,13 +403,13 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Pairs u < v of different roots that share a token and were in no place together, of rows
-    (token, cls, root, n, rank, g0, g1, g2, parity).
+    (token, cls, root, n, rank, g0, g1, g2, odd0, odd1).
 
     What follows the first shared token on either side must be enough for the similarity, and
     no more members may differ than similar sets of these sizes can: parity maps differ in at
     most as many bits.
     """
-    names = {"cls": "v", "root": "root_v", "n": "n_v", "rank": "rank_v", "parity": "parity_v"} | {f"g{k}": f"h{k}" for k in range(3)}
+    names = {"cls": "v", "root": "root_v", "n": "n_v", "rank": "rank_v", "odd0": "odd0_v", "odd1": "odd1_v"} | {f"g{k}": f"h{k}" for k in range(3)}
     other = right.select("token", *[F.col(c).alias(x) for c, x in names.items()])
     enough = (100 + percent) * F.least(F.col("n") - F.col("rank"), F.col("n_v") - F.col("rank_v")) >= percent * (
         F.col("n") + F.col("n_v")
@@ -412,7 +419,8 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
         apart &= F.col(f"g{k}") != F.col(f"h{k}")
     both = F.col("n") + F.col("n_v")
     common = F.floor((percent * both + 99 + percent) / (100 + percent))
-    few = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity_v"))) <= both - 2 * common
+    differ = [F.bit_count(F.col(f"odd{h}").bitwiseXOR(F.col(f"odd{h}_v"))) for h in (0, 1)]
+    few = differ[0] + differ[1] <= both - 2 * common
     met = left.join(other, "token").where(enough & apart & few)
     return met.select(F.least("cls", "v").alias("u"), F.greatest("cls", "v").alias("v")).distinct()
 
@@ -421,7 +429,7 @@ def candidates(
     shared: DataFrame, groups: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
 ) -> DataFrame:
     """Pairs that share a token under the first order, from rows (token, cls, n, pos)."""
-    grouped = shared.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = shared.select("token", "cls", "pos").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     at_token = Window.partitionBy("token")
     # The groups at a token: those that differ from the one before, in sorted order.
     turn = F.lag("root").over(at_token.orderBy("root"))
@@ -429,7 +437,7 @@ def candidates(
     counted = marked.withColumn("groups", F.sum("new").over(at_token)).drop("new")
     # A token of one group is not hot and makes no pair.
     counted = counted.withColumn("is_hot", (F.col("groups") > hot).cast("int")).where("groups > 1").drop("groups")
-    counted = stored(counted, "jaccard_tokens").join(groups.drop("n"), "cls")
+    counted = stored(counted, "jaccard_tokens").join(groups, "cls")
     own = Window.partitionBy("cls")
     p = prefix_column(percent)
     kept = F.least(F.col("n"), (p + F.floor(p / 2) + 24).cast("bigint"))
@@ -481,7 +489,7 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared = stored(shared, "jaccard_shared")
     prefixes = made_of.where(F.size("b") > 0)
     partnered = shared.select("cls").distinct()
-    groups = prefixes.select("cls", "n", "g0", "g1", "g2", "parity").dropDuplicates(["cls"])
+    groups = prefixes.select("cls", "n", "g0", "g1", "g2", "odd0", "odd1").dropDuplicates(["cls"])
     groups = stored(groups.join(partnered, "cls", "left_semi"), "jaccard_groups")
     of_classes = classes.select("cls", "key")
 
@@ -490,10 +498,8 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         parts = stored(parted(groups, roots, orders), "jaccard_parts")
         large = stored(dealt(parts), "jaccard_large")
         wanted = stored(of_classes.join(parts.select("cls").distinct(), "cls", "left_semi"), "jaccard_wanted")
-        sets = set_rows(texts, wanted, words, percent)
-        sets = sets.select(F.explode(F.array(*[f"g{k}" for k in orders])).alias("name"), "cls", "members")
-        if len(orders) > 1:
-            sets = maybe_in(sets, "name", parts.select("name").distinct())
+        names = stored(parts.select("name").distinct(), "jaccard_names")
+        sets = set_rows(texts, wanted, words, percent, names, orders).select("name", "cls", "members")
         links = stored(within_groups(sets, large, percent), "jaccard_links")
         near = links if near is None else near.unionByName(links)
         roots = components(near).select(F.col("node").alias("cls"), "root")
