@@ -3,8 +3,9 @@
 Every text becomes a short vector of transformed counts. Each class is a normal density
 with a shrunken covariance, kept as its Cholesky factor; the score is the logistic of the
 difference of the two log-densities (Mahalanobis distance plus determinant) and the log
-prior. Learning holds at most ``labelled.MOST_ROWS`` vectors of each class on the driver; scoring is one
-pass over the texts without a shuffle.
+prior, which is the share of label 1 among all training rows. Learning holds at most
+``labelled.MOST_ROWS`` vectors of each class on the driver; scoring is one pass over the texts
+without a shuffle.
 
 Defined results. NULL text counts as empty; an empty text gets the score of its (all zero)
 counts. Repeated rows get equal scores. Without labels of both classes the score is the
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airgrid.llm import arrays
-from airgrid.llm.labelled import MOST_ROWS, remainder, training_rows
+from airgrid.llm.labelled import MOST_ROWS, label_totals, remainder, training_rows
 from airgrid.llm.shipping import in_tasks
 from airgrid.llm.text import table
 
@@ -97,11 +98,19 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(gap, -50, 50)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, shrink: float = SHRINK) -> Discriminant:
-    """Class densities; a class covariance is shrunken to the common variances."""
+def fit(
+    x: np.ndarray, y: np.ndarray, shrink: float = SHRINK, totals: tuple[int, int] | None = None
+) -> Discriminant:
+    """Class densities; a class covariance is shrunken to the common variances.
+
+    ``totals`` are the rows of each label where ``x`` and ``y`` are a sample of them.
+    """
+    totals = totals or ((y == 0).sum(), (y == 1).sum())
+    share = float(totals[1] / sum(totals)) if sum(totals) else 0.5
     if len(y) == 0 or y.min() == y.max() or min((y == 0).sum(), (y == 1).sum()) < 3:
-        return Discriminant((), (), (), float(y.mean()) if len(y) else 0.5)
-    common = np.diag(x.var(axis=0) + 1e-3)
+        return Discriminant((), (), (), share)
+    weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
+    common = np.diag(weight @ (x - weight @ x) ** 2 + 1e-3)
     means, factors, dets = [], [], []
     for k in (0, 1):
         own = x[y == k]
@@ -110,12 +119,12 @@ def fit(x: np.ndarray, y: np.ndarray, shrink: float = SHRINK) -> Discriminant:
         means.append(own.mean(axis=0))
         factors.append(np.linalg.inv(factor))
         dets.append(2 * np.log(np.diag(factor)).sum())
-    prior = float(np.clip(y.mean(), PRIOR_FLOOR, 1 - PRIOR_FLOOR))
+    prior = float(np.clip(share, PRIOR_FLOOR, 1 - PRIOR_FLOOR))
     return Discriminant(tuple(means), tuple(factors), tuple(dets), prior)
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, most=MOST_ROWS) -> Discriminant:
-    """The discriminant of a bounded sample of labelled rows outside the held-out fold."""
+    """The discriminant of a bounded sample of labelled rows outside the held-out fold; the prior is of all of them."""
 
     def vectors(batches) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in arrays.pieces(batches):
@@ -128,7 +137,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, mo
     got = in_tasks(sample, vectors, "label int, x array<double>").collect()
     got = sorted(got, key=lambda r: (r["label"], r["x"]))  # sums in one order on every run
     x = np.array([r["x"] for r in got], float) if got else np.zeros((0, 1))
-    return fit(x, np.array([r["label"] for r in got], int))
+    totals = label_totals(docs, labels, "quality", folds, held_out)
+    return fit(x, np.array([r["label"] for r in got], int), totals=totals)
 
 
 def score_quality(docs: DataFrame, model: Discriminant) -> DataFrame:

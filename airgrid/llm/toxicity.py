@@ -11,7 +11,8 @@ in toxic texts, and ordinary words. The Nystroem map (kernel to the landmarks ti
 inverse root of the landmark kernel) gives features for a linear squared-hinge machine.
 Which word of a toxic text is to blame is not labelled; it is found by turns of fitting and
 picking the highest word of each toxic text, against the words of clean texts. A logistic
-curve over the texts' highest values gives the score. As kernel, map and machine are linear
+curve over the texts' highest values gives the score; there the sample's texts weigh as much
+as their label does among all training rows. As kernel, map and machine are linear
 in the triples, the model folds into one weight per triple (32,768 numbers), and scoring is one
 pass of table lookups without a shuffle.
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airgrid.llm import arrays
-from airgrid.llm.labelled import remainder, training_rows
+from airgrid.llm.labelled import label_totals, remainder, training_rows
 from airgrid.llm.shipping import in_tasks
 from airgrid.llm.text import table
 
@@ -183,24 +184,32 @@ def squared_hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return beta
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and bias of a logistic curve, with slightly softened labels."""
-    soft = np.where(y == 1, 1 - 1 / ((y == 1).sum() + 2), 1 / ((y == 0).sum() + 2))
+def logistic(x: np.ndarray, y: np.ndarray, totals: tuple[int, int] | None = None) -> tuple[float, float]:
+    """Slope and bias of a logistic curve, with slightly softened labels.
+
+    ``totals`` are the rows of each label that ``x`` and ``y`` are a sample of; the sample's rows
+    get case weights (1 on average) that restore the labels' shares.
+    """
+    n = ((y == 0).sum(), (y == 1).sum())
+    soft = np.where(y == 1, 1 - 1 / (n[1] + 2), 1 / (n[0] + 2))
+    weight = np.ones(len(y))
+    if totals:
+        weight = np.where(y == 1, totals[1] / n[1], totals[0] / n[0]) * len(y) / sum(totals)
     scale = max(float(np.abs(x).max()), 1e-9)
     a = np.column_stack([x / scale, np.ones(len(x))])
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + 1e-4 * np.eye(2)
-        step = np.linalg.solve(h, a.T @ (soft - p) - 1e-4 * beta)
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-4 * np.eye(2)
+        step = np.linalg.solve(h, a.T @ (weight * (soft - p)) - 1e-4 * beta)
         beta = beta + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
     return float(beta[0] / scale), float(beta[1])
 
 
-def fit(texts: list[str], toxic: list[int]) -> ToxicModel:
-    """Learn from labelled texts (see the module's text)."""
+def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = None) -> ToxicModel:
+    """Learn from labelled texts (see the module's text); for ``totals`` see ``logistic``."""
     y = np.array(toxic, int)
     if len(y) == 0 or y.min() == y.max():
         return ToxicModel(None)
@@ -266,7 +275,7 @@ def fit(texts: list[str], toxic: list[int]) -> ToxicModel:
         order = z_mine @ beta[:-1]
     model = ToxicModel(weights)
     peak = np.concatenate([model.highest(*flat(texts[i : i + 64])) for i in range(0, len(texts), 64)])
-    return ToxicModel(weights, logistic(peak, y))
+    return ToxicModel(weights, logistic(peak, y, totals))
 
 
 def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -277,10 +286,11 @@ def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, most=SAMPLE) -> ToxicModel:
-    """A model from at most ``most`` labelled texts of each kind outside the held-out fold."""
+    """A model from at most ``most`` labelled texts of each kind outside the held-out fold, weighed by all of them."""
     rows = training_rows(docs, labels, "toxic", folds, held_out, most, LONGEST).collect()
     rows = sorted(rows, key=lambda r: (r["label"], r["text"] or ""))
-    return fit([r["text"] or "" for r in rows], [r["label"] for r in rows])
+    totals = label_totals(docs, labels, "toxic", folds, held_out)
+    return fit([r["text"] or "" for r in rows], [r["label"] for r in rows], totals)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from airgrid.llm import (
@@ -326,6 +328,31 @@ def test_toxicity(spark):
     assert extra[0] >= 0.7 and extra[1] >= 0.7 and max(extra[2], extra[3], extra[4]) < 0.7
 
 
+def test_capped_samples_keep_the_label_shares(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["thing", "other", "reach", "over", "stand", "little", "more"]
+    texts = [" ".join(rng.choices(words, k=12) + ["idiot"] * (i % 8 == 0)) for i in range(320)]
+    docs = corpus(spark, texts)
+    labels = spark.createDataFrame(
+        [(i, i % 8 > 0, i % 8 == 0) for i in range(320)], "doc_id bigint, quality boolean, toxic boolean"
+    ).selectExpr("doc_id", "int(quality) AS quality", "int(toxic) AS toxic")
+    quality = quality_classifier.learn(docs, labels, most=10)
+    trained = [i for i in range(320) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert quality.prior == pytest.approx(sum(i % 8 > 0 for i in trained) / len(trained))
+    blank = quality_classifier.score_quality(corpus(spark, [None, ""]), quality).collect()
+    assert [r.score for r in blank] == [pytest.approx(quality.prior)] * 2
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, totals=None: (Counter(toxic), totals))
+    trained = [i % 8 > 0 for i in range(320) if zlib.crc32(str(i).encode()) % 3 != 1]
+    sampled, totals = toxicity.learn(docs, labels, most=10)
+    assert sampled == {0: 10, 1: 10} and totals == (sum(trained), len(trained) - sum(trained))
+    x = np.array([0.0, 1, 2, 3, 0.5, 1.5, 2.5, 3.5])
+    y = np.array([0, 0, 0, 0, 1, 1, 1, 1])
+    whole = toxicity.logistic(np.tile(x, 500), np.tile(y, 500))
+    assert toxicity.logistic(x, y, (2000, 2000)) == toxicity.logistic(x, y)
+    slope, bias = toxicity.logistic(np.tile(x, 500), np.tile(y, 500), (8000, 1000))
+    assert slope == pytest.approx(whole[0], rel=0.1) and bias == pytest.approx(whole[1] - np.log(8), abs=0.2)
+
+
 def test_empty_tables(spark):
     docs = corpus(spark, ["x"]).limit(0)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
