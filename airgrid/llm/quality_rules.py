@@ -6,9 +6,9 @@ number of n-grams, is held against a fixed threshold, so every document is decid
 every run. Ratios are whole thousandths, which makes sums independent of their order.
 
 Scale. One pass counts buckets (map-side, so a task sends at most one row per bucket), one
-pass scores inside the row. No document is shuffled. Driver and tasks hold ``BUCKETS``
-numbers. The trusted documents are at most ``trusted_rows`` labelled ids, chosen by hash, a
-documented bound for the broadcast; the raw counts cover every document. Within a document
+pass scores inside the row. The trusted documents are all that are labelled good; the first
+pass joins their ids, for which the texts travel once unless the ids are few enough to
+broadcast. Driver and tasks hold ``BUCKETS`` numbers. Within a document
 the repeat search hashes windows, and only where hashes repeat are windows compared.
 
 Defined results. NULL and empty texts: no words, base_failed. NULL ids are scored as any
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from airgrid.llm.text import WORD, let, table, words
 
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 20_000
 THRESHOLD = -100  # thousandths per n-gram; trusted text stays above
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
@@ -103,20 +102,23 @@ def base_counts(text: Column, w: Column) -> dict[str, Column]:
     }
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``most`` ids labelled good, those of the lowest hashes."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids labelled good."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
     """Per bucket the log-likelihood ratio in thousandths, with one added to every count.
 
-    ``docs`` has doc_id and text; ``trusted`` has doc_id and is small enough to broadcast.
+    ``docs`` has doc_id and text; ``trusted`` has each doc_id once. Rows with NULL id, which are
+    never trusted, pass the join by, as it would send them all to one task.
     """
-    flagged = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left"
+    rows = docs.select("doc_id", "text")
+    named = rows.where(F.col("doc_id").isNotNull()).join(
+        trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left"
     )
+    unnamed = rows.where(F.col("doc_id").isNull()).withColumn("good", F.lit(None).cast("int"))
+    flagged = named.unionByName(unnamed)
     counted = (
         flagged.select("good", F.explode(let(words(F.col("text")), lambda w: grams(w, buckets))).alias("bucket"))
         .groupBy("bucket")

@@ -3,13 +3,14 @@
 The patterns give the base spans. Beyond them, long tokens are judged by two first-order
 Markov models over ASCII characters, one of random strings (learned from the values of all
 base spans in the corpus, plus one count for each pair of base-64 characters), one of
-ordinary identifiers (learned from the words of a bounded sample of documents in which the
-patterns found nothing). A token whose log-likelihood ratio per step reaches the threshold
+ordinary identifiers (learned from the words of all documents in which the patterns found
+nothing). A token whose log-likelihood ratio per step reaches the threshold
 is a span of kind ``markov``, unless it touches a base span.
 
-All steps are column expressions. Texts are read once: spans and tokens are written (they
-are a small part of the text), the models are counted from them, and the result is read
-off the written table. Positions come from the text between matches, so no match is searched
+All steps are column expressions. Texts are read twice: spans and tokens are written (they
+are a small part of the text), and the result is read off the written table; the second
+reading counts the ordinary words. Words are counted before their character pairs, so that a
+pair is made once for each distinct word of a task, not for each character. Positions come from the text between matches, so no match is searched
 twice. The models are 128 x 128 whole numbers, thousandths of the ratio.
 
 Defined results. NULL and empty texts: no spans, the hash of the empty string. Repeated rows
@@ -37,7 +38,6 @@ LEAST_VALUE = 6
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = r"[A-Za-z][A-Za-z_-]+"
-SAMPLE_DOCS = 5_000
 THRESHOLD = 700  # thousandths per step
 RANDOM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 SIZE = 128
@@ -70,14 +70,15 @@ def located(text: Column, pattern: str, rank: int, value_group: int = 0, least:
     return F.when(text.rlike(pattern), F.aggregate(rows, start, step, lambda acc: acc["spans"])).otherwise(none)
 
 
+def base_spans(text: Column) -> Column:
+    """All matches of the fixed patterns in a text that is not NULL."""
+    return F.concat(located(text, ASSIGN, 0, 2, LEAST_VALUE), located(text, ACCESS, 1), located(text, HEX, 2))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with ``base`` (sorted spans) and ``tokens`` (long tokens clear of them)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.sort_array(
-        F.concat(
-            located(text, ASSIGN, 0, 2, LEAST_VALUE), located(text, ACCESS, 1), located(text, HEX, 2)
-        )
-    )
+    base = F.sort_array(base_spans(text))
 
     def clear(spans: Column) -> Column:
         free = F.filter(
@@ -103,11 +104,12 @@ def _steps(value: Column) -> Column:
 def _counts(values: DataFrame) -> list[float]:
     """How often each pair of characters occurs in the column ``value``."""
     out = [0.0] * (SIZE * SIZE)
-    pairs = values.select(F.explode(_steps(F.col("value"))).alias("step")).where(
+    distinct = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    pairs = distinct.select("n", F.explode(_steps(F.col("value"))).alias("step")).where(
         F.col("step").between(0, SIZE * SIZE - 1)
     )
-    for row in pairs.groupBy("step").count().collect():  # at most SIZE * SIZE rows
-        out[row["step"]] = float(row["count"])
+    for row in pairs.groupBy("step").agg(F.sum("n").alias("n")).collect():  # at most SIZE * SIZE rows
+        out[row["step"]] = float(row["n"])
     return out
 
 
@@ -128,14 +130,11 @@ def ratio_table(random: list[float], ordinary: list[float]) -> list[int]:
     return out
 
 
-def train(found: DataFrame, docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[int]:
+def train(found: DataFrame, docs: DataFrame) -> list[int]:
     """The ratio table from scanned rows (doc_id, base, tokens) and the texts."""
     random = _counts(found.select(F.explode("base").alias("s")).select("s.value"))
-    clean = found.where((F.size("base") == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    ids = F.broadcast(clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    words = docs.select("doc_id", "text").join(ids, "doc_id").select(
-        F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("value")
-    )
+    clean = docs.select("text").where(F.size(base_spans(F.coalesce("text", F.lit("")))) == 0)
+    words = clean.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("value"))
     return ratio_table(random, _counts(words))
 
 

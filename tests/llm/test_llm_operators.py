@@ -224,6 +224,22 @@ def test_secret_scans(spark):
     assert masked[4].text.startswith("call [secret] and") and masked[6].text == texts[6]
 
 
+def test_models_gather_from_all_documents(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = ["number " + str(i).translate(letters) * 2 for i in range(5_300)]
+    rows = [(i if i % 3 else None, t) for i, t in enumerate([*texts, "secret=hidden99 outside"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    random_steps, ordinary = [0.0] * secrets.SIZE**2, [0.0] * secrets.SIZE**2
+    for counts, values in ((random_steps, ["hidden99"]), (ordinary, [w for t in texts for w in t.split()])):
+        for w in values:
+            for a, b in zip(w, w[1:]):
+                counts[ord(a) * secrets.SIZE + ord(b)] += 1
+    found = secrets.scan(docs).select("doc_id", "_found.base", "_found.tokens")
+    assert secrets.train(found, docs) == secrets.ratio_table(random_steps, ordinary)
+    labels = spark.range(20_050).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality_rules.trusted_ids(labels).count() == 20_050
+
+
 def test_mix(spark):
     sizes = {"b": 40, "a": 300, None: 30, "c": 3, "d": 0}
     texts, sources = [], []
