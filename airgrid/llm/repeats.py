@@ -20,8 +20,10 @@ third of all texts share sends one row for each piece. Names have 128 bits in al
 unit, or core and window). Texts travel twice, in the joins of steps 2 and 3. Groups collected
 are the repeats of one document.
 
-Rows that repeat an id must repeat its text; they count as one document and each get its
-result. A NULL id counts as an id lower than any other.
+Rows that repeat an id and its text count as one document and each get its result. Rows of one
+id and different texts are documents of their own, in the order of the texts' hashes. A NULL id
+counts as lower than any other and names nothing: each such row is a document of its own, in the
+order of the rows as written. ``row`` tells documents of one id apart.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid.llm import arrays
@@ -118,9 +120,35 @@ class Named:
         return text[at], start[at], np.diff(at, append=len(start)), chosen[at]
 
 
-def _id_ranks(ids: pa.Array) -> np.ndarray:
-    """Order of the ids, NULL first, equal ids alike."""
-    return pc.rank(ids, "ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, text) of all rows; ``row`` is 0 where an id has one text, as most have.
+
+    Ids of several texts, of which there are few, get the text's hash; rows without an id are
+    numbered and written, so that every reading sees the same numbers.
+    """
+    docs = docs.select("doc_id", "text")
+    named = docs.where(F.col("doc_id").isNotNull())
+    text = F.xxhash64("text")
+    several = named.groupBy(F.col("doc_id").alias("of")).agg(F.min(text).alias("a"), F.max(text).alias("b"))
+    several = stored(several.where("a <> b").select("of"), "repeat_ids")
+    row = F.when(F.col("of").isNotNull(), text).otherwise(F.lit(0).cast("bigint"))
+    named = named.join(several, F.col("doc_id") == F.col("of"), "left").select("doc_id", row.alias("row"), "text")
+    unnamed = docs.where(F.col("doc_id").isNull()).select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), "text"
+    )
+    return named.unionByName(stored(unnamed, "repeat_unnamed"))
+
+
+def _ranks(piece: pa.Table) -> np.ndarray:
+    """Order of the documents by (doc_id, row), NULL first, rows of one document alike."""
+    ids = pc.rank(_ids(piece), "ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+    row = piece.column("row").to_numpy()
+    order = np.lexsort((row, ids))
+    new = np.ones(len(order), np.int64)
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (row[order][1:] != row[order][:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
 
 
 def _settled(one: np.ndarray, two: np.ndarray, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -151,7 +179,7 @@ def _aside(one: np.ndarray, known: np.ndarray, rank: np.ndarray, start: np.ndarr
 
 
 def unit_rows(docs: DataFrame, method: Method) -> DataFrame:
-    """Step 1's rows of (doc_id, text)."""
+    """Step 1's rows of (doc_id, row, text)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
@@ -164,24 +192,24 @@ def unit_rows(docs: DataFrame, method: Method) -> DataFrame:
             end = start + count - 1 + method.length
             unit = arrays.mix(named.stretch(start, end) + (place - start).astype(np.uint64))
             own = start - named.first[:-1][text]
-            ids = _ids(piece)
-            rank = _id_ranks(ids)[text]
+            rank = _ranks(piece)[text]
             known = _settled(core, unit, rank, own)
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(_aside(core, known, rank, own)),
                     _signed(unit),
-                    ids.take(pa.array(text)),
+                    _ids(piece).take(pa.array(text)),
+                    pa.array(piece.column("row").to_numpy()[text]),
                     pa.array((own << _COUNT_BITS | count) << 1 | known),
                 ],
-                ["core", "unit", "doc_id", "at"],
+                ["core", "unit", "doc_id", "row", "at"],
             )
 
-    return in_tasks(docs, rows, f"core bigint, unit bigint, doc_id {kind}, at bigint")
+    return in_tasks(docs, rows, f"core bigint, unit bigint, doc_id {kind}, row bigint, at bigint")
 
 
 def window_rows(docs: DataFrame, method: Method) -> DataFrame:
-    """Step 2's rows of (doc_id, text, open: the unsettled units' starts and counts)."""
+    """Step 2's rows of (doc_id, row, text, open: the unsettled units' starts and counts)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
@@ -201,26 +229,26 @@ def window_rows(docs: DataFrame, method: Method) -> DataFrame:
                 continue
             name = named.stretch(start, start + method.length)
             own = start - named.first[:-1][text]
-            ids = _ids(piece)
-            rank = _id_ranks(ids)[text]
+            rank = _ranks(piece)[text]
             known = _settled(core, name, rank, own)
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(_aside(core, known, rank, own)),
                     _signed(name),
-                    ids.take(pa.array(text)),
+                    _ids(piece).take(pa.array(text)),
+                    pa.array(piece.column("row").to_numpy()[text]),
                     pa.array(own << 1 | known),
                 ],
-                ["core", "name", "doc_id", "at"],
+                ["core", "name", "doc_id", "row", "at"],
             )
 
-    return in_tasks(docs, rows, f"core bigint, name bigint, doc_id {kind}, at bigint")
+    return in_tasks(docs, rows, f"core bigint, name bigint, doc_id {kind}, row bigint, at bigint")
 
 
 def settled_units(docs: DataFrame, method: Method) -> DataFrame:
-    """Step 1, written: (doc_id, start, count, core, state); state 2 is repeated, 1 unsettled."""
+    """Step 1, written: (doc_id, row, start, count, core, state); state 2 is repeated, 1 unsettled."""
     units = unit_rows(docs, method).repartition("core")
-    earlier = F.rank().over(Window.partitionBy("core", "unit").orderBy("doc_id", "at"))
+    earlier = F.rank().over(Window.partitionBy("core", "unit").orderBy("doc_id", "row", "at"))
     known = F.col("at").bitwiseAND(F.lit(1)) == 1
     shared = Window.partitionBy("core")
     judged = units.withColumn("place", earlier).withColumn(
@@ -230,28 +258,32 @@ def settled_units(docs: DataFrame, method: Method) -> DataFrame:
     start = F.shiftright("at", _COUNT_BITS + 1).cast("int").alias("start")
     count = F.shiftright("at", 1).bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)).cast("int").alias("count")
     return stored(
-        judged.select("doc_id", start, count, "core", state.alias("state")).where("state IS NOT NULL"),
+        judged.select("doc_id", "row", start, count, "core", state.alias("state")).where("state IS NOT NULL"),
         "repeat_units",
     )
 
 
+def _same_document() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("nth"))
+
+
 def settled_windows(docs: DataFrame, units: DataFrame, method: Method) -> DataFrame:
-    """Step 2, written: (doc_id, start) of repeated windows in the unsettled units."""
+    """Step 2, written: (doc_id, row, start) of repeated windows in the unsettled units."""
     unsettled = (
         units.where("state = 1")
-        .groupBy(F.col("doc_id").alias("of"))
+        .groupBy(F.col("doc_id").alias("of"), F.col("row").alias("nth"))
         .agg(F.collect_list(F.struct("start", "count", "core")).alias("open"))
     )
-    texts = docs.join(unsettled, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "open")
+    texts = docs.join(unsettled, _same_document()).select("doc_id", "row", "text", "open")
     windows = window_rows(texts, method).repartition("core", "name")
-    earlier = F.rank().over(Window.partitionBy("core", "name").orderBy("doc_id", "at"))
+    earlier = F.rank().over(Window.partitionBy("core", "name").orderBy("doc_id", "row", "at"))
     known = F.col("at").bitwiseAND(F.lit(1)) == 1
     windows = windows.withColumn("place", earlier).where(known | (F.col("place") > 1))
-    return stored(windows.select("doc_id", F.shiftright("at", 1).cast("int").alias("start")), "repeat_windows")
+    return stored(windows.select("doc_id", "row", F.shiftright("at", 1).cast("int").alias("start")), "repeat_windows")
 
 
 def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
-    """(doc_id, start, end) ranges of symbols in windows that start earlier, too.
+    """(doc_id, row, start, end) ranges of symbols in windows that start earlier, too.
 
     Each step is written in a function of its own, so that Spark may drop the shuffle files
     of a step when the next one begins.
@@ -260,9 +292,9 @@ def repeated_ranges(docs: DataFrame, method: Method) -> DataFrame:
     windows = settled_windows(docs, units, method)
     length = F.lit(method.length)
     whole = units.where("state = 2").select(
-        "doc_id", "start", (F.col("start") + F.col("count") - 1 + length).alias("end")
+        "doc_id", "row", "start", (F.col("start") + F.col("count") - 1 + length).alias("end")
     )
-    return whole.unionByName(windows.select("doc_id", "start", (F.col("start") + length).alias("end")))
+    return whole.unionByName(windows.select("doc_id", "row", "start", (F.col("start") + length).alias("end")))
 
 
 def without_repeats(docs: DataFrame, method: Method, keep, kept_type: str) -> DataFrame:
@@ -271,13 +303,13 @@ def without_repeats(docs: DataFrame, method: Method, keep, kept_type: str) -> Da
     ``spans`` are the maximal removed runs as (start, end) in symbols. ``keep(data, offsets,
     removed)`` gives the bytes that stay, in a row, and where each text's part begins.
     """
-    docs = docs.select("doc_id", "text")
+    docs = keyed(docs)
     found = (
         repeated_ranges(docs, method)
-        .groupBy(F.col("doc_id").alias("of"))
+        .groupBy(F.col("doc_id").alias("of"), F.col("row").alias("nth"))
         .agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     )
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "ranges")
+    joined = docs.join(found, _same_document(), "left").select("doc_id", "text", "ranges")
     kind = docs.schema["doc_id"].dataType.simpleString()
     arrow_type = pa.binary() if kept_type == "binary" else pa.string()
 

@@ -11,8 +11,8 @@ run, 1, 2 and 2 for the pairs). Places where symbols of the last round begin rev
 window what names alone leave open.
 
 Defined results. NULL and empty texts: no words, nothing removed, the kept text empty. Texts
-below the window's length lose nothing. Rows that repeat an id count as one document (see
-``repeats``). Other columns do not matter.
+below the window's length lose nothing. Rows that repeat an id and its text count as
+one document, other rows of one id or of none as documents of their own (see ``repeats``). Other columns do not matter.
 """
 
 from __future__ import annotations

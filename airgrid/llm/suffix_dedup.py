@@ -13,7 +13,8 @@ for fixed-length repeats, and is not made.
 
 Defined results. NULL and empty texts: no bytes, nothing removed. Texts below the length
 lose nothing. Kept bytes are binary, as a cut may split a character. Rows that repeat an id
-count as one document (see ``repeats``). Other columns do not matter.
+and its text count as one document, other rows of one id or of none as documents of their own
+(see ``repeats``). Other columns do not matter.
 """
 
 from __future__ import annotations

@@ -86,6 +86,30 @@ def test_dedup_counts_repeated_rows_as_one_document(spark):
         assert out.count() == 4 and out.where("n_removed > 0").count() == 0
 
 
+def test_dedup_tells_rows_of_one_id_or_none_apart(spark):
+    rng = random.Random(9)
+    passage, own, other, last = (" ".join("%s%d" % (c, rng.randrange(10**6)) for _ in range(60)) for c in "abcd")
+    nameless = [passage + " " + own, passage + " " + own, other, passage]
+    rows = [(None, t) for t in nameless] + [(7, last + " " + other), (7, last), (7, last), (8, own + " x " + last)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for remove, split, join, length in (
+        (substring_dedup.remove_repeated_words, str.split, " ".join, 20),
+        (suffix_dedup.remove_repeated_bytes, lambda t: t.encode(), bytes, 100),
+    ):
+        found = remove(docs).collect()
+        kept = sorted(((r.doc_id or 0, bytes(r.kept) if length == 100 else r.kept) for r in found))
+        unsigned = spark.sql(f"SELECT xxhash64('{last} {other}') < xxhash64('{last}')").first()[0]
+        sevens = [last + " " + other, last] if unsigned else [last, last + " " + other]
+        texts = [*nameless, *sevens, own + " x " + last]
+        gone = repeated([split(t) for t in texts], length)
+        wanted = [
+            (i, join([x for x, g in zip(split(t), gone[k], strict=True) if not g]))
+            for k, (i, t) in enumerate(zip([0, 0, 0, 0, 7, 7, 8], texts, strict=True))
+        ]
+        wanted.append(next(w for w, t in zip(wanted, texts, strict=True) if w[0] == 7 and t == last))
+        assert kept == sorted(wanted)
+
+
 def jaccard_components(texts, words, percent):
     sets = []
     for t in texts:
