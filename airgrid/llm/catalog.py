@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from airgrid.llm import (
+    align_tokens,
     decontaminate,
+    fill_in_middle,
     jaccard_join,
     mixing,
+    piecewise_hash,
     quality_classifier,
     quality_rules,
     secrets,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_mix": mixing.op8_mix,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_align_tokens": align_tokens.op12_align_tokens,
+    "op13_fingerprints": piecewise_hash.op13_fingerprints,
 }
 
 SQL = {
@@ -34,4 +40,5 @@ SQL = {
     "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op8_mix": mixing.OP8_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
 }
