@@ -176,7 +176,7 @@ def test_names(spark):
     assert [r["m"] for r in got] == ["Año_1_x", "m", "m", "m", "a-b.c"]
     assert [r["d"] for r in got] == ["Año_1_x_PKL", "d", "d", "d", "a-b_c"]
     files = spark.createDataFrame([("/x/belisario_norte.v2.csv",)], "f string")
-    assert files.select(text.station_from_file(F.col("f")).alias("s")).first()["s"] == "Belisario Norte.v2"
+    assert files.select(text.station_from_file(F.col("f")).alias("s")).first()["s"] == "Belisario Norte.V2"
     names = spark.createDataFrame([("PM25_lag_24h",), ("hora_cos",)], "f string")
     got = names.select(text.lag_base(F.col("f")).alias("b"), text.lag_hours(F.col("f")).alias("h")).collect()
     assert [tuple(r) for r in got] == [("PM25", 24), (None, None)]
