@@ -89,8 +89,48 @@ def powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+class Doubled:
+    """Names of any stretch of a sequence of 64-bit symbols, without sums.
+
+    Stretches of 2**k symbols are named after their two halves, and any other stretch after the
+    first and the last 2**k symbols in it, so a name depends on all symbols and their order
+    through mixings only. Takes one pass a doubling: for stretches of words, not of bytes.
+    """
+
+    def __init__(self, symbols: np.ndarray, which: int = 0) -> None:
+        self.which = which
+        self.levels = [symbols]
+
+    def _level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            last, half = self.levels[-1], 1 << (len(self.levels) - 1)
+            out = last.copy()
+            if half < len(last):
+                out[:-half] = self._both(last[:-half], last[half:])
+            self.levels.append(out)
+        return self.levels[k]
+
+    def _both(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return mix(mix(one + np.uint64(ODD[self.which])) * np.uint64(ODD[1 - self.which]) + two)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = np.broadcast_to(end - start, np.shape(start))
+        out = np.zeros(len(size), np.uint64)
+        for k in range(int(size.max()).bit_length() if len(size) else 0):
+            at = np.flatnonzero((size >> k) == 1)
+            if len(at):
+                level, a = self._level(k), start[at]
+                named = self._both(level[a], level[a + size[at] - (1 << k)])
+                out[at] = mix(named + size[at].astype(np.uint64))
+        return out
+
+
 class Ranges:
-    """Fingerprints of any stretch of a sequence of 64-bit symbols."""
+    """Fingerprints of any stretch of a sequence of symbols, by power sums modulo 2**64.
+
+    Sums of stretches that follow a Thue-Morse order of 1,024 symbols or more can be equal; for
+    stretches of fewer symbols, such as windows of bytes.
+    """
 
     def __init__(self, symbols: np.ndarray, which: int = 0) -> None:
         self.which = which
@@ -128,9 +168,25 @@ def find_words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit symbol per word, equal for equal words."""
-    return Ranges(byte_symbols(seed)[data], seed % 2).of(starts, ends)
+def word_symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds: tuple[int, ...] = (0,)) -> list[np.ndarray]:
+    """For each seed a 64-bit symbol per word, equal for equal words.
+
+    A word is read in blocks of 8 bytes; each block's bytes and its number go through a mixing that
+    is not linear before blocks are summed, so no pattern of letters makes sums of unlike words meet.
+    """
+    size = ends - starts
+    blocks = -(-size // 8)
+    if not len(size):
+        return [np.zeros(0, np.uint64) for _ in seeds]
+    before = np.cumsum(size) - size
+    inner = np.arange(int(size.sum())) - np.repeat(before, size)
+    raw = data[inner + np.repeat(starts, size)].astype(np.uint64) << ((inner & 7) << 3).astype(np.uint64)
+    first = np.cumsum(blocks) - blocks
+    turn = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    packed = np.add.reduceat(raw, np.repeat(before, blocks) + 8 * turn)
+    numbered = (turn.astype(np.uint64) + np.uint64(1)) * np.uint64(ODD[1])
+    length = size.astype(np.uint64) * np.uint64(ODD[0])
+    return [mix(np.add.reduceat(mix(spread(packed, seed) + numbered), first) + length) for seed in seeds]
 
 
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

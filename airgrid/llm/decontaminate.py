@@ -44,7 +44,7 @@ class Sequence:
         data = arrays.LOWER[data]
         starts, ends, self.first = arrays.find_words(data, offsets, arrays.NOT_PLAIN)
         self.n = len(starts)
-        self.names = [arrays.Ranges(arrays.word_symbols(data, starts, ends, k), k) for k in (0, 1)]
+        self.names = [arrays.Doubled(w, k) for k, w in enumerate(arrays.word_symbols(data, starts, ends, (0, 1)))]
         self.owner = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
         self.end = self.first[1:][self.owner]  # of each word's text
 

@@ -61,8 +61,7 @@ _POS_BITS = 31
 def shingle_names(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Names of the distinct shingles of each text, sorted within it, and the bounds."""
     starts, ends, first = arrays.find_words(arrays.LOWER[data], offsets, arrays.SPACES)
-    symbols = arrays.word_symbols(arrays.LOWER[data], starts, ends)
-    ranges = arrays.Ranges(symbols, 1)
+    ranges = arrays.Doubled(arrays.word_symbols(arrays.LOWER[data], starts, ends)[0])
     n_words = np.diff(first)
     n = np.where(n_words >= words, n_words - words + 1, np.minimum(n_words, 1))
     text = np.repeat(np.arange(len(n)), n)

@@ -57,7 +57,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         member = np.zeros(256, bool)
         member[[b for g in groups for b in g]] = True
         columns.append(share(arrays.per_text(member[data], offsets), sizes))
-    symbols = arrays.word_symbols(data, starts, ends)
+    (symbols,) = arrays.word_symbols(data, starts, ends)
     owner = np.repeat(np.arange(n), n_words)
     distinct = np.bincount(
         owner[np.unique(arrays.mix(symbols ^ arrays.spread(owner, 3)), return_index=True)[1]], minlength=n

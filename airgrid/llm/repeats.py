@@ -56,12 +56,13 @@ class Parsed:
 
 @dataclass(frozen=True)
 class Method:
-    """How texts become symbols, the window's length, and how far a mark depends."""
+    """How texts become symbols, the window's length, how far a mark depends, how stretches are named."""
 
     parse: Callable[[np.ndarray, np.ndarray], Parsed]
     length: int
     reach: int
     piece: int
+    naming: type = arrays.Ranges
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -84,7 +85,7 @@ class Named:
     def __init__(self, parsed: Parsed, method: Method) -> None:
         self.method, self.first = method, parsed.first
         self.marks = parsed.marks
-        self.names = [arrays.Ranges(s, k) for k, s in enumerate(parsed.symbols)]
+        self.names = [method.naming(s, k) for k, s in enumerate(parsed.symbols)]
         self.n = len(parsed.symbols[0])
         self.sizes = np.diff(parsed.first)
 

@@ -71,7 +71,7 @@ def symbol_starts(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def parse(data: np.ndarray, offsets: np.ndarray) -> Parsed:
     starts, ends, first = arrays.find_words(data, offsets, arrays.SPACES)
-    one, two = (arrays.word_symbols(data, starts, ends, k) for k in (0, 1))
+    one, two = arrays.word_symbols(data, starts, ends, (0, 1))
     return Parsed((one, two), first, symbol_starts(one, first))
 
 
@@ -100,7 +100,7 @@ def remove_repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n, n_removed, spans, kept): words counted and removed, removed runs, kept text."""
     if window < 2 * REACH + 4:
         raise ValueError(f"a window has {2 * REACH + 4} words at least")
-    return without_repeats(docs, Method(parse, window, REACH, arrays.PIECE), keep_words, "string")
+    return without_repeats(docs, Method(parse, window, REACH, arrays.PIECE, arrays.Doubled), keep_words, "string")
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from airgrid.llm import (
+    arrays,
     components,
     decontaminate,
     jaccard_join,
@@ -413,3 +414,39 @@ def test_empty_benchmark_and_hash_of_nothing(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     rows = decontaminate.decontaminate(corpus(spark, ["a b", None]), bench).collect()
     assert {(r.n_words, r.n_hit) for r in rows} == {(2, 0), (0, 0)}
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_of_like_sums_differ(spark, n):
+    """Words whose power sums modulo 2**64 are equal are different words everywhere."""
+    one, two = thue_morse(n, "ab"), thue_morse(n, "ba")
+    rest = " ".join(f"r{i}" for i in range(19))
+    docs = corpus(spark, [f"{one} {rest}", f"{two} {rest}"])
+    assert [r.n_removed for r in substring_dedup.remove_repeated_words(docs).collect()] == [0, 0]
+    alone = corpus(spark, [one, two, one])
+    groups = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(alone, 3, 90).collect()}
+    assert groups == {0: 0, 1: 1, 2: 0}
+    items = spark.createDataFrame([("i", two)], "item_id string, text string")
+    hits = {r.doc_id: r.n_hit for r in decontaminate.decontaminate(alone, items).collect()}
+    assert hits == {0: 0, 1: 1, 2: 0}
+    # The same with words in that order.
+    words = [thue_morse(n, ("x ", "y ")), thue_morse(n, ("y ", "x "))]
+    groups = jaccard_join.similar_groups(corpus(spark, words), n, 90).collect()
+    assert {r.component_id for r in groups} == {0, 1}
+
+
+def test_names_of_stretches():
+    rng = np.random.default_rng(8)
+    symbols = rng.integers(0, 3, 300).astype(np.uint64)
+    names = arrays.Doubled(symbols)
+    start = rng.integers(0, 260, 2000)
+    end = start + rng.integers(0, 41, 2000)
+    found = names.of(start, end)
+    meant = {}
+    for a, b, name in zip(start.tolist(), end.tolist(), found.tolist(), strict=True):
+        assert meant.setdefault(name, tuple(symbols[a:b])) == tuple(symbols[a:b])
+    assert len(meant) == len({tuple(symbols[a:b]) for a, b in zip(start, end, strict=True)})
