@@ -6,9 +6,9 @@ number of n-grams, is held against a fixed threshold, so every document is decid
 every run. Ratios are whole thousandths, which makes sums independent of their order.
 
 Scale. One pass counts buckets (map-side, so a task sends at most one row per bucket), one
-pass scores inside the row. The trusted documents are all that are labelled good; the first
-pass joins their ids, for which the texts travel once unless the ids are few enough to
-broadcast. Driver and tasks hold ``BUCKETS`` numbers. Within a document
+pass scores inside the row. The trusted documents are all that are labelled good. Their ids are
+counted first: up to ``MOST_BROADCAST`` (some 50 MB) they are sent to the tasks and no text moves;
+above that one shuffle joins texts and ids. Driver and tasks hold ``BUCKETS`` numbers. Within a document
 the repeat search hashes windows, and only where hashes repeat are windows compared.
 
 Defined results. NULL and empty texts: no words, base_failed. NULL ids are scored as any
@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airgrid.llm.text import WORD, let, table, words
+from airgrid.session import stored
 
 BUCKETS = 1 << 14
 THRESHOLD = -100  # thousandths per n-gram; trusted text stays above
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
+MOST_BROADCAST = 1 << 21  # trusted ids
 
 
 def grams(w: Column, buckets: int = BUCKETS) -> Column:
@@ -107,18 +109,29 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def gram_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """Per bucket the log-likelihood ratio in thousandths, with one added to every count.
+def flagged_texts(docs: DataFrame, trusted: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """(text, good) of all rows; ``good`` is 1 for trusted ids, else NULL.
 
-    ``docs`` has doc_id and text; ``trusted`` has each doc_id once. Rows with NULL id, which are
-    never trusted, pass the join by, as it would send them all to one task.
+    In the shuffle rows with NULL id, which are never trusted, pass the join by, as it would
+    send them all to one task.
     """
     rows = docs.select("doc_id", "text")
-    named = rows.where(F.col("doc_id").isNotNull()).join(
-        trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left"
-    )
+    known = stored(trusted.select("doc_id", F.lit(1).alias("good")), "trusted_ids")
+    if known.count() <= most_broadcast:
+        return rows.join(F.broadcast(known), "doc_id", "left").select("text", "good")
+    named = rows.where(F.col("doc_id").isNotNull()).join(known.hint("merge"), "doc_id", "left")
     unnamed = rows.where(F.col("doc_id").isNull()).withColumn("good", F.lit(None).cast("int"))
-    flagged = named.unionByName(unnamed)
+    return named.unionByName(unnamed).select("text", "good")
+
+
+def gram_ratios(
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, most_broadcast: int = MOST_BROADCAST
+) -> list[int]:
+    """Per bucket the log-likelihood ratio in thousandths, with one added to every count.
+
+    ``docs`` has doc_id and text; ``trusted`` has each doc_id once.
+    """
+    flagged = flagged_texts(docs, trusted, most_broadcast)
     counted = (
         flagged.select("good", F.explode(let(words(F.col("text")), lambda w: grams(w, buckets))).alias("bucket"))
         .groupBy("bucket")

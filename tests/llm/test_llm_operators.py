@@ -450,3 +450,11 @@ def test_names_of_stretches():
     for a, b, name in zip(start.tolist(), end.tolist(), found.tolist(), strict=True):
         assert meant.setdefault(name, tuple(symbols[a:b])) == tuple(symbols[a:b])
     assert len(meant) == len({tuple(symbols[a:b]) for a, b in zip(start, end, strict=True)})
+
+
+def test_quality_rules_by_broadcast_and_by_shuffle(spark, texts):
+    """The ratios are the same whichever way texts meet the trusted ids, NULL ids included."""
+    docs = corpus(spark, texts).unionByName(spark.createDataFrame([(None, "no id", "en", "s", 5, 1, None)], SCHEMA))
+    trusted = spark.createDataFrame([(i,) for i in range(0, len(texts), 2)], "doc_id bigint")
+    one, two = (quality_rules.gram_ratios(docs, trusted, 512, most) for most in (quality_rules.MOST_BROADCAST, 0))
+    assert one == two and len(set(one)) > 3
