@@ -1,4 +1,11 @@
-"""Queries that fit a model on the given tables. No SQL twin exists for them."""
+"""Queries that fit a model on the given tables.
+
+The booster's settings are the defaults, but for the number of rounds: ``ROUNDS`` bounds what
+one machine spends on them (each round is a handful of Spark jobs). Scores have no SQL twin;
+which rows are fitted, folded, explained and scored has, in the ``_rows`` queries.
+
+Queries of one session share what they fit.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +14,31 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.catalog import views as v
 from airgrid.catalog.modelling_tables import USER, _scenarios, _with_weather
-from airgrid.catalog.registry import query, r6, ts_text
+from airgrid.catalog.registry import query, r6, s_ts, ts_text, with_sql
 from airgrid.functions import moments
 from airgrid.models import boosted, importance, shap
 from airgrid.operators import features as fe
-from airgrid.operators import metrics, quality, schema, splits, stats
+from airgrid.operators import fills, metrics, quality, schema, splits, stats
 from airgrid.plans import scoring
 from airgrid.session import stored
 
-QUICK = boosted.BoostParams(rounds=5, depth=3, rate=0.3)
+ROUNDS = 100
+PARAMS = boosted.BoostParams(rounds=ROUNDS)
 TARGET = "value"
 IDS = ("user_id", "ts")
+_DONE: dict[tuple, object] = {}
+
+
+def _once(name, make):
+    """``make(spark, sf)``, once per session and folder."""
+
+    def made(spark, sf):
+        key = (name, spark.sparkContext.applicationId, sf)
+        if key not in _DONE:
+            _DONE[key] = make(spark, sf)
+        return _DONE[key]
+
+    return made
 
 
 def _features(spark, sf):
@@ -28,65 +49,157 @@ def _columns(df):
     return [c for c in schema.numeric_columns(df) if c not in (TARGET, "user_id")]
 
 
-def _fitted(spark, sf):
+def _fit(spark, sf):
     """A model on the fit rows, and all rows with vector, label and role."""
     full = _features(spark, sf)
     columns = _columns(full)
     split = splits.chronological_split(full, USER)
-    rows = boosted.assemble(split, columns, TARGET).select(
-        "user_id", "ts", "role", boosted.VECTOR, boosted.LABEL
-    ).persist()
-    model = boosted.fit_boosted(rows.filter("role = 'fit'"), rows.filter("role = 'val'"), QUICK)
+    rows = stored(
+        boosted.assemble(split, columns, TARGET).select("user_id", "ts", "role", boosted.VECTOR, boosted.LABEL), "fitted"
+    )
+    model = boosted.fit_boosted(rows.filter("role = 'fit'"), rows.filter("role = 'val'"), PARAMS)
     return model, rows, columns
 
 
+_fitted = _once("fitted", _fit)
+
+
+def _wide(spark, sf):
+    """All event types of a station's hours, gaps filled, with the features of each of them."""
+    hourly = fills.impute_temporal(v.hourly(spark, sf), v.VARIABLES)
+    timed = _with_weather(hourly.withColumn(TARGET, F.col("view"))).drop(TARGET)
+    return stored(fe.build_features(stored(timed), v.VARIABLES))
+
+
 @query("select_features")
 def select_features(spark, sf):
-    """Forest importance of all features; the ten best are selected."""
-    full = _features(spark, sf)
-    split = splits.chronological_split(full, USER, inner_ratio=None).filter("role = 'train'")
-    _, table = boosted.select_features(split, _columns(full), TARGET, n=10, trees=20)
+    """Forest importance of the features of all event types; the forty best are selected."""
+    full = _wide(spark, sf)
+    split = splits.chronological_split(full, inner_ratio=None).filter("role = 'train'")
+    columns = [c for c in schema.numeric_columns(full) if c not in ("view", "station")]
+    _, table = boosted.select_features(stored(split), columns, "view")
     return table
 
 
 @query("train_boosted")
 def train_boosted(spark, sf):
     """Scores of a boosted model on its fit, validation and test rows."""
-    fitted, rows, _ = _fitted(spark, sf)
+    fitted, rows, _ = _fit(spark, sf)
     predicted = boosted.predict(fitted.model, rows)
     return metrics.regression_metrics(predicted, ("role",), boosted.LABEL, boosted.PREDICTION)
 
 
+BUILT = (
+    "built AS (SELECT *, row_number() OVER w AS k, lag(value, 24) OVER w AS before FROM series "
+    "WINDOW w AS (PARTITION BY user_id ORDER BY ts)), "
+    "complete AS (SELECT user_id, ts, value, row_number() OVER w AS pos, count(*) OVER (PARTITION BY user_id) AS n "
+    "FROM built WHERE value IS NOT NULL AND before IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)), "
+    "part AS (SELECT *, CASE WHEN pos <= floor(floor(n * 0.8::DOUBLE) * 0.8::DOUBLE) THEN 'fit' "
+    "WHEN pos <= floor(n * 0.8::DOUBLE) THEN 'val' ELSE 'test' END AS role FROM complete)"
+)
+
+
+@query(
+    "train_boosted_rows",
+    with_sql(v.SERIES, BUILT, "SELECT role, count(*) AS n, true AS better_than_mean FROM part GROUP BY role"),
+)
+def train_boosted_rows(spark, sf):
+    """Rows the model was fitted, stopped and tested on, and whether it beats their mean."""
+    fitted, rows, _ = _fitted(spark, sf)
+    scores = metrics.regression_metrics(boosted.predict(fitted.model, rows), ("role",), boosted.LABEL, boosted.PREDICTION)
+    return scores.select("role", "n", (F.col("r2") > 0).alias("better_than_mean"))
+
+
+def _validate(spark, sf):
+    full = _hours(spark, sf)
+    columns = [c for c in schema.numeric_columns(full) if c not in (*v.VARIABLES, "station")]
+    features = {t: columns for t in v.VARIABLES}
+    return boosted.cross_validate(full, (*v.VARIABLES, "refund"), features, params=PARAMS)
+
+
+def _hours(spark, sf):
+    """Stations' hours as they are, with clock and weather features."""
+    weather = _with_weather(v.hourly(spark, sf).withColumn(TARGET, F.coalesce(*v.VARIABLES))).drop(TARGET)
+    timed = weather.withColumns(fe.derived_columns(weather.columns, F.col("ts"))).withColumns(
+        moments.cyclic_columns(F.col("ts"))
+    )
+    return stored(timed)
+
+
+_validated = _once("validated", _validate)
+
+
 @query("cross_validate")
 def cross_validate(spark, sf):
-    """Scores per target and chronological fold."""
-    full = _features(spark, sf).withColumn("half", F.col(TARGET) / 2)
-    columns = _columns(full.drop("half"))
-    result = boosted.cross_validate(
-        full, (TARGET, "half"), {t: columns for t in (TARGET, "half")}, USER,
-        folds=3, params=boosted.BoostParams(rounds=4, depth=3, rate=0.3),
+    """Scores per event type and chronological fold; a type that is no column has its rows, too."""
+    return _validated(spark, sf).folds
+
+
+def _fold_sql(keys: str, folds: int, source: str) -> str:
+    """Rows of each validation block: n // (folds + 1) of every series."""
+    types = ", ".join(f"('{t}')" for t in v.VARIABLES)
+    counted = " UNION ALL ".join(
+        f"SELECT '{t}' AS target, {keys}, count(\"{t}\") AS n FROM {source} GROUP BY {keys}" for t in v.VARIABLES
+    )
+    return (
+        f"counted AS ({counted}), blocks AS (SELECT target, sum(n) AS total, sum(n // {folds + 1}) AS n FROM counted "
+        f"GROUP BY target), names AS (SELECT * FROM (VALUES {types}) AS t(target))"
     )
-    return result.folds
+
+
+@query(
+    "cross_validate_rows",
+    with_sql(
+        v.READINGS, v.HOURLY, _fold_sql("station", 5, "hourly"),
+        "SELECT target, CAST(fold AS INTEGER) AS fold, CASE WHEN total < 100 THEN 0 ELSE n END::BIGINT AS n, "
+        "CASE WHEN total < 100 THEN 'too_few_rows' ELSE 'ok' END AS status FROM blocks, "
+        "(SELECT unnest(range(1, 6)) AS fold) UNION ALL "
+        "SELECT 'refund', CAST(unnest(range(1, 6)) AS INTEGER), 0::BIGINT, 'absent'",
+    ),
+)
+def cross_validate_rows(spark, sf):
+    """Validation rows and status of every fold."""
+    return _validated(spark, sf).folds.select("target", "fold", "n", "status")
+
+
+def _several(spark, sf):
+    full = _hours(spark, sf)
+    columns = [c for c in schema.numeric_columns(full) if c not in (*v.VARIABLES, "station")]
+    split = splits.chronological_split(full, inner_ratio=None)
+    train = stored(split.filter("role = 'train'"))
+    return boosted.fit_multi_target(train, columns, v.VARIABLES, params=PARAMS)
+
+
+_multi = _once("multi", _several)
 
 
 @query("multi_target")
 def multi_target(spark, sf):
     """One model per event type on the same rows; missing targets become means."""
-    wide = _with_weather(
-        v.user_hourly(spark, sf).withColumn("value", F.coalesce(*v.VARIABLES))
-    )
-    timed = wide.withColumns(fe.derived_columns(wide.columns, F.col("ts")))
-    targets = ("view", "click")
-    columns = [c for c in schema.numeric_columns(timed) if c not in (*v.VARIABLES, TARGET, "user_id")]
-    split = splits.chronological_split(stored(timed), USER, inner_ratio=None)
-    train = stored(split.filter("role = 'train'"))
-    result = boosted.fit_multi_target(
-        train, columns, targets, USER, folds=2, batch=2,
-        params=boosted.BoostParams(rounds=6, depth=3, rate=0.3),
-    )
+    result = _multi(spark, sf)
     return result.cross_validated.folds.withColumn("final_rounds", F.lit(result.rounds))
 
 
+@query(
+    "multi_target_rows",
+    with_sql(
+        v.READINGS, v.HOURLY,
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY ts) AS pos, "
+        "count(*) OVER (PARTITION BY station) AS m FROM hourly), "
+        "train AS (SELECT * FROM placed WHERE pos <= floor(m * 0.8::DOUBLE))",
+        _fold_sql("station", 5, "train"),
+        "SELECT target, CAST(fold AS INTEGER) AS fold, n::BIGINT AS n, 'ok' AS status, true AS fitted FROM blocks, "
+        "(SELECT unnest(range(1, 6)) AS fold)",
+    ),
+)
+def multi_target_rows(spark, sf):
+    """Validation rows and status of every fold, and whether the final model is as long as all others."""
+    result = _multi(spark, sf)
+    whole = [t for t, m in result.models.items() if m.rounds == result.rounds]
+    folds = result.cross_validated.folds.select("target", "fold", "n", "status")
+    return folds.withColumn("fitted", F.col("target").isin(whole))
+
+
 @query("learning_curve")
 def learning_curve(spark, sf):
     """Error after each boosting round on fit and validation rows."""
@@ -101,25 +214,26 @@ def learning_curve(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    """Drop in R2 per shuffled feature on the test rows."""
+    """Drop in R2 per shuffled feature on the test rows, eight times each."""
     fitted, rows, columns = _fitted(spark, sf)
     test = rows.filter("role = 'test'")
-    return importance.permutation_importance(fitted.model, test, columns, IDS, repeats=2)
+    return importance.permutation_importance(fitted.model, test, columns, IDS)
 
 
 @query("permutation_importance_mse")
 def permutation_importance_mse(spark, sf):
-    """Rise in squared error per shuffled feature on all test rows."""
+    """Rise in squared error per shuffled feature on all test rows, four times each."""
     fitted, rows, columns = _fitted(spark, sf)
     test = rows.filter("role = 'test'")
-    return importance.permutation_importance(
-        fitted.model, test, columns, IDS, repeats=2, score="mse"
-    )
+    return importance.permutation_importance(fitted.model, test, columns, IDS, repeats=4, score="mse")
 
 
-def _explained(spark, sf):
+def _explain(spark, sf):
     fitted, rows, columns = _fitted(spark, sf)
-    return shap.tree_shap(fitted.model, rows.filter("role = 'test'"), columns, IDS)
+    return stored(shap.tree_shap(fitted.model, rows.filter("role = 'test'"), columns, IDS), "explained")
+
+
+_explained = _once("explained", _explain)
 
 
 @query("tree_shap")
@@ -130,6 +244,26 @@ def tree_shap(spark, sf):
     )
 
 
+@query(
+    "tree_shap_rows",
+    with_sql(
+        v.SERIES, BUILT,
+        "SELECT user_id, " + s_ts("ts", "ts") + ", 24::BIGINT AS n_features, true AS adds_up FROM part WHERE role = 'test'",
+    ),
+)
+def tree_shap_rows(spark, sf):
+    """The explained rows, and whether base and values add up to the prediction."""
+    fitted, rows, _ = _fitted(spark, sf)
+    sums = _explained(spark, sf).groupBy(*IDS).agg(
+        F.count(F.lit(1)).alias("n_features"), (F.first("base") + F.sum("phi")).alias("total")
+    )
+    predicted = boosted.predict(fitted.model, rows.filter("role = 'test'")).select(*IDS, boosted.PREDICTION)
+    near = F.abs(F.col("total") - F.col(boosted.PREDICTION)) < 1e-6
+    return predicted.join(sums, list(IDS)).select(
+        "user_id", ts_text("ts").alias("ts"), "n_features", near.alias("adds_up")
+    )
+
+
 @query("shap_global")
 def shap_global(spark, sf):
     """Mean absolute contribution per feature."""
@@ -138,22 +272,42 @@ def shap_global(spark, sf):
 
 @query("first_prediction")
 def first_prediction(spark, sf):
-    """The contributions for the first sampled row alone."""
+    """The contributions for the first row alone."""
     values = shap.first_explained(_explained(spark, sf), IDS)
     return values.select("feature", "phi", "base")
 
 
+def _recent(spark, sf):
+    fitted, rows, _ = _fitted(spark, sf)
+    predicted = boosted.predict(fitted.model, rows.filter("role = 'test'"))
+    return quality.last_days(predicted, USER, config.PLOT_DAYS)
+
+
 @query("real_vs_predicted")
 def real_vs_predicted(spark, sf):
     """Observed and predicted values of each series' last seven test days."""
-    fitted, rows, _ = _fitted(spark, sf)
-    predicted = boosted.predict(fitted.model, rows.filter("role = 'test'"))
-    recent = quality.last_days(predicted, USER, config.PLOT_DAYS)
-    return recent.select(
+    return _recent(spark, sf).select(
         "user_id", ts_text("ts").alias("ts"), F.col("label").alias("real"), "prediction"
     )
 
 
+@query(
+    "real_vs_predicted_rows",
+    with_sql(
+        v.SERIES, BUILT,
+        "SELECT user_id, " + s_ts("ts", "ts") + ", value AS real, true AS predicted FROM "
+        "(SELECT *, max(ts) OVER (PARTITION BY user_id) AS last FROM part WHERE role = 'test') "
+        "WHERE ts >= last - INTERVAL 7 DAY",
+    ),
+)
+def real_vs_predicted_rows(spark, sf):
+    """The same rows, and whether each has a prediction."""
+    return _recent(spark, sf).select(
+        "user_id", ts_text("ts").alias("ts"), F.col("label").alias("real"),
+        F.col("prediction").isNotNull().alias("predicted"),
+    )
+
+
 SCENARIO_COLUMNS = (*config.WEATHER, "hora_sin", "hora_cos", "es_finde", "click", "error")
 
 
@@ -171,10 +325,8 @@ def score_scenarios(spark, sf):
     means = hourly.groupBy("station").agg(*[F.avg(c).alias(c) for c in lookups])
     training = timed.fillna(0.0, list(lookups))
     rows = boosted.assemble(training, SCENARIO_COLUMNS, "view")
-    split = splits.chronological_split(
-        rows.select("station", "ts", boosted.VECTOR, boosted.LABEL)
-    ).persist()
-    fitted = boosted.fit_boosted(split.filter("role = 'fit'"), split.filter("role = 'val'"), QUICK)
+    split = stored(splits.chronological_split(rows.select("station", "ts", boosted.VECTOR, boosted.LABEL)))
+    fitted = boosted.fit_boosted(split.filter("role = 'fit'"), split.filter("role = 'val'"), PARAMS)
     assembled = scoring.assemble_scenarios(
         _scenarios(spark, sf), SCENARIO_COLUMNS, climatology, means, spread="event_id"
     )

@@ -89,6 +89,42 @@ def with_position(
     )
 
 
+def with_positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    counted: Mapping[str, Column],
+    cell: Cell = month_cell,
+) -> DataFrame:
+    """Number the rows of several conditions at once: ``pos_<name>`` and ``n_<name>``.
+
+    The position counts only rows of the key for which the condition holds; other rows have
+    none. All conditions share the same exchanges.
+    """
+    keys = list(keys)
+    celled = df.withColumn("__cell", cell(order))
+    for name, holds in counted.items():
+        celled = celled.withColumn(f"__f_{name}", F.when(holds, 1).otherwise(0))
+    along = Window.partitionBy(*keys).orderBy("__cell")
+    before, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    counts = celled.groupBy(*keys, "__cell").agg(*[F.sum(f"__f_{n}").alias(f"__n_{n}") for n in counted])
+    carried = [
+        column
+        for n in counted
+        for column in (
+            F.coalesce(F.sum(f"__n_{n}").over(before), F.lit(0)).alias(f"__b_{n}"),
+            F.sum(f"__n_{n}").over(whole).alias(f"n_{n}"),
+        )
+    ]
+    inside = Window.partitionBy(*keys, "__cell").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = celled.join(counts.select(*keys, "__cell", *carried), [*keys, "__cell"])
+    placed = [
+        F.when(F.col(f"__f_{n}") == 1, F.col(f"__b_{n}") + F.sum(f"__f_{n}").over(inside)).alias(f"pos_{n}")
+        for n in counted
+    ]
+    return joined.select(*df.columns, *placed, *[f"n_{n}" for n in counted])
+
+
 def over_rows(
     df: DataFrame,
     keys: Sequence[str],

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Model
-from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrid import config
+from airgrid.models.trees import TreeModel
 from airgrid.operators import quality
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm"
@@ -67,15 +66,16 @@ def write_results(path: str, tables: Mapping[str, DataFrame], kinds: Sequence[st
                 writer.format(kind).save(f"{path}/{name}.{kind}")
 
 
-def save_model(model: Model, path: str, tables: Mapping[str, DataFrame]) -> None:
-    """The fitted model with the tables scoring needs beside it."""
-    model.write().overwrite().save(f"{path}/model")
+def save_model(model: TreeModel, path: str, tables: Mapping[str, DataFrame]) -> None:
+    """The fitted model, a row per node, with the tables scoring needs beside it."""
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+    model.save(spark, f"{path}/model")
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-def load_model(spark: SparkSession, path: str, names: Sequence[str]) -> tuple[Model, dict[str, DataFrame]]:
-    model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+def load_model(spark: SparkSession, path: str, names: Sequence[str]) -> tuple[TreeModel, dict[str, DataFrame]]:
+    model = TreeModel.load(spark, f"{path}/model")
     return model, {name: spark.read.parquet(f"{path}/{name}") for name in names}
 
 

@@ -1,5 +1,6 @@
 """Models: fitting, importance, SHAP, the training and scoring jobs."""
 
+import dataclasses
 import datetime as dt
 import itertools
 import math
@@ -7,12 +8,14 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from airgrid import config
-from airgrid.models import boosted, importance, shap
+from airgrid.models import boosted, importance, shap, trees
 from airgrid.operators import features, splits, stats
 from airgrid.plans import scoring, training
+from airgrid.session import stored
 
 QUICK = boosted.BoostParams(rounds=4, depth=3, rate=0.5)
 
@@ -47,10 +50,89 @@ def test_best_round_waits():
 
 def test_curves_and_rounds(fitted):
     model, rows = fitted
-    assert len(model.val_curve) == QUICK.rounds
-    assert model.model.getNumTrees == model.rounds
+    assert len(model.val_curve) == len(model.train_curve) == QUICK.rounds
+    assert model.model.rounds == model.rounds
     again = boosted.rmse_curve(model.model, rows.filter("role = 'val'"))
     assert again == pytest.approx(model.val_curve[: model.rounds])
+    assert model.train_curve == sorted(model.train_curve, reverse=True)
+
+
+def test_a_stop_keeps_the_first_trees(fitted):
+    """Patience ends the growing, and the model is the first trees of a longer one."""
+    _, rows = fitted
+    fit = rows.filter("role = 'fit'")
+    # Validation labels that no tree can follow: the error soon rises.
+    val = rows.filter("role = 'val'").withColumn("label", 20 - F.col("label"))
+    impatient = boosted.BoostParams(rounds=40, depth=3, rate=0.5, patience=2)
+    stopped = boosted.fit_boosted(fit, val, impatient)
+    assert len(stopped.val_curve) == stopped.rounds + 2 < 40
+    assert stopped.val_curve[stopped.rounds - 1] == min(stopped.val_curve)
+    longer = boosted.fit_boosted(fit, val, dataclasses.replace(impatient, patience=50, rounds=stopped.rounds + 1))
+    for one, two in zip(stopped.model.trees, longer.model.trees):
+        assert all(np.array_equal(getattr(one, f), getattr(two, f)) for f in trees.FIELDS)
+    assert boosted.BoostParams().rounds == 2000 and boosted.BoostParams().patience == 50
+
+
+def plain_tree(x, y, margin, depth, params):
+    """A tree by the definition, from all distinct cuts."""
+    g = margin - y
+    soft = lambda s: np.sign(s) * max(abs(s) - params.l1, 0)
+    score = lambda s, n: soft(s) ** 2 / (n + params.l2)
+    out = np.zeros(len(y))
+
+    def split(rows, level):
+        best = (1e-12, None)
+        if level < depth:
+            for f in range(x.shape[1]):
+                for cut in np.unique(x[rows, f])[:-1]:
+                    left = rows[x[rows, f] <= cut]
+                    right = rows[x[rows, f] > cut]
+                    gain = 0.5 * (score(g[left].sum(), len(left)) + score(g[right].sum(), len(right)) - score(g[rows].sum(), len(rows)))
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (left, right))
+        if best[1] is None:
+            out[rows] = -params.rate * soft(g[rows].sum()) / (len(rows) + params.l2)
+        else:
+            for part in best[1]:
+                split(part, level + 1)
+
+    split(np.arange(len(y)), 0)
+    return out
+
+
+def test_trees_equal_the_definition(spark):
+    """Few distinct values, so that codes are exact; many tasks and one give the same trees."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 12, (500, 3)).astype(float)
+    y = 3 * x[:, 0] + (x[:, 1] > 5) * 7 + rng.normal(0, 0.1, 500)
+    params = boosted.BoostParams(rounds=4, depth=3, rate=0.3, subsample=1.0, columns=1.0)
+    df = spark.createDataFrame([(i, *map(float, a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "id int, a double, b double, c double, y double")
+    rows = boosted.assemble(df.repartition(5), ["a", "b", "c"], "y")
+    model = boosted.fit_boosted(rows, None, params).model
+    margin = np.full(500, y.mean())
+    for _ in range(4):
+        margin += plain_tree(x, y, margin, 3, params)
+    assert model.predict(x) == pytest.approx(margin, abs=1e-9)
+    spread_out = trees.TASK_ROWS
+    try:
+        trees.TASK_ROWS = 100
+        again = boosted.fit_boosted(rows, None, params).model
+    finally:
+        trees.TASK_ROWS = spread_out
+    assert again.predict(x) == pytest.approx(margin, abs=1e-9)
+
+
+def test_regularised_leaves_and_saved_models(spark, fitted, tmp_path):
+    model, rows = fitted
+    strict = boosted.BoostParams(rounds=2, depth=3, rate=0.5, gamma=1e9)
+    flat = boosted.fit_boosted(rows.filter("role = 'fit'"), None, strict)
+    assert all(len(t.left) == 1 for t in flat.model.trees)
+    model.model.save(spark, str(tmp_path / "m"))
+    back = trees.TreeModel.load(spark, str(tmp_path / "m"))
+    x = np.random.default_rng(1).uniform(-1, 1, (50, 3))
+    assert np.array_equal(back.predict(x), model.model.predict(x))
+    predicted = boosted.predict(model.model, rows)
+    assert dict(predicted.dtypes) == {**dict(rows.dtypes), "prediction": "double"}
 
 
 def test_shap_adds_up_to_the_prediction(fitted):
@@ -67,97 +149,165 @@ def test_shap_adds_up_to_the_prediction(fitted):
     assert len(first) == 3 and {r["station"] for r in first} == {"a"}
 
 
-def expected_value(nodes, x, known, node=0):
+def expected(tree, x, known, node=0):
     """Expectation of a tree with some features known, by walking it."""
-    n = nodes[node]
-    if n["left"] < 0:
-        return n["prediction"]
-    if n["feature"] in known:
-        return expected_value(nodes, x, known, n["left" if x[n["feature"]] <= n["threshold"] else "right"])
-    left, right = nodes[n["left"]], nodes[n["right"]]
-    share = left["count"] / n["count"]
-    return share * expected_value(nodes, x, known, n["left"]) + (1 - share) * expected_value(
-        nodes, x, known, n["right"]
-    )
+    if tree.left[node] < 0:
+        return tree.value[node]
+    f = tree.feature[node]
+    if f in known:
+        return expected(tree, x, known, tree.left[node] if x[f] <= tree.threshold[node] else tree.right[node])
+    share = tree.count[tree.left[node]] / tree.count[node]
+    return share * expected(tree, x, known, tree.left[node]) + (1 - share) * expected(tree, x, known, tree.right[node])
+
+
+def by_definition(tree, x, d):
+    """Shapley values by summing over all coalitions."""
+    out = np.zeros(d)
+    for i in range(d):
+        others = [j for j in range(d) if j != i]
+        for size in range(d):
+            for coalition in itertools.combinations(others, size):
+                weight = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
+                out[i] += weight * (expected(tree, x, {*coalition, i}) - expected(tree, x, set(coalition)))
+    return out
+
+
+def random_tree(rng, features, depth, repeat=True):
+    nodes = [{"feature": -1, "cut": -1, "threshold": 0.0, "left": -1, "right": -1, "value": 0.0, "count": 1000.0}]
+
+    def grow(at, level, free):
+        if level == depth or (level > 1 and rng.random() < 0.2) or not free:
+            nodes[at]["value"] = rng.uniform(-5, 5)
+            return
+        f = rng.choice(free)
+        share = rng.uniform(0.1, 0.9)
+        nodes[at].update(feature=f, threshold=rng.uniform(-1, 1), left=len(nodes), right=len(nodes) + 1)
+        for s in (share, 1 - share):
+            nodes.append({**nodes[0], "feature": -1, "left": -1, "right": -1, "count": nodes[at]["count"] * s})
+        left, right = nodes[at]["left"], nodes[at]["right"]
+        free = free if repeat else [x for x in free if x != f]
+        grow(left, level + 1, free)
+        grow(right, level + 1, free)
+
+    grow(0, 0, list(range(features)))
+    return trees.grown_tree(nodes)
 
 
 def test_shap_equals_the_definition():
-    """Shapley values by summing over all coalitions, on a tree that repeats a feature."""
-    raw = [
-        (0, 0.0, 20, 1, 2, 0, 0.5), (1, 0.0, 12, 3, 4, 1, -1.0), (2, 0.0, 8, 5, 6, 0, 2.0),
-        (3, 1.0, 5, -1, -1, -1, 0.0), (4, -2.0, 7, -1, -1, -1, 0.0), (5, 4.0, 6, -1, -1, -1, 0.0),
-        (6, 9.0, 2, -1, -1, -1, 0.0),
-    ]
-    names = ("id", "prediction", "count", "left", "right", "feature", "threshold")
-    nodes = [dict(zip(names, r)) for r in raw]
-    leaves, base = shap.leaves_of(nodes, 2.0)
-    by_id = {n["id"]: n for n in nodes}
-    points = np.array(list(itertools.product([0.0, 0.5, 1.0, 3.0], [-2.0, -1.0, 0.0], [7.0])))
-    got = shap.row_explainer()(points, leaves)
-    assert base == pytest.approx(2 * expected_value(by_id, None, set()))
-    d = 3
-    for x, phi in zip(points, got):
-        for i in range(d):
-            total = 0.0
-            others = [j for j in range(d) if j != i]
-            for size in range(d):
-                for coalition in itertools.combinations(others, size):
-                    weight = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-                    total += weight * (
-                        expected_value(by_id, x, {*coalition, i}) - expected_value(by_id, x, set(coalition))
-                    )
-            assert phi[i] == pytest.approx(2 * total)
-
-
-def test_donors_are_permutations(spark):
-    df = spark.range(500).withColumn("x", F.col("id") * 10)
-    donors = importance.permuted_donors(df, ["id"], "x", 3).collect()
-    assert len(donors) == 1500
-    for repeat in range(3):
-        mine = [r for r in donors if r["repeat"] == repeat]
-        assert sorted(r["id"] for r in mine) == list(range(500))
-        assert sorted(r["donor"] for r in mine) == [i * 10 for i in range(500)]
-        assert sum(r["donor"] == r["id"] * 10 for r in mine) < 20
-    again = importance.permuted_donors(df.repartition(3), ["id"], "x", 3).collect()
-    assert sorted(again) == sorted(donors)
+    """Trees that repeat features on a path, rows on all sides."""
+    rng = random.Random(7)
+    for _ in range(6):
+        tree = random_tree(rng, 4, 5)
+        points = np.random.default_rng(2).uniform(-1.2, 1.2, (15, 4))
+        got = shap.explained([tree], points)
+        assert shap.expected_value(tree) == pytest.approx(expected(tree, None, set()))
+        for x, phi in zip(points, got):
+            assert phi == pytest.approx(by_definition(tree, x, 4))
+
+
+def test_shap_of_deep_trees(spark):
+    """A path of 20 features: values add up, and equal the definition on the features a row meets."""
+    nodes = []
+    for i in range(20):  # a chain: each inner node has a leaf on its left
+        nodes.append({"feature": i, "cut": 0, "threshold": 0.0, "left": 2 * i + 1, "right": 2 * i + 2, "value": 0.0, "count": 2.0 ** (21 - i)})
+        nodes.append({"feature": -1, "cut": -1, "threshold": 0.0, "left": -1, "right": -1, "value": float(i % 3), "count": 2.0 ** (20 - i)})
+    nodes.append({**nodes[1], "value": 50.0, "count": 2.0})
+    chain = trees.grown_tree(nodes)
+    x = np.random.default_rng(3).choice([-1.0, 1.0], (40, 20), p=[0.05, 0.95])
+    phi = shap.explained([chain], x)
+    value = chain.value[chain.leaves(x, chain.threshold)]
+    assert phi.sum(axis=1) + shap.expected_value(chain) == pytest.approx(value)
+    ten = trees.grown_tree([*nodes[:18], {**nodes[1], "value": 50.0, "count": nodes[18]["count"]}])
+    for row, got in zip(x[:4, :9], shap.explained([ten], x[:4])):
+        assert got[:9] == pytest.approx(by_definition(ten, row, 9))
+    # In groups of bounded bytes the sums are the same.
+    model = trees.TreeModel(1.0, [chain, ten, chain])
+    assert [len(g) for g in shap.tree_groups(model.trees, chain.nbytes)] == [1, 1, 1]
+    rows = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x.tolist())], ["id", "features"])
+    names = [f"f{i}" for i in range(20)]
+    one, many = (
+        {(r["id"], r["feature"]): r["phi"] for r in shap.tree_shap(model, rows, names, ["id"], limit).collect()}
+        for limit in (shap.GROUP_BYTES, chain.nbytes)
+    )
+    assert len(one) == 800 and one == pytest.approx(many)
 
 
 @pytest.mark.parametrize("score", ["r2", "mse"])
 def test_permutation_importance(fitted, score):
     model, rows = fitted
-    table = importance.permutation_importance(
-        model.model, rows.filter("role = 'test'"), ["x0", "x1", "x2"], ["station", "ts"], 3, score=score
-    )
+    test = rows.filter("role = 'test'")
+    table = importance.permutation_importance(model.model, test, ["x0", "x1", "x2"], ["station", "ts"], 3, score=score)
     got = {r["feature"]: r for r in table.collect()}
     assert got["x0"]["importance"] > got["x1"]["importance"] > got["x2"]["importance"] - 1e-9
     assert abs(got["x2"]["importance"]) < 0.05 and got["x0"]["std"] > 0
+    # By hand: the rows in the order of their hashes, each feature shuffled as told.
+    marked = test.withColumn("mark", F.xxhash64("station", "ts", F.lit(config.SEED))).orderBy("mark").collect()
+    x, y = np.array([r["features"].toArray() for r in marked]), np.array([r["label"] for r in marked])
+    mse = lambda x: float(((y - model.model.predict(x)) ** 2).mean())
+    for f, name in enumerate(["x0", "x1", "x2"]):
+        worse = []
+        for repeat in range(3):
+            other = x.copy()
+            other[:, f] = x[importance.shuffled(len(x), 0, f, repeat, config.SEED), f]
+            worse.append((mse(other) - mse(x)) / (y.var() if score == "r2" else 1))
+        assert got[name]["importance"] == pytest.approx(np.mean(worse)) and got[name]["std"] == pytest.approx(np.std(worse))
+
+
+def test_permutation_importance_moves_rows_once(fitted):
+    """One exchange of the rows, no explode, and blocks that add up."""
+    model, rows = fitted
+    test = stored(rows.filter("role = 'test'").select("station", "ts", "features", "label"))
+    errors = importance.permutation_errors(model.model, test, ["station", "ts"], 160, 2, 1, block_rows=30)
+    plan = errors._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    got = {(r["feature"], r["repeat"]): r["squares"] for r in errors.collect()}
+    plain = test.collect()
+    y = np.array([r["label"] for r in plain])
+    own = ((y - model.model.predict(np.array([r["features"].toArray() for r in plain]))) ** 2).sum()
+    assert got[(-1, 0)] == pytest.approx(own) and len(got) == 1 + 3 * 2
 
 
 def test_select_features(table):
     with_label = table.withColumn("extra", F.col("x0") * 0 + 1.0)
     chosen, listing = boosted.select_features(with_label, ["x2", "x1", "extra", "x0"], "PM25", n=2, trees=5)
     assert chosen == ["x1", "x0"]
-    assert listing.filter("selected").count() == 2
+    assert listing.filter("selected and status = 'ranked'").count() == 2
     chosen, listing = boosted.select_features(table, ["x2", "x1"], "PM25", n=2)
-    assert chosen == ["x2", "x1"] and listing.filter("importance is null").count() == 2
+    assert chosen == ["x2", "x1"] and listing.filter("importance is null and status = 'all_kept'").count() == 2
+    chosen, listing = boosted.select_features(table.limit(20), ["x2", "x1", "x0"], "PM25", n=2)
+    assert chosen == ["x2", "x1", "x0"] and listing.filter("status = 'too_few_rows'").count() == 3
 
 
 def test_cross_validation(table):
-    result = boosted.cross_validate(table.drop("CO"), ("PM25", "CO"), folds=2, params=QUICK)
-    rows = result.folds.collect()
-    assert {(r["target"], r["fold"]) for r in rows} == {("PM25", 1), ("PM25", 2)}
-    assert all(r["n"] == 2 * 133 and r["r2"] > 0.5 for r in rows)
+    with_few = table.withColumn("SO2", F.when(F.col("ts") < "2022-01-01 10:00:00", F.col("x0")))
+    result = boosted.cross_validate(with_few.drop("CO"), ("PM25", "CO", "SO2"), folds=2, params=QUICK)
+    rows = {(r["target"], r["fold"]): r for r in result.folds.collect()}
+    assert set(rows) == {(t, f) for t in ("PM25", "CO", "SO2") for f in (1, 2)}  # never an absent row
+    assert all(rows["PM25", f]["n"] == 2 * 133 and rows["PM25", f]["r2"] > 0.5 for f in (1, 2))
+    assert {r["status"] for (t, _), r in rows.items() if t == "CO"} == {"absent"}
+    assert {r["status"] for (t, _), r in rows.items() if t == "SO2"} == {"too_few_rows"}
     assert result.curves.count() == 2 * 2 * QUICK.rounds
 
 
+def test_folds_grown_together_equal_folds_grown_alone(table):
+    """Each fold's model is the one its rows alone give, whatever grows beside it."""
+    plain = dataclasses.replace(QUICK, subsample=1.0, columns=1.0, bins=256)
+    coarse = table.withColumns({c: F.round(c, 1) for c in ("x0", "x1", "x2")})
+    both = boosted.cross_validate(coarse, ("PM25", "CO"), folds=2, params=plain).folds.collect()
+    x = ["x0", "x1", "x2"]
+    for r in both:
+        own = coarse.dropna(subset=[r["target"]])
+        part = splits.time_series_folds(boosted.assemble(own, x, r["target"]), ("station",), "ts", 2).filter(F.col("fold") == r["fold"])
+        alone = boosted.fit_boosted(part.filter("role = 'train'"), part.filter("role = 'val'"), plain)
+        assert r["rounds"] == alone.rounds and r["rmse"] == pytest.approx(min(alone.val_curve))
+
+
 def test_multi_target(table):
-    result = boosted.fit_multi_target(
-        table, ["x0", "x1"], ["PM25", "CO"], folds=2, batch=2, params=QUICK, parallelism=2
-    )
+    result = boosted.fit_multi_target(table, ["x0", "x1"], ["PM25", "CO"], folds=2, batch=2, params=QUICK)
     assert set(result.models) == {"PM25", "CO"} and 1 <= result.rounds <= QUICK.rounds
-    assert all(m.getNumTrees == result.rounds for m in result.models.values())
-    with pytest.raises(ValueError):
-        boosted.fit_multi_target(table.limit(50), ["x0"], ["PM25"], folds=2, params=QUICK)
+    assert all(m.rounds == result.rounds for m in result.models.values())
+    few = boosted.fit_multi_target(table.limit(50), ["x0"], ["PM25"], folds=2, params=QUICK)
+    assert few.models == {} and [r["status"] for r in few.cross_validated.folds.collect()] == ["too_few_rows"] * 2
 
 
 @pytest.fixture(scope="module")
