@@ -46,6 +46,7 @@ FILE_NAMES = {
     "Viento_Direccion": ("DIR.xlsx", "Viento_Direccion.xlsx"),
     "Precipitacion": ("LLU.xlsx", "Precipitacion.xlsx"),
 }
+# Readable files, unit rows, columns that are no stations, names of time and control columns.
 FILE_EXTENSIONS = ("xlsx", "xls", "csv")
 UNIT_ROW_PATTERN = "unidad|unit|ug|mg|%|m/s|°|grados"
 NOT_STATIONS = ("FECHA", "DATE")
@@ -55,6 +56,10 @@ CONTROL_COLUMNS = (
     "Timestamp", "timestamp", "Time", "time", "DateTime", "datetime",
 )
 
+# Names of coordinate columns.
+LATITUDES = ("lat", "latitud", "latitude")
+LONGITUDES = ("lon", "lng", "longitud", "longitude")
+
 # Cleaning and training defaults (fixed values).
 TARGET = "PM25"
 EXCLUDED_START = "2020-01-01"
@@ -77,9 +82,12 @@ SEED = 42
 EXTRAPOLATION_WARN_HOURS = 48
 OVERFIT_GAP = 0.15
 
-# The strict schema check lists these features first, in this order.
-BASE_FEATURES = WEATHER + ("hora_sin", "hora_cos", "mes_sin", "mes_cos") + tuple(
-    f"{p}_lag_{h}h" for p in POLLUTANTS for h in (1, 24)
+# The strict schema check lists these features first, in this order.
+BASE_FEATURES = (
+    "Temperatura", "Humedad", "Viento_Velocidad", "Viento_Direccion", "Precipitacion",
+    "hora_sin", "hora_cos", "mes_sin", "mes_cos",
+    "PM25_lag_1h", "PM25_lag_24h", "PM10_lag_1h", "PM10_lag_24h", "O3_lag_1h", "O3_lag_24h",
+    "CO_lag_1h", "CO_lag_24h", "NO2_lag_1h", "NO2_lag_24h", "SO2_lag_1h", "SO2_lag_24h",
 )
 
 # Index segments (c_lo, c_hi, i_lo, i_hi), both ends closed.
@@ -170,6 +178,7 @@ PM25_QUALITY = (
     (150, "🔴 Insalubre"),
     (None, "🟣 Muy insalubre"),
 )
+# Units.
 UNITS = {"CO": "mg/m³"}
 DEFAULT_UNIT = "µg/m³"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,3 +64,9 @@ def lag_base(feature: Column) -> Column:
 def lag_hours(feature: Column) -> Column:
     """``24`` of ``X_lag_24h``, NULL for other names."""
     return F.regexp_extract(feature, r"^(.+)_lag_(\d+)h$", 2).try_cast("int")
+
+
+def lag_parts(feature: str) -> tuple[str, int] | None:
+    """(X, 24) of the name ``X_lag_24h``, None for other names."""
+    found = re.fullmatch(r"(.+)_lag_(\d+)h", feature)
+    return (found[1], int(found[2])) if found else None

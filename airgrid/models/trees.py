@@ -387,11 +387,14 @@ def _one_level(rows: DataFrame, models: list[Growing], columns: dict[int, np.nda
                 "slot": slot, "open": m.open, "features": columns[m.number],
             }
         )
-    partial = in_tasks(rows, _level_sums(plan, n_features, bins, params, errors), "key bigint, sums binary")
-    widths = {m.number: len(columns[m.number]) for m in models}
-    if not one_task:  # the sums of one task are whole
-        partial = partial.repartition(1 + sum(len(m.open) for m in models) // TASK_NODES, "key")
-    met = in_tasks(partial, _splits(widths, bins, params), "key bigint, found array<double>")
+    widths, n_open = {m.number: len(columns[m.number]) for m in models}, sum(len(m.open) for m in models)
+    sums, splits = _level_sums(plan, n_features, bins, params, errors), _splits(widths, bins, params)
+    found = "key bigint, found array<double>"
+    if one_task:  # its sums are whole
+        met = in_tasks(rows, lambda batches: splits(sums(batches)), found)
+    else:
+        partial = in_tasks(rows, sums, "key bigint, sums binary")
+        met = in_tasks(partial.repartition(1 + n_open // TASK_NODES, "key"), splits, found)
     return {row["key"]: row["found"] for row in met.collect()}  # a row per open node
 
 

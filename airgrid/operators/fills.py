@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid.operators import sequence
+from airgrid.session import stored
 
 VALUE_BINS = 4096
 
@@ -79,56 +80,74 @@ def fill_with_means(
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Exact median per key and column, as columns ``<name>``.
+def _coarse_bin(value: Column) -> Column:
+    """A number that never falls as the value grows, 16 steps an octave, whatever the range."""
+    return F.signum(value) * F.floor(16 * F.log2(1 + F.abs(value) * 2.0**30))
+
+
+def _rank_bins(rows: DataFrame, group: Sequence[str], ranks: DataFrame | None) -> DataFrame:
+    """(group, which, lo, hi, rank): per middle rank the extremes of the bin that holds it, and its rank there.
 
-    Equal values are counted first. Each key's values are then ranked bin by bin
-    (``VALUE_BINS`` bins of equal width between its extremes), so that no task sorts
-    all values of a key, and the middle one or two are picked by rank.
+    ``rows`` has (group, which, __bin, __v); without ``ranks`` (group, which, rank) both middle ranks of
+    each group are looked for. Only one row per bin reaches the windows.
     """
-    keys = list(keys)
-    long = df.unpivot([F.col(k) for k in keys], [F.col(c) for c in columns], "__name", "__v")
-    group = keys + ["__name"]
-    counts = long.filter("__v is not null").groupBy(*group, "__v").agg(
-        F.count(F.lit(1)).alias("__n")
+    group = list(group)
+    keys = group if ranks is None else [*group, "which"]
+    bins = rows.groupBy(*keys, "__bin").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
     )
-    extremes = long.groupBy(*group).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-    place = F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-    binned = sequence.join_per_key(counts, extremes, group, "__v").withColumn(
-        "__bin", F.coalesce(F.floor(place * VALUE_BINS), F.lit(0))
+    along = Window.partitionBy(*keys).orderBy("__bin")
+    upto = F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    counted = bins.withColumn("__upto", upto)
+    if ranks is None:
+        total = F.sum("__n").over(Window.partitionBy(*keys))
+        middle = F.array(F.floor((total + 1) / 2), F.ceil((total + 1) / 2))
+        counted = counted.withColumn("__ranks", middle).select("*", F.posexplode("__ranks").alias("which", "rank"))
+    else:
+        counted = counted.join(ranks, keys)
+    holds = (F.col("__upto") >= F.col("rank")) & (F.col("__upto") - F.col("__n") < F.col("rank"))
+    return counted.where(holds).select(
+        *group, "which", "lo", "hi", (F.col("rank") - F.col("__upto") + F.col("__n")).alias("rank")
     )
-    along = Window.partitionBy(*group).orderBy("__bin")
-    bins = (
-        binned.groupBy(*group, "__bin")
-        .agg(F.sum("__n").alias("__m"))
-        .select(
-            *group,
-            "__bin",
-            F.coalesce(
-                F.sum("__m").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("__before"),
-            F.sum("__m").over(Window.partitionBy(*group)).alias("__total"),
-        )
-    )
-    inside = Window.partitionBy(*group, "__bin").orderBy("__v")
-    upto = F.col("__before") + F.sum("__n").over(
-        inside.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = binned.join(bins, group + ["__bin"]).withColumn("__upto", upto)
-    low = F.floor((F.col("__total") + 1) / 2)
-    high = F.ceil((F.col("__total") + 1) / 2)
 
-    def holds(rank: Column) -> Column:
-        return (F.col("__upto") >= rank) & (F.col("__upto") - F.col("__n") < rank)
 
-    middle = ranked.groupBy(*group).agg(
-        F.max(F.when(holds(low), F.col("__v"))).alias("__a"),
-        F.max(F.when(holds(high), F.col("__v"))).alias("__b"),
-    )
-    median = (F.col("__a") + F.col("__b")) / F.lit(2.0)
-    return middle.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("__name") == c, median)).alias(c) for c in columns]
+def _inside(values_: DataFrame, found: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The values between the extremes of an open rank, once for each of them, in fine bins."""
+    open_ = found.where("lo < hi").groupBy(*group).agg(
+        F.collect_list(F.struct("which", "lo", "hi")).alias("__open")  # two at most
     )
+    joined = sequence.join_per_key(values_, open_, group, "__v").where("__open is not null")
+    spread = joined.select("*", F.explode("__open").alias("__o"))
+    if "which" in values_.columns:  # a value is there once for each rank already
+        spread = spread.where(F.col("which") == F.col("__o.which"))
+    within = spread.where(F.col("__v").between(F.col("__o.lo"), F.col("__o.hi")))
+    share = (F.col("__v") - F.col("__o.lo")) / (F.col("__o.hi") - F.col("__o.lo"))
+    return within.select(*group, F.col("__o.which").alias("which"), "__v", F.floor(share * VALUE_BINS).alias("__bin"))
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Exact median per key and column, as columns ``<name>``; NULL and NaN do not count.
+
+    Selection by counting: values are counted in bins of like magnitude, only the bins that hold
+    the middle ranks are looked into again, in ``VALUE_BINS`` bins between their own least and
+    greatest value, and so on until a bin holds one value. No values are sorted or collected;
+    a window sees one row per bin. An extreme value has a bin of its own and makes no other
+    bin wider. The values inside the first bins are written, later rounds read only them.
+    """
+    keys, columns = list(keys), list(columns)
+    doubles = [F.col(c).cast("double").alias(c) for c in columns]
+    long = df.select(*keys, *doubles).unpivot([F.col(k) for k in keys], columns, "__name", "__v")
+    long = long.where("__v is not null and not isnan(__v)")
+    group = [*keys, "__name"]
+    found = stored(_rank_bins(long.withColumn("__bin", _coarse_bin(F.col("__v"))), group, None), "median_ranks")
+    left = long
+    while found.where("lo < hi").limit(1).count():
+        rows = stored(_inside(left, found, group), "median_values")
+        finer = _rank_bins(rows, group, found.where("lo < hi").select(*group, "which", "rank"))
+        found = stored(found.where("lo = hi").unionByName(finer), "median_ranks")
+        left = rows
+    middle = found.groupBy(*group).agg((F.sum("lo") / F.lit(2.0)).alias("__m"))
+    return middle.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == c, F.col("__m"))).alias(c) for c in columns])
 
 
 def fill_with_medians(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,14 +49,28 @@ def detect_timestamp(df: DataFrame) -> str | None:
     for c in df.columns:
         if any(word in c.lower() for word in config.TIME_WORDS):
             return c
-    for c in df.columns:
-        sample = df.select(F.col(f"`{c}`").cast("string").alias("x")).filter("x is not null").limit(10)
-        seen, read = sample.agg(
-            F.count("x"), F.count(values.to_time(F.col("x")))
-        ).first()
-        if seen == read:
-            return c
-    return None
+    reads = {r["column"]: r["reads"] for r in readable_columns(df).collect()}
+    return next((c for c in df.columns if reads.get(c, True)), None)
+
+
+def readable_columns(df: DataFrame, looked_at: int = 10) -> DataFrame:
+    """(column, n, reads): whether the first values that are not NULL read as times.
+
+    One job for all columns: each task passes on at most ``looked_at`` values of a column.
+    Columns without values have no row.
+    """
+    texts = [F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]
+    numbered = df.select(F.monotonically_increasing_id().alias("at"), *texts)
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("x")) for i in range(len(texts))])
+    long = numbered.select("at", F.explode(cells).alias("cell")).select("at", "cell.*").where("x is not null")
+    first = long.withColumn("turn", F.row_number().over(Window.partitionBy("i").orderBy("at"))).where(
+        F.col("turn") <= looked_at
+    )
+    seen = first.groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), (F.count(values.to_time(F.col("x"))) == F.count(F.lit(1))).alias("reads")
+    )
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return seen.select(names[F.col("i")].alias("column"), "n", "reads")
 
 
 def detect_xy(

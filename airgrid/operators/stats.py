@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,7 @@ from airgrid import config
 from airgrid.functions.labels import air_category, air_index, gauge_pointer
 from airgrid.operators import sequence
 from airgrid.session import stored
-
-PAIRS_PER_PASS = 60
+from airgrid.tasks import in_tasks
 
 
 def unfold(df: DataFrame, rows: list[Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -97,31 +98,106 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), spread)
 
 
-def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlation of every pair, lower triangle.
+class CoMoments:
+    """Counts, means and centred products of all pairs of columns, over rows that have both.
 
-    One aggregation per ``PAIRS_PER_PASS`` pairs, so that many columns do not make
-    one oversized plan; the passes read the same scan of the needed columns.
+    Entry (i, j) of ``mean`` and ``square`` is about column i on the rows that have i and j.
+    """
+
+    def __init__(self, k: int) -> None:
+        self.n, self.mean, self.square, self.product = (np.zeros((k, k)) for _ in range(4))
+
+    def add(self, x: np.ndarray) -> None:
+        """Take in rows; NaN is missing."""
+        there = ~np.isnan(x)
+        known = there.any(axis=0)
+        centre = np.zeros(x.shape[1])
+        centre[known] = np.nanmedian(x[:, known], axis=0)  # so that a constant column leaves exact zeros
+        d, m = np.where(there, x - centre, 0.0), there.astype(float)
+        n = m.T @ m
+        with np.errstate(divide="ignore", invalid="ignore"):
+            shift = np.where(n > 0, (d.T @ m) / n, 0.0)
+        square, product = (d * d).T @ m - n * shift**2, d.T @ d - n * shift * shift.T
+        self.merge(n, centre[:, None] + shift, square, product)
+
+    def merge(self, n: np.ndarray, mean: np.ndarray, square: np.ndarray, product: np.ndarray) -> None:
+        total = self.n + n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = np.where(total > 0, n / total, 0.0)
+        off = np.where(self.n > 0, mean - self.mean, 0.0)
+        weight = self.n * share
+        self.square += square + weight * off**2
+        self.product += product + weight * off * off.T
+        self.mean = np.where(self.n > 0, self.mean + share * off, mean)
+        self.n = total
+
+
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, j, n, r) of all pairs i < j of column numbers, in one scan whatever their number.
+
+    Every task sends one row per pair; these are merged exactly by the pair's overall means.
     """
     columns = list(columns)
+    k = len(columns)
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+    one, two = np.triu_indices(k, 1)
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        sums = CoMoments(k)
+        for batch in batches:
+            if batch.num_rows:
+                flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(float)
+                sums.add(flat.reshape(-1, k))
+        seen = np.flatnonzero(sums.n[one, two] > 0)
+        i, j = one[seen], two[seen]
+        fields = (sums.n[i, j], sums.mean[i, j], sums.mean[j, i], sums.square[i, j], sums.square[j, i], sums.product[i, j])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(f) for f in fields]], PAIR_FIELDS
+        )
+
+    kinds = "i int, j int, " + ", ".join(f"{f} double" for f in PAIR_FIELDS[2:])
+    parts = stored(in_tasks(df.select(values.alias("x")), rows, kinds), "co_moments")
+    whole = parts.groupBy("i", "j").agg(
+        F.sum("n").alias("all"),
+        (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("ax"),
+        (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("ay"),
+    )
+    dx, dy = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay")
+    # Means of a constant column may differ from it in the last digit only.
+    dx, dy = (F.when(F.abs(d) <= F.abs(F.col(m)) * 1e-15, 0.0).otherwise(d) for d, m in ((dx, "ax"), (dy, "ay")))
+    met = parts.join(whole, ["i", "j"]).groupBy("i", "j").agg(
+        F.max("all").cast("bigint").alias("n"),
+        F.sum(F.col("sx") + F.col("n") * dx * dx).alias("sx"),
+        F.sum(F.col("sy") + F.col("n") * dy * dy).alias("sy"),
+        F.sum(F.col("sp") + F.col("n") * dx * dy).alias("sp"),
+    )
+    spread = F.sqrt(F.greatest("sx", F.lit(0.0))) * F.sqrt(F.greatest("sy", F.lit(0.0)))
+    return met.select("i", "j", "n", F.try_divide("sp", spread).alias("r"))
+
+
+PAIR_FIELDS = ["i", "j", "n", "mx", "my", "sx", "sy", "sp"]
+
+
+def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pairwise-complete correlation of every pair, lower triangle; NULL without common rows or spread."""
+    columns = list(columns)
     if len(columns) < 2:
         raise ValueError("a correlation matrix needs two columns or more")
-    pairs = list(combinations(columns, 2))
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start : start + PAIRS_PER_PASS]
-        wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
-        rows = [
-            F.struct(
-                F.lit(a).alias("col_a"),
-                F.lit(b).alias("col_b"),
-                F.col(f"r{i}").alias("r"),
-            )
-            for i, (a, b) in enumerate(part)
-        ]
-        table = unfold(wide, rows)
-        out = table if out is None else out.unionByName(table)
-    return out
+    found = pair_correlations(df, columns)
+    numbers = df.sparkSession.createDataFrame(list(combinations(range(len(columns)), 2)), "i int, j int")
+    names = F.array(*[F.lit(c) for c in columns])
+    return numbers.join(found, ["i", "j"], "left").select(
+        names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), "r"
+    )
+
+
+def top_variance_with_target(df: DataFrame, columns: Sequence[str], target: str, n: int = 20) -> DataFrame:
+    """The columns with the largest deviation, ranked, with their correlation with the target."""
+    columns = [c for c in columns if c != target]
+    ranked = top_variance(df, columns, n)
+    names = F.array(*[F.lit(c) for c in columns])
+    with_target = pair_correlations(df, [target, *columns]).where("i = 0")
+    return ranked.join(with_target.select(names[F.col("j") - 1].alias("column"), "r"), "column", "left")
 
 
 def pearson_listwise(df: DataFrame, columns: Sequence[str], minimum: int = 10) -> DataFrame:
@@ -257,6 +333,33 @@ def lookup_lagged(
     return joined.withColumns(found).drop("__means")
 
 
+def lookup_lags(
+    df: DataFrame,
+    wide: DataFrame,
+    lags: Sequence[tuple[str, str, int]],
+    keys: Sequence[str] = ("station",),
+    ts: str = "ts",
+    prefix: str = "lag_",
+) -> DataFrame:
+    """Add ``<prefix><name>`` for each (name, base, hours): the mean of the base at the hour and month
+    of ts - hours, NULL where the climatology has none.
+
+    All bases and lags are read from one map per station of at most 288 entries: one join.
+    """
+    bases = sorted({base for _, base, _ in lags})
+    slot = F.col("month") * 100 + F.col("hour")
+    maps = wide.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(slot, F.struct(*bases)))).alias("__means")
+    )
+    joined = sequence.join_per_key(df, maps, keys, ts)
+    found = {}
+    for name, base, hours in lags:
+        past = F.col(ts) - F.make_dt_interval(hours=F.lit(hours))
+        entry = F.try_element_at("__means", F.month(past) * 100 + F.hour(past))
+        found[f"{prefix}{name}"] = entry[base]
+    return joined.withColumns(found).drop("__means")
+
+
 def last_known(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("station",), ts: str = "ts"
 ) -> DataFrame:
@@ -279,6 +382,20 @@ def geo_mean(df: DataFrame, place: Sequence[str], value: str, pollutant: str) ->
     return indexed.withColumn("category", air_category(F.col("air_index")))
 
 
+def coordinate_columns(columns: Sequence[str]) -> tuple[str, str] | None:
+    """The first columns named like a latitude and a longitude, in any case."""
+    found = [next((c for c in columns if c.lower() in names), None) for names in (config.LATITUDES, config.LONGITUDES)]
+    return tuple(found) if all(found) else None
+
+
+def geo_mean_by_name(df: DataFrame, value: str, pollutant: str) -> DataFrame:
+    """``geo_mean`` by the coordinates found among the columns; without them no rows."""
+    place = coordinate_columns(df.columns)
+    if place is None:
+        return geo_mean(df.limit(0).withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}), ("lat", "lon"), value, pollutant)
+    return geo_mean(df, place, value, pollutant)
+
+
 def mean_index_gauge(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Per column its mean, index, category and pointer position."""
     wide = df.agg(*[F.avg(c).alias(c) for c in columns])

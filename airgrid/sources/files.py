@@ -13,8 +13,6 @@ from airgrid.functions import text, values
 from airgrid.operators import align
 
 SEPARATORS = (",", ";", "\t")
-COMMENT = "#"
-
 
 # -- listing ---------------------------------------------------------------------------
 
@@ -105,41 +103,72 @@ def scan_delimited(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: A line up to a comment sign outside quotes. A quote opens only where a field begins.
+_FIELD = r'(?:"(?:[^"]++|"")*+"?+)?+[^,#]*+'
+UNCOMMENTED = f"^{_FIELD}(?:,{_FIELD})*+"
+NO_NULL = "\u0001"
+
+
 def _without_comments(lines: DataFrame) -> DataFrame:
-    """A ``#`` cuts the rest of its line; lines that are empty then are skipped."""
-    cut = F.regexp_replace("value", f"{COMMENT}.*$", "")
-    return lines.select(cut.alias("value")).filter(F.trim("value") != "")
+    """(at, value): a ``#`` outside quotes cuts the rest of its line; lines empty then are skipped.
+
+    ``at`` grows along the file.
+    """
+    cut = F.regexp_extract("value", UNCOMMENTED, 0)
+    numbered = lines.select(F.monotonically_increasing_id().alias("at"), cut.alias("value"))
+    return numbered.filter(F.trim("value") != "")
+
+
+def _header(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Where the first line that is no comment stands, and its fields."""
+    first = _without_comments(spark.read.text(path)).agg(F.min("at").alias("at"), F.min_by("value", "at").alias("v")).first()
+    return (-1, []) if first["at"] is None else (first["at"], [c.strip() for c in next(csv.reader([first["v"]]))])
 
 
 def probe_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of an annotated file, from its first line that is no comment."""
-    row = _without_comments(spark.read.text(path)).limit(1).first()
-    return [] if row is None else [c.strip() for c in next(csv.reader([row[0]]))]
+    return _header(spark, path)[1]
 
 
-def scan_annotated_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A comma-separated file with comments, as text columns.
+def annotated_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a comma-separated file with comments, as text columns, and the rejected lines.
 
-    Short rows are filled with NULL; rows with too many fields are dropped. One extra
-    column in the parser's schema tells the two apart.
+    Only the first line is the header; a later line that repeats it is a row. A ``#`` inside quotes
+    is part of its field. Short rows are filled with NULL; lines with more fields than the header are
+    rejected: (at, line, n_fields), in the order of ``at``. A field does not go over a line's end.
     """
-    columns = probe_header(spark, path)
+    at, columns = _header(spark, path)
     if not columns:
         raise ValueError(f"no header in {path}")
-    lines = _without_comments(spark.read.text(path))
-    schema = ", ".join(f"`c{i}` string" for i in range(len(columns))) + ", `overflow` string"
-    missing = "\u0001"
-    parsed = lines.select(
-        "value", F.from_csv("value", schema, {"nullValue": missing, "emptyValue": ""}).alias("r")
-    )
-    header = ",".join(columns)
-    body = parsed.filter(
-        F.col("r.overflow").isNull()
-        & (F.regexp_replace("value", r"\s*,\s*", ",") != F.lit(header))
-    )
-    return body.select(
+    lines = _without_comments(spark.read.text(path)).where(F.col("at") != at)
+    # One extra column tells rows of too many fields from the others.
+    schema = ", ".join(f"`c{i}` string" for i in range(len(columns) + 1))
+    options = {"nullValue": NO_NULL, "emptyValue": "", "maxCharsPerColumn": "-1", "escape": '"'}
+    parsed = lines.select("at", "value", F.from_csv("value", schema, options).alias("r"))
+    last = F.col(f"r.c{len(columns)}")
+    accepted = parsed.where(last.isNull()).select(
         *[F.nullif(F.col(f"r.c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)]
     )
+    fields = F.regexp_count(F.regexp_replace("value", r'"(?:[^"]++|"")*+"', ""), F.lit(",")) + 1
+    rejected = parsed.where(last.isNotNull()).select("at", F.col("value").alias("line"), fields.alias("n_fields"))
+    return accepted, rejected
+
+
+def scan_annotated_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The accepted rows of ``annotated_rows``."""
+    return annotated_rows(spark, path)[0]
+
+
+def typed_columns(df: DataFrame, ts: str, texts: Sequence[str] = ("station",)) -> DataFrame:
+    """Text columns as a model takes them: ``ts`` a time, all others but ``texts`` numbers; rows
+    without a time go."""
+    columns = [
+        values.to_time(F.col(f"`{c}`")).alias(c) if c == ts
+        else F.col(f"`{c}`") if c in texts or kind != "string"
+        else values.to_number(F.col(f"`{c}`")).alias(c)
+        for c, kind in df.dtypes
+    ]
+    return df.select(*columns).where(F.col(f"`{ts}`").isNotNull())
 
 
 # -- readings --------------------------------------------------------------------------

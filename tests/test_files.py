@@ -7,7 +7,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from airgrid import config
-from airgrid.operators import quality, schema
+from airgrid.models import boosted
+from airgrid.operators import quality, schema, stats
 from airgrid.sources import files, tables
 
 
@@ -84,6 +85,23 @@ def test_annotated_csv(spark, tmp_path):
     assert schema.detect_timestamp(df) == "Timestamp"
 
 
+def test_annotated_csv_with_quotes(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    lines = [
+        "# made today, with \"quotes\"", "ts,note,x", '2020-01-01 00:00,"a#b",1 # cut', "ts,note,x", 'a"b#c,d,2',
+        '2020-01-01 01:00,"say ""#1"", please",3', '"x#y,z', "1,2,3,4", 'p,"q,r",5,6,7', "q,,", "#", "  # only a comment",
+    ]
+    path.write_text("\n".join(lines), encoding="utf-8")
+    rows, rejected = files.annotated_rows(spark, str(path))
+    assert [tuple(r) for r in rows.collect()] == [
+        ("2020-01-01 00:00", "a#b", "1 "), ("ts", "note", "x"), ('a"b', None, None),
+        ("2020-01-01 01:00", 'say "#1", please', "3"), ("x#y,z", None, None), ("q", None, None),
+    ]
+    assert [(r["line"], r["n_fields"]) for r in rejected.orderBy("at").collect()] == [("1,2,3,4", 4), ('p,"q,r",5,6,7', 5)]
+    typed = files.typed_columns(rows, "ts", ()).collect()
+    assert [(r["ts"], r["x"]) for r in typed] == [(dt.datetime(2020, 1, 1, 0), 1.0), (dt.datetime(2020, 1, 1, 1), 3.0)]
+
+
 def test_dataset_round_trip(spark, tmp_path):
     start = dt.datetime(2020, 1, 1)
     rows = [(s, start + dt.timedelta(hours=i), float(i), None) for s in ("a", "b") for i in range(30)]
@@ -152,3 +170,29 @@ def test_timestamp_by_content(spark):
     df = spark.createDataFrame([("x", "2020-01-01 10:00"), ("y", None)], "a string, b string")
     assert schema.detect_timestamp(df) == "b"
     assert schema.detect_timestamp(df.select("a")) is None
+
+
+def test_timestamp_by_content_takes_one_job(spark):
+    rows = [(None if i < 500 else f"2020-01-0{i % 9 + 1}", str(i), "x" if i == 3 else "2020-01-01", None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "late string, number string, nearly string, empty string").repartition(6)
+    found = {r["column"]: (r["n"], r["reads"]) for r in schema.readable_columns(df).collect()}
+    assert found["late"] == (10, True) and "empty" not in found and found["number"][0] == 10
+    assert schema.detect_timestamp(df) == "late"
+
+    def jobs(frame, group):
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            schema.detect_timestamp(frame)
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+
+    wide = df.select("nearly", *[F.col("number").alias(f"n{i}") for i in range(30)])
+    assert jobs(wide, "wide") <= 5 and jobs(df.select("nearly"), "narrow") <= 5  # however many columns
+
+
+def test_coordinates_by_name(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 10.0), (1.0, 2.0, 20.0), (3.0, 4.0, 8.0)], "Latitud double, LNG double, PM25 double")
+    got = {(r["Latitud"], r["LNG"]): r["mean"] for r in stats.geo_mean_by_name(df, "PM25", "PM25").collect()}
+    assert got == {(1.0, 2.0): 15.0, (3.0, 4.0): 8.0}
+    assert stats.geo_mean_by_name(df.drop("LNG"), "PM25", "PM25").collect() == []

@@ -3,11 +3,13 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from airgrid.operators import features, fills, quality, sequence, splits
+from airgrid.operators import features, fills, quality, sequence, splits, stats
+from airgrid.session import stored
 
 START = dt.datetime(2019, 11, 3)
 
@@ -195,3 +197,49 @@ def test_unsorted_times_match_arrival_order(spark):
 def test_cells_of_ids_are_bounded(spark):
     df = spark.range(300000).withColumn("cell", sequence.id_cell("id"))
     assert df.groupBy("cell").count().agg(F.max("count")).first()[0] == sequence.CELL_IDS
+
+
+def test_median_with_outliers(spark):
+    """Extreme values make no bin wider: few values are looked into again, and the result is exact."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(50, 3, 4001), [1e300, -1e300, 1e-300, 0.0, -0.0, float("nan")]])
+    cases = {"a": x, "b": x[1:], "c": np.array([7.0]), "d": np.array([1.0, 2.0]), "e": np.repeat([3.0, 1e9], 500),
+             "f": 1e15 + rng.integers(0, 5, 999), "g": -np.exp(rng.uniform(-600, 600, 1000))}
+    rows = [(k, float(v), float(-v)) for k, values in cases.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, x double, y double").repartition(5)
+    got = {r["k"]: r for r in fills.exact_medians(df, ["x", "y"], ["k"]).collect()}
+    for k, values in cases.items():
+        assert got[k]["x"] == np.nanmedian(values) and got[k]["y"] == np.nanmedian(-values)
+    long = df.where("k = 'a' and not isnan(x)").select("k", F.lit("x").alias("__name"), F.col("x").alias("__v"))
+    group = ["k", "__name"]
+    ranks = fills._rank_bins(long.withColumn("__bin", fills._coarse_bin(F.col("__v"))), group, None)
+    inside = fills._inside(long, stored(ranks), group)
+    n = inside.where("which = 0").count()
+    assert 0 < n < 4001 / 3  # of the values around the middle only
+    largest = inside.where("which = 0").groupBy("__bin").count().agg(F.max("count")).first()[0]
+    assert largest <= 10
+
+
+def test_correlations_in_one_scan(spark):
+    """Forty columns with gaps, a constant one, far from zero: as pairwise by hand, and the table is read once."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (600, 40)).cumsum(axis=1) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7], x[300:, 9] = 0.1, np.nan
+    x[:300, 11] = np.nan  # no rows in common with column 9
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(40)])
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None), ", ".join(f"c{i} double" for i in range(40)))
+    df = df.repartition(7)
+    want = frame.corr()
+    got = stats.pearson_matrix(df, list(frame.columns)).collect()
+    assert len(got) == 40 * 39 // 2
+    for r in got:
+        expected = want.loc[r["col_a"], r["col_b"]]
+        if "c7" in (r["col_a"], r["col_b"]) or {r["col_a"], r["col_b"]} == {"c9", "c11"}:
+            assert r["r"] is None
+        else:
+            assert r["r"] == pytest.approx(expected, abs=1e-9)
+    top = stats.top_variance_with_target(df, list(frame.columns), "c0", 5).orderBy("rank").collect()
+    order = frame.drop(columns="c0").std().sort_values(ascending=False).index[:5].tolist()
+    assert [r["column"] for r in top] == order
+    assert all(r["r"] == pytest.approx(want.loc["c0", r["column"]], abs=1e-9) for r in top)
