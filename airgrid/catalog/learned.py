@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.catalog import views as v
+from airgrid.catalog.modelling_tables import _SCENARIOS as SCENARIOS_SQL
 from airgrid.catalog.modelling_tables import USER, _scenarios, _with_weather
-from airgrid.catalog.registry import query, r6, s_ts, ts_text, with_sql
+from airgrid.catalog.registry import query, r6, s6, s_ts, ts_text, with_sql
 from airgrid.functions import moments
 from airgrid.models import boosted, importance, shap
 from airgrid.operators import features as fe
@@ -84,7 +85,7 @@ def select_features(spark, sf):
 @query("train_boosted")
 def train_boosted(spark, sf):
     """Scores of a boosted model on its fit, validation and test rows."""
-    fitted, rows, _ = _fit(spark, sf)
+    fitted, rows, _ = _fitted(spark, sf)
     predicted = boosted.predict(fitted.model, rows)
     return metrics.regression_metrics(predicted, ("role",), boosted.LABEL, boosted.PREDICTION)
 
@@ -336,3 +337,89 @@ def score_scenarios(spark, sf):
         "event_id", "station", r6("prediction").alias("prediction"),
         r6("air_index").alias("air_index"), "category", "n_lookup",
     )
+
+
+LAGS = ("purchase_lag_1h", "purchase_lag_24h", "signup_lag_24h")
+MULTI_COLUMNS = (*config.WEATHER, "hora_sin", "hora_cos", "mes_sin", "mes_cos", "es_finde", "error", *LAGS)
+MULTI = {"PM25": "view", "CO": "click"}
+
+
+def _multi_scoring(spark, sf):
+    """Models of two pollutants on weather, clock and lags, through the scoring job."""
+    hourly = stored(v.hourly(spark, sf))
+    filled = fills.impute_temporal(hourly, ("purchase", "signup", "error"))
+    lagged = fe.add_lags(fe.add_lags(filled, "purchase", (1, 24)), "signup", (24,))
+    weather = _with_weather(lagged.withColumn(TARGET, F.coalesce(*v.VARIABLES))).withColumn(
+        "Precipitacion", F.col(TARGET) % 5
+    )
+    ts = F.col("ts")
+    timed = weather.withColumns({**moments.cyclic_columns(ts), **moments.weekday_columns(ts)})
+    split = stored(splits.chronological_split(timed))
+    fitted = boosted.fit_together(split, MULTI_COLUMNS, tuple(MULTI.values()), ("station", "ts"), PARAMS)
+    trained = split.where("role <> 'test'")
+    bases = ("purchase", "signup", "error")
+    scored = scoring.score_scenarios(
+        _scenarios(spark, sf),
+        {p: fitted[t].model for p, t in MULTI.items()},
+        MULTI_COLUMNS,
+        stats.climatology_wide(hourly, bases),
+        hourly.groupBy("station").agg(*[F.avg(c).alias(c) for c in bases]),
+        trained.groupBy("station").agg(F.max("ts").alias("last_train_ts")),
+        spread="event_id",
+    )
+    return stored(scored, "score_multi")
+
+
+_scored = _once("score_multi", _multi_scoring)
+
+
+@query("score_multi")
+def score_multi(spark, sf):
+    """Predictions, indexes, icons and units of two pollutants and the global index, one row per event."""
+    scored = _scored(spark, sf)
+    own = [c for p in MULTI for c in (f"pred_{p}", f"index_{p}", f"category_{p}", f"icon_{p}", f"unit_{p}")]
+    return scored.select("event_id", *own, "air_index", "category", "n_lookup", "n_mean", "hours_past", "extrapolated")
+
+
+def _lag_sql(name: str) -> str:
+    base, hours = name.split("_lag_")
+    return (
+        f"LEFT JOIN clim {name} ON {name}.station = s.station AND {name}.h = hour(s.ts - INTERVAL {hours[:-1]} HOUR) "
+        f"AND {name}.m = month(s.ts - INTERVAL {hours[:-1]} HOUR)"
+    )
+
+
+@query(
+    "score_multi_rows",
+    with_sql(
+        v.READINGS, v.HOURLY, SCENARIOS_SQL,
+        "clim AS (SELECT station, hour(ts) AS h, month(ts) AS m, avg(purchase) AS purchase, avg(signup) AS signup, "
+        "avg(error) AS error FROM hourly GROUP BY 1, 2, 3)",
+        "means AS (SELECT station, avg(purchase) AS purchase, avg(signup) AS signup, avg(error) AS error "
+        "FROM hourly GROUP BY 1)",
+        "placed AS (SELECT station, ts, row_number() OVER (PARTITION BY station ORDER BY ts) AS pos, "
+        "count(*) OVER (PARTITION BY station) AS m FROM hourly)",
+        "ends AS (SELECT station, max(ts) AS last FROM placed WHERE pos <= floor(m * 0.8::DOUBLE) GROUP BY 1)",
+        "SELECT event_id, "
+        + ", ".join(s6(f"coalesce({n}.{n.split('_')[0]}, m.{n.split('_')[0]}, 0)", n) for n in LAGS) + ", "
+        + s6("coalesce(c.error, m.error, 0)", "error") + ", CAST("
+        + " + ".join([f"CAST({n}.{n.split('_')[0]} IS NOT NULL AS INTEGER)" for n in LAGS] + ["CAST(c.error IS NOT NULL AS INTEGER)"])
+        + " AS INTEGER) AS n_lookup, " + s6("epoch(s.ts - ends.last) / 3600", "hours_past")
+        + ", epoch(s.ts - ends.last) / 3600 > 48 AS extrapolated, true AS highest, true AS labelled FROM scenarios s "
+        "JOIN means m USING (station) JOIN ends USING (station) "
+        "LEFT JOIN clim c ON c.station = s.station AND c.h = hour(s.ts) AND c.m = month(s.ts) "
+        + " ".join(map(_lag_sql, LAGS)),
+    ),
+)
+def score_multi_rows(spark, sf):
+    """The looked-up features, what was looked up, how far past the training data; whether the
+    global index is the highest one and every row has its labels."""
+    scored = _scored(spark, sf)
+    highest = F.col("air_index") == F.greatest(*[F.col(f"index_{p}") for p in MULTI])
+    labelled = F.lit(True)
+    for p in MULTI:
+        labelled &= F.col(f"icon_{p}").isNotNull() & F.col(f"unit_{p}").isNotNull() & (F.col(f"category_{p}") != "N/D")
+    return scored.select(
+        "event_id", *[r6(c).alias(c) for c in (*LAGS, "error")], F.col("n_lookup").cast("int").alias("n_lookup"),
+        r6("hours_past").alias("hours_past"), "extrapolated", highest.alias("highest"), labelled.alias("labelled"),
+    )

@@ -292,7 +292,7 @@ def time_series_folds(spark, sf):
 )
 def stack_parts(spark, sf):
     """The fit part on top of the validation part."""
-    split = splits.chronological_split(stored(v.series(spark, sf)), USER)
+    split = stored(splits.chronological_split(stored(v.series(spark, sf)), USER))
     stacked = splits.stack_parts(split.filter("role = 'fit'"), split.filter("role = 'val'"))
     return stacked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -463,16 +463,8 @@ def curve_summary(spark, sf):
 )
 def best_rounds(spark, sf):
     """Best round per target and the round count of the final fit."""
-    best = metrics.best_rounds(metrics.curve_summary(_curves(spark, sf)))
-    final = metrics.final_rounds(best, 200).select(
-        F.col("best_rounds").cast("bigint").alias("best_rounds"),
-        F.col("final_rounds").cast("bigint").alias("final_rounds"),
-    )
-    one = F.lit(1).alias("__one")
-    joined = best.select("*", one).join(final.select("*", one), "__one")
-    return joined.select(
-        "target", "best_iter", r6("best_score").alias("best_score"), "best_rounds", "final_rounds"
-    )
+    found = metrics.best_and_final_rounds(stored(_curves(spark, sf)), 200)
+    return found.withColumn("best_score", r6("best_score"))
 
 
 # -- statistics ------------------------------------------------------------------------

@@ -103,6 +103,30 @@ def fit_boosted(fit: DataFrame, val: DataFrame | None = None, params: BoostParam
     return Boosted(model, model.rounds, grown.curves["train"], grown.curves["val"])
 
 
+def fit_together(
+    split: DataFrame, features: Sequence[str], targets: Sequence[str], ids: Sequence[str], params: BoostParams = BoostParams()
+) -> dict[str, Boosted]:
+    """A model per target, grown in lockstep from the rows of role ``fit``, stopped by those of role ``val``.
+
+    Rows that lack a feature play no part, rows that lack a target none in its model. A target
+    without rows has a model that predicts 0.
+    """
+    complete = split.dropna("any", subset=list(features)).where("role in ('fit', 'val')")
+    part = F.when(F.col("role") == "fit", TRAIN).otherwise(VALIDATE)
+    rows = complete.select(
+        F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
+        F.array(*[F.coalesce(F.col(t).cast("double"), F.lit(0.0)) for t in targets]).alias("y"),
+        F.array(*[F.when(F.col(t).isNotNull(), part).otherwise(0).cast("tinyint") for t in targets]).alias("parts"),
+        F.xxhash64(*ids).alias("draw"),
+    )
+    grown, _ = trees.grow(rows, list(range(len(targets))), len(features), params)
+    out = {}
+    for t, m in zip(targets, grown, strict=True):
+        kept = m.trees[: m.best + 1] if m.n_val else m.trees
+        out[t] = Boosted(TreeModel(m.base, kept), len(kept), m.curves["train"], m.curves["val"])
+    return out
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 

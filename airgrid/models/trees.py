@@ -20,7 +20,7 @@ are kept: no tree is grown twice.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -151,6 +151,20 @@ class TreeModel:
         return TreeModel(float(nodes.loc[nodes["tree"] == -1, "value"].iloc[0]), trees)
 
 
+def predict_all(df: DataFrame, models: Mapping[str, TreeModel], x: Column, prefix: str = "pred_") -> DataFrame:
+    """``df`` with the prediction of every model for the array ``x``, in one pass."""
+    names = [f"{prefix}{name}" for name in models]
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _matrix(batch.column(batch.num_columns - 1))
+            found = [pa.array(m.predict(values) if len(values) else np.zeros(0)) for m in models.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], [*batch.schema.names[:-1], *names])
+
+    kinds = [f"`{c}` {kind}" for c, kind in df.dtypes] + [f"`{n}` double" for n in names]
+    return in_tasks(df.select("*", x.alias("__x")), rows, ", ".join(kinds))
+
+
 _NODE_TABLE = (
     "tree int, node int, feature bigint, cut bigint, threshold double, left bigint, right bigint, "
     "value double, count double"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid import config
@@ -66,12 +66,15 @@ def curve_summary(curves: DataFrame, keys: Sequence[str] = ("target",)) -> DataF
 
     ``curves`` has (keys, fold, split, iter, score) with rounds counted from 0.
     """
-    lengths = curves.groupBy(*keys, "fold", "split").agg(F.max("iter").alias("__last"))
-    shortest = lengths.groupBy(*keys).agg(F.min("__last").alias("__last"))
-    cut = curves.join(shortest, list(keys)).filter(F.col("iter") <= F.col("__last"))
-    return cut.groupBy(*keys, "split", "iter").agg(
-        F.avg("score").alias("mean"), F.stddev_pop("score").alias("std")
+    by_round = curves.groupBy(*keys, "split", "iter").agg(
+        F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"), F.count_distinct("fold").alias("__folds")
     )
+    # A round that fewer folds have than the first one is past the end of the shortest curve.
+    whole = Window.partitionBy(*keys)
+    ends = F.min(F.when(F.col("__folds") < F.col("__all"), F.col("iter"))).over(whole)
+    counted = by_round.withColumn("__all", F.max("__folds").over(Window.partitionBy(*keys, "split")))
+    cut = counted.withColumn("__end", ends).where(F.col("__end").isNull() | (F.col("iter") < F.col("__end")))
+    return cut.select(*keys, "split", "iter", "mean", "std")
 
 
 def best_rounds(
@@ -103,3 +106,20 @@ def final_rounds(
     return best.agg(F.coalesce(middle, F.lit(max_rounds)).alias("best_rounds")).withColumn(
         "final_rounds", F.least(F.col("best_rounds") + 2 * batch, F.lit(max_rounds))
     )
+
+
+def best_and_final_rounds(
+    curves: DataFrame, max_rounds: int, key: str = "target", split: str = "val", batch: int = config.CURVE_BATCH
+) -> DataFrame:
+    """(key, best_iter, best_score, best_rounds, final_rounds) from the curves in one pass.
+
+    The rows of all keys are one small group: a key has one row here, and the curves are summed
+    by (key, iter) before. The median over keys is carried beside the rows it is made of.
+    """
+    best = best_rounds(curve_summary(curves, (key,)), (key,), split)
+    rows = F.collect_list(F.struct(F.col(key), "best_iter", "best_score"))
+    whole = best.agg(rows.alias("rows"), F.percentile((F.col("best_iter") + 1) * batch, 0.5).alias("middle"))
+    rounds = F.floor("middle").cast("bigint")
+    return whole.select(F.inline("rows"), rounds.alias("best_rounds")).withColumn(
+        "final_rounds", F.least(F.col("best_rounds") + 2 * batch, F.lit(max_rounds)).cast("bigint")
+    )

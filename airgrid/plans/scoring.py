@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.functions import labels, moments
+from airgrid.functions.text import lag_parts
+from airgrid.models.trees import TreeModel, predict_all
 from airgrid.operators import sequence, stats
 from airgrid.operators.features import DIRECTION, HUMIDITY, SPEED, TEMPERATURE
 
@@ -28,6 +30,12 @@ def _given(ts: Column, features: Sequence[str], month: Column | None = None) ->
     return {name: column.cast("double") for name, column in given.items() if name in features}
 
 
+def lag_features(features: Sequence[str], bases: Sequence[str]) -> list[tuple[str, str, int]]:
+    """(name, base, hours) of the features named as lags of one of the bases."""
+    parts = [(c, lag_parts(c)) for c in features]
+    return [(c, *found) for c, found in parts if found and found[0] in bases]
+
+
 CLOCK = ("hora_sin", "hora_cos", "mes_sin", "mes_cos")
 
 
@@ -39,6 +47,7 @@ def assemble_scenarios(
     keys: Sequence[str] = ("station",),
     ts: str = "ts",
     spread: str = "scenario_id",
+    resolve_lags: bool = False,
 ) -> DataFrame:
     """The feature row of each scenario, with how much of it was looked up.
 
@@ -47,10 +56,17 @@ def assemble_scenarios(
     table, ``means`` has one column per feature and one row per key. ``n_lookup``
     counts all features the climatology knows at that hour and month, also those
     taken from the scenario; ``n_mean`` is what is left, never below 0.
+
+    With ``resolve_lags`` a feature named like ``X_lag_24h`` is the climatology of X at the
+    hour and month of 24 hours before, else the training mean of X; those found count as looked up.
     """
-    known = [c for c in features if c in climatology.columns]
-    averaged = [c for c in features if c in means.columns]
+    lags = lag_features(features, climatology.columns) if resolve_lags else []
+    lagged = {name: base for name, base, _ in lags}
+    known = [c for c in features if c in climatology.columns and c not in lagged]
+    averaged = [c for c in dict.fromkeys([*features, *lagged.values()]) if c in means.columns]
     found = stats.lookup_climatology(scenarios, climatology, known, keys, ts, "clim_")
+    if lags:
+        found = stats.lookup_lags(found, climatology, lags, keys, ts, "clim_")
     facts = means.select(*keys, *[F.col(c).alias(f"mean_{c}") for c in averaged])
     found = sequence.join_per_key(found, facts, keys, spread)
     given = _given(F.col(ts), features)
@@ -59,10 +75,11 @@ def assemble_scenarios(
         if c in given:
             row[c] = given[c]
             continue
-        sources = [F.col(f"clim_{c}")] if c in known else []
-        sources += [F.col(f"mean_{c}")] if c in averaged else []
+        sources = [F.col(f"clim_{c}")] if c in known or c in lagged else []
+        mean_of = lagged.get(c, c)
+        sources += [F.col(f"mean_{mean_of}")] if mean_of in averaged else []
         row[c] = F.coalesce(*sources, F.lit(0.0))
-    looked_up = sum((F.col(f"clim_{c}").isNotNull().cast("int") for c in known), F.lit(0))
+    looked_up = sum((F.col(f"clim_{c}").isNotNull().cast("int") for c in [*known, *lagged]), F.lit(0))
     left_over = (
         len(features) - len(config.WEATHER) - len([c for c in features if c in CLOCK]) - looked_up
     )
@@ -164,3 +181,44 @@ def with_index(df: DataFrame, pollutant: str, prediction: str = "prediction") ->
             "colour": F.coalesce(labels.air_colour(F.col("air_index")), F.lit("#64748B")),
         }
     )
+
+
+def score_scenarios(
+    scenarios: DataFrame,
+    models: Mapping[str, TreeModel],
+    features: Sequence[str],
+    climatology: DataFrame,
+    means: DataFrame,
+    ends: DataFrame | None = None,
+    keys: Sequence[str] = ("station",),
+    ts: str = "ts",
+    spread: str = "scenario_id",
+    continuous: bool = False,
+) -> DataFrame:
+    """The scoring job: every scenario through the models of all pollutants, in one pass over the rows.
+
+    ``models`` go by pollutant and share ``features``. Per pollutant p the result has ``pred_p``,
+    ``index_p``, ``category_p``, ``icon_p`` and ``unit_p``; then ``air_index`` and ``category`` of the
+    highest index, ``n_lookup`` and ``n_mean``, and with ``ends`` (keys, last_train_ts) ``hours_past`` and
+    ``extrapolated``. Predictions below 0 count as 0 in the index. ``continuous`` takes the index
+    without holes.
+    """
+    rows = assemble_scenarios(scenarios, features, climatology, means, keys, ts, spread, resolve_lags=True)
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    out = predict_all(rows, models, x)
+    index = labels.air_index_continuous if continuous else labels.air_index
+    category = labels.air_category_continuous if continuous else labels.air_category
+    for p in models:
+        value = labels.clip_non_negative(F.col(f"pred_{p}"))
+        out = out.withColumn(f"index_{p}", index(p, value)).withColumns(
+            {
+                f"category_{p}": F.coalesce(category(F.col(f"index_{p}")), F.lit("N/D")),
+                f"icon_{p}": labels.aqi_icon(p, value),
+                f"unit_{p}": labels.unit_of(p),
+            }
+        )
+    highest = F.greatest(*[F.col(f"index_{p}") for p in models]) if len(models) > 1 else F.col(f"index_{next(iter(models))}")
+    out = out.withColumn("air_index", highest).withColumn(
+        "category", F.coalesce(category(F.col("air_index")), F.lit("N/D"))
+    )
+    return out if ends is None else extrapolation(out, ends, keys, ts, spread=spread)

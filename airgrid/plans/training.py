@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrid import config
+from airgrid.functions import text
 from airgrid.models import boosted, importance
 from airgrid.operators import features as fe
 from airgrid.operators import metrics, quality, schema, splits, stats
 from airgrid.session import stored
+from airgrid.sources import files
 
 
 @dataclass(frozen=True)
@@ -122,3 +124,26 @@ def train(
         cross_validated=validated,
         importance=ranked,
     )
+
+
+def read_training_csv(spark: SparkSession, path: str, station: str | None = None) -> DataFrame:
+    """An annotated file as a training table: (station, ts, numbers).
+
+    The time column is found by name or content; every other column becomes a number, NULL where
+    it cannot be read. Without a column ``station`` all rows belong to ``station`` or, by default, to
+    the one the file's name tells.
+    """
+    raw = files.scan_annotated_csv(spark, path)
+    time = schema.detect_timestamp(raw)
+    if time is None:
+        raise ValueError(f"no time column in {path}")
+    typed = files.typed_columns(raw, time).withColumnRenamed(time, "ts")
+    if "station" not in typed.columns:
+        name = F.lit(station) if station is not None else text.station_from_file(F.lit(path))
+        typed = typed.withColumn("station", name)
+    return typed.select("station", "ts", *[c for c in typed.columns if c not in ("station", "ts")])
+
+
+def train_csv(spark: SparkSession, path: str, target: str = config.TARGET, station: str | None = None, **settings) -> Trained:
+    """The whole way from an annotated file to a trained model; ``settings`` are those of ``train``."""
+    return train(stored(read_training_csv(spark, path, station)), target, **settings)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.functions import text, values
-from airgrid.operators import align
+from airgrid.operators import align, schema
 
 SEPARATORS = (",", ";", "\t")
 
@@ -159,6 +159,31 @@ def scan_annotated_csv(spark: SparkSession, path: str) -> DataFrame:
     return annotated_rows(spark, path)[0]
 
 
+SUMMARY = (
+    "path string, ok boolean, message string, n_rows bigint, n_columns int, time_column string, "
+    "pollutants array<string>, targets array<string>"
+)
+
+
+def summarise_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Per annotated file its rows, columns, time column and pollutants, or why it cannot be read.
+
+    ``targets`` are the pollutants found, or all where none is. The files are few; each is a
+    query of its own, so that an unreadable one does not stop the others.
+    """
+    rows = []
+    for path in paths:
+        try:
+            df = scan_annotated_csv(spark, path)
+            found = [c for c in config.POLLUTANTS if c in df.columns]
+            time = schema.detect_timestamp(df) or "No detectado"
+            rows.append((path, True, None, df.count(), len(df.columns), time, found, schema.detect_targets(df.columns)))
+        except Exception as error:  # whatever the reader says becomes the row's message
+            message = str(error).splitlines()[0] if str(error) else type(error).__name__
+            rows.append((path, False, message, None, None, None, [], list(config.POLLUTANTS)))
+    return spark.createDataFrame(rows, SUMMARY)
+
+
 def typed_columns(df: DataFrame, ts: str, texts: Sequence[str] = ("station",)) -> DataFrame:
     """Text columns as a model takes them: ``ts`` a time, all others but ``texts`` numbers; rows
     without a time go."""

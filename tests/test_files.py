@@ -1,6 +1,8 @@
 """Files in, tables out, and what columns are for."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.models import boosted
 from airgrid.operators import quality, schema, stats
+from airgrid.plans import training
 from airgrid.sources import files, tables
 
 
@@ -196,3 +199,26 @@ def test_coordinates_by_name(spark):
     got = {(r["Latitud"], r["LNG"]): r["mean"] for r in stats.geo_mean_by_name(df, "PM25", "PM25").collect()}
     assert got == {(1.0, 2.0): 15.0, (3.0, 4.0): 8.0}
     assert stats.geo_mean_by_name(df.drop("LNG"), "PM25", "PM25").collect() == []
+
+
+def test_from_annotated_file_to_model(spark, tmp_path):
+    rng = random.Random(4)
+    lines = ["# station file", "Fecha,PM25,O3,Temperatura,nota"]
+    for i in range(420):
+        at = dt.datetime(2022, 1, 1) + dt.timedelta(hours=i)
+        warm = 15 + 8 * math.sin(i / 24 * 2 * math.pi)
+        lines.append(f'{at:%Y-%m-%d %H:%M},{20 + warm + rng.random():.3f},{rng.randint(5, 50)},{warm:.2f},"a#{i}" # x')
+    lines.insert(50, "malo,1,2,3,4")
+    path = tmp_path / "el_camal.csv"
+    path.write_text("\n".join(lines), encoding="utf-8")
+    table = training.read_training_csv(spark, str(path))
+    assert table.columns == ["station", "ts", "PM25", "O3", "Temperatura", "nota"] and table.count() == 420
+    assert table.first()["station"] == "El Camal" and dict(table.dtypes)["PM25"] == "double"
+    quick = boosted.BoostParams(rounds=6, depth=3, rate=0.5)
+    settings = {"top": 10, "folds": 2, "params": quick, "repeats": 1, "pollutants": ("PM25", "O3")}
+    out = training.train(table.drop("nota"), "PM25", **settings)
+    assert {r["part"] for r in out.scores.collect()} == {"train", "test"}
+    summary = files.summarise_files(spark, [str(path), str(tmp_path / "missing.csv")]).collect()
+    assert (summary[0]["ok"], summary[0]["n_rows"], summary[0]["time_column"]) == (True, 421, "Fecha")
+    assert summary[0]["pollutants"] == ["PM25", "O3"] and summary[0]["n_columns"] == 5
+    assert not summary[1]["ok"] and summary[1]["message"] and len(summary[1]["targets"]) == 6

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airgrid import config
 from airgrid.models import boosted, importance, shap, trees
-from airgrid.operators import features, splits, stats
+from airgrid.operators import features, metrics, splits, stats
 from airgrid.plans import scoring, training
 from airgrid.session import stored
 
@@ -383,3 +383,45 @@ def test_scenario_sources(spark):
     from_text = spark.createDataFrame([(1, "a", '{"O3": 3}'), (2, "a", "{}")], "scenario_id bigint, station string, j string")
     got = scoring.scenario_from_json(from_text, "j", ["O3"], means).orderBy("scenario_id").collect()
     assert [r["O3"] for r in got] == [3.0, 10.0]
+
+
+def test_lags_in_scenarios(spark):
+    """A lag is the base's climatology that many hours before, else the base's mean, else 0."""
+    t = dt.datetime(2022, 3, 5, 10)
+    history = spark.createDataFrame(
+        [("a", t, 4.0, 1.0), ("a", t - dt.timedelta(hours=1), 6.0, 3.0)], "station string, ts timestamp_ntz, O3 double, CO double"
+    )
+    wide = stats.climatology_wide(history, ["O3", "CO"])
+    means = history.groupBy("station").agg(F.avg("O3").alias("O3"), F.avg("CO").alias("CO"))
+    weather = ", ".join(f"{c} double" for c in config.WEATHER)
+    rows = [(1, "a", t, 20.0, 50.0, 2.0, 0.0, 0.0), (2, "b", t, 20.0, 50.0, 2.0, 0.0, 0.0)]
+    scenarios = spark.createDataFrame(rows, f"scenario_id bigint, station string, ts timestamp_ntz, {weather}")
+    names = ("Temperatura", "O3_lag_1h", "CO_lag_24h", "CO_lag_0h", "X_lag_1h")
+    assert scoring.lag_features(names, wide.columns) == [("O3_lag_1h", "O3", 1), ("CO_lag_24h", "CO", 24), ("CO_lag_0h", "CO", 0)]
+    flat = {"PM25": trees.TreeModel(30.0), "CO": trees.TreeModel(-2.0)}
+    ends = spark.createDataFrame([("a", t - dt.timedelta(hours=50))], "station string, last_train_ts timestamp_ntz")
+    a, b = scoring.score_scenarios(scenarios, flat, names, wide, means, ends).orderBy("scenario_id").collect()
+    assert (a["O3_lag_1h"], a["CO_lag_24h"], a["CO_lag_0h"], a["X_lag_1h"]) == (6.0, 1.0, 1.0, 0.0)  # same hour, a day before
+    assert (b["O3_lag_1h"], b["CO_lag_24h"], b["n_lookup"]) == (0.0, 0.0, 0) and a["n_lookup"] == 3
+    assert (a["pred_PM25"], a["pred_CO"], a["index_CO"], a["air_index"]) == (30.0, -2.0, 0.0, a["index_PM25"])
+    assert a["extrapolated"] and a["hours_past"] == 50.0 and b["hours_past"] is None
+    smooth = scoring.score_scenarios(scenarios, flat, names, wide, means, continuous=True).first()
+    assert smooth["category"] != a["category"] and smooth["unit_CO"] == "mg/m³"
+
+
+def test_models_grown_together(table):
+    split = splits.chronological_split(table)
+    both = boosted.fit_together(split, ["x0", "x1", "x2"], ["PM25", "CO"], ["station", "ts"], QUICK)
+    assert both["PM25"].rounds <= QUICK.rounds and len(both["CO"].val_curve) == QUICK.rounds
+    assert both["PM25"].val_curve[-1] < both["PM25"].val_curve[0]
+
+
+def test_best_rounds_read_the_curves_once(spark):
+    rows = [(t, f, s, i, abs(i - b) + f / 10) for t, b in (("a", 2), ("b", 4), ("c", 9)) for f in (1, 2) for s in ("train", "val")
+            for i in range(10 if f == 1 else 8)]
+    curves = stored(spark.createDataFrame(rows, boosted.CURVE_TABLE))
+    found = metrics.best_and_final_rounds(curves, 300)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and plan.count("FileScan") == 1
+    got = {r["target"]: (r["best_iter"], r["best_rounds"], r["final_rounds"]) for r in found.collect()}
+    assert got == {"a": (2, 100, 140), "b": (4, 100, 140), "c": (7, 100, 140)}  # the shortest curve ends at 7
