@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airgrid.llm import (
     arrays,
@@ -251,11 +252,11 @@ def test_secret_scans(spark):
 
 def test_models_gather_from_all_documents(spark):
     letters = str.maketrans("0123456789", "abcdefghij")
-    texts = ["number " + str(i).translate(letters) * 2 for i in range(5_300)]
+    texts = ["number " + str(i // 2).translate(letters) * 2 for i in range(5_300)] + ["onlyonce"]
     rows = [(i if i % 3 else None, t) for i, t in enumerate([*texts, "secret=hidden99 outside"])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     random_steps, ordinary = [0.0] * secrets.SIZE**2, [0.0] * secrets.SIZE**2
-    for counts, values in ((random_steps, ["hidden99"]), (ordinary, [w for t in texts for w in t.split()])):
+    for counts, values in ((random_steps, ["hidden99"]), (ordinary, [w for t in texts[:-1] for w in t.split() if len(w) > 1])):
         for w in values:
             for a, b in zip(w, w[1:]):
                 counts[ord(a) * secrets.SIZE + ord(b)] += 1
@@ -458,3 +459,59 @@ def test_quality_rules_by_broadcast_and_by_shuffle(spark, texts):
     trusted = spark.createDataFrame([(i,) for i in range(0, len(texts), 2)], "doc_id bigint")
     one, two = (quality_rules.gram_ratios(docs, trusted, 512, most) for most in (quality_rules.MOST_BROADCAST, 0))
     assert one == two and len(set(one)) > 3
+
+
+ORDINARY_STRINGS = [
+    "usr/local/lib/python3/dist-packages", "com/google/android/gms/common", "correct-horse-battery-staple",
+    "getHTTPResponseCodeFromServer", "-" * 30, "=" * 20, "articles/2021/05/12/how-to-cook-rice",
+    "InternationalizationHelper", "z" * 24, "0" * 20, "A" * 40, "TransactionManagerFactoryBean", "CONSTANT_NAME_OF_VALUE",
+    "20210512123456", "src/main/java/org/example/AbstractBaseServiceImpl.java",
+]
+
+
+@pytest.fixture(scope="module")
+def english(spark):
+    """Ordinary text, with a few secrets that teach the other model."""
+    words = (
+        "the response of every server is written to a local file and read again when common code asks for it please note "
+        "that packages for the distribution are built from source each night while helpers translate names into other "
+        "languages where transactions manage their own state factories make beans horses eat rice staple goods and battery "
+        "cells are cooked later international readers find articles about android phones google searches and python paths"
+    ).split()
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(words, k=60)).capitalize() + " In 2021 and 1999." for _ in range(300)]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return texts + ["token=" + "".join(rng.choices(letters, k=24)) for _ in range(40)]
+
+
+def test_random_strings_and_ordinary_ones(spark, english):
+    """Names, paths and rules stay; random strings of 16 and more characters are found."""
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    planted = ["".join(rng.choices(letters, k=rng.choice([16, 20, 24, 32]))) for _ in range(200)]
+    texts = english + [f"see {s} there" for s in ORDINARY_STRINGS] + [f"use {s} here" for s in planted]
+    got = {r.doc_id: [s.rank for s in r.spans] for r in secrets.find_secrets(corpus(spark, texts)).collect()}
+    at = len(english)
+    flagged = [s for i, s in enumerate(ORDINARY_STRINGS) if got[at + i]]
+    assert flagged == []
+    found = sum(got[at + len(ORDINARY_STRINGS) + i] == [3] for i in range(200))
+    assert found >= 190  # recall of 0.95
+    assert not any(3 in got[i] for i in range(300))
+
+
+def test_runs_beside_base_spans(spark, english):
+    """What a base span leaves of a run is judged alone; positions are those of the text."""
+    tail, head = "x9Kq2Zr7Lm4Wp8Tn", "Qw7Zx2Kp9Lm4Rt8Y"
+    texts = english + [f"é AKIA{'QWERTYUIOPASDFGH'}{tail.lower()[:4]} and {head}{'0a1b2c3d' * 3} {'é' * 3}{tail}", tail * 3_000]
+    got = {r.doc_id: r for r in secrets.find_secrets(corpus(spark, texts)).collect()}
+    first = got[len(english)]
+    text = texts[len(english)]
+    spans = {(s.rank, text[s.start : s.end]) for s in first.spans}
+    assert (3, tail) in spans and (3, head) in spans and (2, "0a1b2c3d" * 3) in spans
+    assert [(s.rank, s.start, s.end) for s in got[len(english) + 1].spans] == [(3, 0, 48_000)]
+
+
+def test_places_are_sums_of_blocks(spark):
+    df = spark.createDataFrame([([int(x) for x in range(n)],) for n in (0, 1, 2, 7, 8, 9, 64, 65, 200)], "v array<int>")
+    got = df.select("v", secrets.running(F.col("v"), 8).alias("s")).collect()
+    assert all(r.s == [sum(r.v[:i]) for i in range(len(r.v))] for r in got)
