@@ -48,6 +48,7 @@ _BASE = (
 )
 #: A base span, or a run that ends where one begins.
 RUN = f"{_BASE}|((?:(?!{_BASE})[A-Za-z0-9]){{{LEAST_RUN},}}+)"
+PLAIN_RUN = f"[A-Za-z0-9]{{{LEAST_RUN},}}"
 ORDINARY = r"[A-Za-z0-9]{2,}"
 THRESHOLD = 3500  # thousandths, of the whole run
 FEW = 1000  # counted steps
@@ -120,12 +121,14 @@ def base_spans(text: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with ``base`` (sorted spans) and ``tokens`` (runs to be judged)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    runs = F.filter(
-        located(text, RUN, 3, 1, LEAST_RUN), lambda t: F.replace(t["value"], F.substring(t["value"], 1, 1), F.lit("")) != ""
-    )
-    return docs.withColumn(
-        "_found", F.struct(F.sort_array(base_spans(text)).alias("base"), runs.alias("tokens"))
-    )
+
+    def with_runs(base: Column) -> Column:
+        # Without base spans nothing cuts a run, and the plain pattern finds the same.
+        runs = F.when(F.size(base) == 0, located(text, PLAIN_RUN, 3)).otherwise(located(text, RUN, 3, 1, LEAST_RUN))
+        varied = F.filter(runs, lambda t: F.replace(t["value"], F.substring(t["value"], 1, 1), F.lit("")) != "")
+        return F.struct(base.alias("base"), varied.alias("tokens"))
+
+    return docs.withColumn("_found", let(F.sort_array(base_spans(text)), with_runs))
 
 
 def _steps(value: Column) -> Column:
