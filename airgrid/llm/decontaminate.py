@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from airgrid.llm import arrays
 from airgrid.llm.shipping import in_tasks
-from airgrid.llm.text import let, table
+from airgrid.llm.text import let, rows_by_key, table
 from airgrid.session import stored
 
 WINDOW, GRAM = 10, 5
@@ -245,12 +245,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, g
     Rows are told apart by id and text, so rows that repeat an id are judged each for itself.
     """
     found = decontaminate(docs, items, window, gram, with_text_hash=True).where("n_hit > 0")
-    found = stored(
-        found.select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_mark")).distinct(), "contaminated"
-    )
-    mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (mark == F.col("_mark"))
-    return docs.join(found, same, "left_anti")
+    return rows_by_key(docs, found.select("doc_id", F.col("text_hash").alias("mark")), "left_anti")
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

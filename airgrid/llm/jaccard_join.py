@@ -14,8 +14,8 @@ similar pair does, before its sets are compared.
    under one of the others, but for groups that are one component by then. Large groups are
    dealt in pairs of blocks. Only links that join something leave the task.
 4. Tokens that still stand in more than ``HOT`` groups go to the end of the first order (this is
-   again one order of all tokens), and prefixes move on to the next tokens. What a longer
-   prefix does not hold is joined under the first order as it was.
+   again one order of all tokens), and prefixes move on to the next tokens. A class whose list is too
+   short for that, as it is mostly made of such tokens, is looked at whole.
 5. Pairs of different components, not compared in step 3, that share a prefix token, have enough
    tokens after it, differ in few enough bits of a parity map of their sets and overlap under the
    second and third order, are compared in full.
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from airgrid.llm import arrays
 from airgrid.llm.components import components
 from airgrid.llm.shipping import in_tasks
-from airgrid.llm.text import table
+from airgrid.llm.text import rows_by_key, table
 from airgrid.session import stored
 
 WORDS, PERCENT = 5, 80
@@ -139,7 +139,7 @@ def parity_maps(names: np.ndarray, bounds: np.ndarray, full: np.ndarray) -> list
 
 
 def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, key, n, cls, check, a, b, c, g0, g1, g2, odd0, odd1) per row.
+    """(doc_id, key, mark, n, cls, check, a, b, c, g0, g1, g2, odd0, odd1) per row.
 
     A copy inside a piece has no prefixes; only rows with prefixes have what follows them.
     """
@@ -173,6 +173,7 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 [
                     pa.concat_arrays(piece.column("doc_id").chunks),
                     pa.concat_arrays(piece.column("key").chunks),
+                    pa.concat_arrays(piece.column("mark").chunks),
                     pa.array(n.astype(np.int64)),
                     pa.array(cls.view(np.int64)),
                     pa.array(class_names(names, bounds, 1).view(np.int64)),
@@ -180,10 +181,10 @@ def class_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     *others,
                     *[pc.take(pa.array(f), where) for f in facts],
                 ],
-                ["doc_id", "key", "n", "cls", "check", "a", "b", "c", "g0", "g1", "g2", "odd0", "odd1"],
+                ["doc_id", "key", "mark", "n", "cls", "check", "a", "b", "c", "g0", "g1", "g2", "odd0", "odd1"],
             )
 
-    schema = f"doc_id {kind}, key string, n bigint, cls bigint, check bigint, a array<bigint>, b array<int>, c array<int>"
+    schema = f"doc_id {kind}, key string, mark bigint, n bigint, cls bigint, check bigint, a array<bigint>, b array<int>, c array<int>"
     schema += ", g0 bigint, g1 bigint, g2 bigint, odd0 bigint, odd1 bigint"
     return in_tasks(docs, rows, schema)
 
@@ -297,10 +298,11 @@ def parted(groups: DataFrame, roots: DataFrame | None, orders: tuple[int, ...])
     if roots is not None:
         parts = parts.join(roots, "cls", "left")
         root = F.coalesce("root", "cls")
-    group = Window.partitionBy("name")
-    parts = parts.withColumn("low", F.min(root).over(group)).withColumn("high", F.max(root).over(group))
-    parts = parts.withColumn("size", F.count(F.lit(1)).over(group))
-    return parts.where("low <> high").select("cls", "name", "size")
+    facts = parts.groupBy("name").agg(
+        F.min(root).alias("low"), F.max(root).alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    facts = stored(facts.where("low <> high").select("name", "size"), "jaccard_group_sizes")
+    return parts.join(facts, "name").select("cls", "name", "size")
 
 
 def dealt(parts: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -400,7 +402,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return in_tasks(both.select("u", "v", "one", "two"), rows, "u bigint, v bigint")
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+def _pairs(left: DataFrame, right: DataFrame, percent: int, same: bool = False) -> DataFrame:
     """Pairs u < v of different roots that share a token and were in no place together, of rows
     (token, cls, root, n, rank, g0, g1, g2, odd0, odd1).
 
@@ -414,6 +416,8 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
         F.col("n") + F.col("n_v")
     )
     apart = F.col("root") != F.col("root_v")
+    if same:
+        apart &= F.col("cls") < F.col("v")
     for k in range(3):
         apart &= F.col(f"g{k}") != F.col(f"h{k}")
     both = F.col("n") + F.col("n_v")
@@ -424,48 +428,115 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("cls", "v").alias("u"), F.greatest("cls", "v").alias("v")).distinct()
 
 
+def member_rows(sets: DataFrame) -> DataFrame:
+    """(cls, token, pos) of all members of the sets (cls, members), in the first order."""
+
+    def rows(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cls, members in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                tokens = np.frombuffer(members.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(tokens), cls)), pa.array(tokens), pa.array(np.arange(len(tokens)))],
+                    ["cls", "token", "pos"],
+                )
+
+    return in_tasks(sets, rows, "cls bigint, token bigint, pos bigint")
+
+
+FACTS = ("root", "n", "g0", "g1", "g2", "odd0", "odd1")
+
+
+def _facts(prefixes: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, FACTS) of some classes."""
+    own = prefixes.join(classes.distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    return own.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")).select("cls", *FACTS)
+
+
 def candidates(
-    shared: DataFrame, groups: DataFrame, roots: DataFrame, percent: int, hot: int = HOT
+    shared: DataFrame, groups: DataFrame, roots: DataFrame, lists: DataFrame, sets_of, percent: int, hot: int = HOT
 ) -> DataFrame:
-    """Pairs that share a token under the first order, from rows (token, cls, n, pos)."""
+    """Pairs that share a prefix token, from rows (token, cls, pos) of tokens of two classes or more.
+
+    The order is the first one, but tokens at which more than ``hot`` groups meet stand at its end. A class
+    whose list holds too few other tokens for a prefix is looked at whole: ``sets_of(classes)`` gives its
+    set, and so its prefix under that order. Such a prefix reaches tokens that are in one other
+    list only, which ``shared`` leaves out; they are taken from ``lists`` (cls, n, a, ...), all lists.
+    """
     grouped = shared.select("token", "cls", "pos").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    at_token = Window.partitionBy("token")
-    # The groups at a token: those that differ from the one before, in sorted order.
-    turn = F.lag("root").over(at_token.orderBy("root"))
-    marked = grouped.withColumn("new", F.when(turn.isNull() | (turn != F.col("root")), 1).otherwise(0))
-    counted = marked.withColumn("groups", F.sum("new").over(at_token)).drop("new")
+    met = grouped.groupBy("token", "root").agg(F.lit(1).alias("one")).groupBy("token").agg(F.count(F.lit(1)).alias("groups"))
     # A token of one group is not hot and makes no pair.
-    counted = counted.withColumn("is_hot", (F.col("groups") > hot).cast("int")).where("groups > 1").drop("groups")
-    counted = stored(counted, "jaccard_tokens").join(groups, "cls")
+    met = stored(met.where("groups > 1").select("token", (F.col("groups") > hot).cast("int").alias("is_hot")), "jaccard_met")
+    counted = stored(grouped.join(met, "token").drop("root"), "jaccard_tokens")
+    facts = groups.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")).select("cls", *FACTS)
     own = Window.partitionBy("cls")
+    before = F.sum("is_hot").over(own.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
     p = prefix_column(percent)
     kept = F.least(F.col("n"), (p + F.floor(p / 2) + 24).cast("bigint"))
-    before = F.sum("is_hot").over(own.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("before", before).withColumn("all_hot", F.sum("is_hot").over(own))
+    placed = counted.join(facts, "cls").withColumn("before", before).withColumn("all_hot", F.sum("is_hot").over(own))
     placed = placed.withColumn("p", p).withColumn("left_over", kept - F.col("all_hot")).withColumn("kept", kept)
     whole = F.col("kept") == F.col("n")
-    short = (F.col("left_over") < F.col("p")) & ~whole
-    # Under the new order: cold tokens up to the prefix length, then hot ones if all are known.
+    placed = placed.withColumn("short", (F.col("left_over") < F.col("p")) & ~whole)
+    # Cold tokens up to the prefix length, then hot ones if all are known.
     cold = (F.col("is_hot") == 0) & (F.col("pos") - F.col("before") < F.col("p"))
     rest = (F.col("is_hot") == 1) & whole & (F.col("left_over") + F.col("before") - 1 < F.col("p"))
-    placed = placed.withColumn("short", short).withColumn("here", ~short & (cold | rest))
-    placed = stored(placed.where(F.col("here") | (F.col("pos") < F.col("p"))), "jaccard_prefixes")
-    new_rank = F.when(F.col("is_hot") == 1, F.col("left_over") + F.col("before") - 1).otherwise(
-        F.col("pos") - F.col("before")
-    )
-    new_order = placed.where("here").withColumn("rank", new_rank)
-    old_order = placed.where(F.col("pos") < F.col("p")).withColumn("rank", F.col("pos"))
-    return (
-        _pairs(new_order, new_order, percent)
-        .unionByName(_pairs(old_order.where("short"), old_order, percent))
-        .distinct()
-    )
+    rank = F.when(F.col("is_hot") == 1, F.col("left_over") + F.col("before") - 1).otherwise(F.col("pos") - F.col("before"))
+    row = ["token", "cls", *FACTS, "rank"]
+    long_enough = stored(placed.where(~F.col("short") & (cold | rest)).withColumn("rank", rank).select(row), "jaccard_prefixes")
+
+    short = stored(placed.where("short").select("cls").distinct(), "jaccard_short")
+    members = member_rows(sets_of(short).select("cls", "members"))
+    hot_tokens = met.where("is_hot = 1")
+    judged = members.join(hot_tokens, "token", "left").withColumn("is_hot", F.coalesce("is_hot", F.lit(0)))
+    judged = judged.withColumn("before", before).withColumn("all_hot", F.sum("is_hot").over(own))
+    judged = judged.join(facts.join(short, "cls", "left_semi"), "cls").withColumn("left_over", F.col("n") - F.col("all_hot"))
+    looked_at = stored(judged.withColumn("rank", rank).where(F.col("rank") < p).select(row), "jaccard_short_prefixes")
+
+    alone = stored(looked_at.select("token").distinct().join(met, "token", "left_anti"), "jaccard_alone")
+    others = lists.select("cls", F.posexplode("a").alias("pos", "token"))
+    others = maybe_in(others, "token", alone).join(alone, "token", "left_semi").dropDuplicates(["token", "cls"])
+    others = stored(others, "jaccard_others")
+    n_hot = counted.groupBy("cls").agg(F.sum("is_hot").alias("all_hot"))
+    # Hot tokens before a place are at most all of the class; a lower rank keeps more pairs.
+    least = F.greatest(F.col("pos") - F.coalesce("all_hot", F.lit(0)), F.lit(0))
+    others = others.join(_facts(lists, roots, others.select("cls")), "cls").join(n_hot, "cls", "left")
+    others = others.withColumn("rank", least).where(F.col("rank") < p).select(row)
+    both = long_enough.unionByName(looked_at)
+    return _pairs(both, both, percent, same=True).unionByName(_pairs(looked_at, others, percent)).distinct()
 
 
 def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    return grouped_rows(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, all columns.
+
+    The row of the lowest doc_id stays, of equal ids the one of the lowest text hash, of equal rows any; a
+    row without an id stays only where no row of its group has one. Texts without words are in no
+    group and all stay. Rows go by id and text hash; only rows that repeat both meet each other.
+    """
+    rows = stored(grouped_rows(docs, words, percent).where("n_shingles > 0"), "jaccard_rows")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    first = rows.groupBy("root").agg(F.min(place).alias("first"))
+    judged = rows.groupBy("root", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies")).join(first, "root")
+    judged = stored(judged.select("doc_id", "mark", "copies", (place == F.col("first")).alias("stays")), "jaccard_judged")
+    kept = rows_by_key(docs, judged.where("not stays"), "left_anti")
+    repeated = judged.where("stays and copies > 1")
+    once = rows_by_key(kept, repeated, "left_semi")
+    numbered = once.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("of"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
+    ).dropDuplicates(["of", "mark"])
+    return rows_by_key(kept, repeated, "left_anti").unionByName(numbered.select("row.*"))
+
+
+def grouped_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, root) for every row; ``mark`` hashes the text, ``root``
+    names the group, NULL without words."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce("text", F.lit("")))))
-    texts = docs.select("doc_id", key.alias("key"), "text")
+    texts = docs.select("doc_id", key.alias("key"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
     made = stored(class_rows(texts, words, percent), "jaccard_classes")
     made_of = made.where("n > 0")
     classes = made_of.groupBy("cls").agg(
@@ -502,21 +573,25 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         links = stored(within_groups(sets, large, percent), "jaccard_links")
         near = links if near is None else near.unionByName(links)
         roots = components(near).select(F.col("node").alias("cls"), "root")
-    pairs = stored(candidates(shared, groups, roots, percent), "jaccard_pairs")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        """(cls, members) of some classes, once each."""
+        wanted = stored(of_classes.join(some.distinct(), "cls", "left_semi"), "jaccard_wanted")
+        found = set_rows(texts, wanted, words, percent).join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
+        return stored(found.dropDuplicates(["cls"]), "jaccard_sets")
+
+    pairs = stored(candidates(shared, groups, roots, prefixes, sets_of, percent), "jaccard_pairs")
     met = filtered(pairs, prefixes, percent)
     ids = met.select(F.col("u").alias("cls")).unionByName(met.select(F.col("v").alias("cls")))
-    wanted = stored(of_classes.join(ids.distinct(), "cls", "left_semi"), "jaccard_wanted")
-    sets = set_rows(texts, wanted, words, percent).join(wanted, ["key", "cls"], "left_semi").select("cls", "members")
-    sets = stored(sets.dropDuplicates(["cls"]), "jaccard_sets")
-    links = near.unionByName(compared(met, sets, percent))
+    links = near.unionByName(compared(met, sets_of(ids), percent))
     reached = components(links).select(F.col("node").alias("cls"), "root")
     placed = classes.select("cls", "first_doc").join(reached, "cls", "left")
     placed = stored(placed.select("cls", "first_doc", F.coalesce("root", "cls").alias("root")), "jaccard_roots")
     named = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    of_class = placed.join(named, "root").select("cls", "component_id")
-    joined = made.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(of_class, "cls", "left")
+    of_class = placed.join(named, "root").select("cls", "component_id", "root")
+    joined = made.select("doc_id", "mark", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(of_class, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return joined.select("doc_id", "mark", F.col("n").alias("n_shingles"), component.alias("component_id"), "root")
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:

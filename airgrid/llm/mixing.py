@@ -103,7 +103,10 @@ def mix(
     joined = rows.withColumn("own_salt", salt).join(
         facts, F.col("source").eqNullSafe(F.col("of")) & (F.col("own_salt") == F.col("salt"))
     )
-    taken = copies(F.col(f"doc.`{doc}`"), F.col("source_size"), F.col("target"), seed)
+    # A row without an id is drawn by its text.
+    unnamed = F.concat(F.lit("#"), F.md5(F.coalesce(F.col(f"doc.`{text}`"), F.lit(""))))
+    drawn_by = F.coalesce(F.col(f"doc.`{doc}`").cast("string"), unnamed)
+    taken = copies(drawn_by, F.col("source_size"), F.col("target"), seed)
     return joined.select("doc", "size", "source_size", "target", taken.alias("copies"))
 
 

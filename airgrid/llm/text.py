@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgrid.session import stored
+
 #: A word is a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -37,3 +39,26 @@ def unit_hash(key: Column, seed: int) -> Column:
     """A number in [0, 1) fixed by ``key`` and ``seed``; SQL can repeat it (MD5)."""
     digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+MOST_KEYS = 1 << 20
+
+
+def rows_by_key(docs: DataFrame, keys: DataFrame, how: str, most: int = MOST_KEYS) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are among ``keys`` (doc_id, mark), or are not.
+
+    ``how`` is left_semi or left_anti; NULL ids are alike. The keys are written and counted: up to
+    ``most`` (some 40 MB) go to the tasks and no text moves, above that one shuffle joins them. The
+    columns of ``docs`` are packed, so their names cannot clash.
+    """
+    known = keys.select(F.col("doc_id").alias("key_id"), F.col("mark").alias("key_mark")).distinct()
+    known = stored(known, "keys")
+    if known.count() <= most:
+        known = F.broadcast(known)
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("row_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_mark"),
+    )
+    same = F.col("row_id").eqNullSafe(F.col("key_id")) & (F.col("row_mark") == F.col("key_mark"))
+    return packed.join(known, same, how).select("row.*")

@@ -293,18 +293,19 @@ def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, mo
     return fit([r["text"] or "" for r in rows], [r["label"] for r in rows], totals)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """All columns of ``docs`` and ``toxicity`` (0 to 1), read from the column text."""
-    schema = docs.withColumn("toxicity", F.lit(0.0)).schema
+def score_toxicity(docs: DataFrame, model: ToxicModel, name: str = "toxicity") -> DataFrame:
+    """All columns of ``docs`` and the score (0 to 1) of the column text, as ``name``.
+
+    A column of that name gives way to the score; choose another name to keep it.
+    """
+
     def scored(batches) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in arrays.pieces(batches, limit=PIECE):
-            score = pa.array(model.score(data, offsets))
-            columns = [pa.concat_arrays(c.chunks) for n, c in zip(rows.column_names, rows.columns, strict=True) if n != "toxicity"]
-            yield pa.RecordBatch.from_arrays([*columns, score], [n for n in rows.column_names if n != "toxicity"] + ["toxicity"])
+            columns = [pa.concat_arrays(c.chunks) for c in rows.columns]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(data, offsets))], [*rows.column_names, name])
 
-    plain = docs.drop("toxicity")
-    schema = plain.withColumn("toxicity", F.lit(0.0)).schema
-    return in_tasks(plain, scored, schema)
+    plain = docs.drop(name)
+    return in_tasks(plain, scored, plain.withColumn(name, F.lit(0.0)).schema)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -145,13 +145,51 @@ def test_jaccard_hot_tokens_and_blocks(spark, monkeypatch):
         texts.append(" ".join(words + ["own%d" % rng.randrange(40)] * rng.randint(0, 9)))
     wanted = jaccard_components(texts, 2, 80)[1]
     pairs = jaccard_join.candidates
-    monkeypatch.setattr(jaccard_join, "candidates", lambda a, b, c, d: pairs(a, b, c, d, hot=1))
+    monkeypatch.setattr(jaccard_join, "candidates", lambda *a: pairs(*a, hot=1))
     places = jaccard_join.dealt
     monkeypatch.setattr(jaccard_join, "dealt", lambda groups: places(groups, block=3))
     got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(corpus(spark, texts), 2, 80).collect()}
     assert [got[i] for i in range(len(texts))] == wanted
 
 
+@pytest.mark.parametrize("hot", [1, 24])
+def test_jaccard_of_texts_made_of_common_passages(spark, monkeypatch, hot):
+    """Nearly all tokens of a text are hot, and what sets the texts apart is not in their lists."""
+    rng = random.Random(9)
+    passages = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(7)]
+    texts = []
+    for n in range(90):
+        parts = [passages[k] for k in sorted(rng.sample(range(7), rng.choice([3, 4, 4])))]
+        own = " ".join(f"o{rng.randrange(25)}w{i}" for i in range(rng.choice([0, 3, 12])))
+        texts.append(" ".join([*parts, own]) if n % 2 else " ".join([own, *parts]))
+    wanted = jaccard_components(texts, 5, 80)[1]
+    pairs = jaccard_join.candidates
+    monkeypatch.setattr(jaccard_join, "candidates", lambda *a: pairs(*a, hot=hot))
+    # Steps before the candidates would join most of these; leave them out.
+    monkeypatch.setattr(jaccard_join, "spanning_links", lambda held, percent: [])
+    everyone = jaccard_join._pairs
+
+    def not_met_before(left, right, percent, same=False):
+        apart = [F.xxhash64("cls", F.lit(k)).alias(f"g{k}") for k in range(3)]
+        left, right = (d.select(*[c for c in d.columns if c[0] != "g"], *apart) for d in (left, right))
+        return everyone(left, right, percent, same)
+
+    monkeypatch.setattr(jaccard_join, "_pairs", not_met_before)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(corpus(spark, texts), 5, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == wanted
+    assert len(set(wanted)) > 20
+
+
+def test_mix_without_ids(spark):
+    """Rows without an id are drawn by their text, so the targets hold for them, too."""
+    texts = [f"{'w ' * 9}{i}" for i in range(400)]
+    rows = [(None, t, "en", "ab"[i % 4 == 0], 1, 1, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    taken = mixing.mix(docs).groupBy("doc.source").agg(F.sum(F.col("copies") * F.col("size")).alias("n"), F.max("target").alias("t"))
+    for r in taken.collect():
+        assert abs(r.n - r.t) < 0.15 * r.t
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     rows = components.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()
