@@ -1,15 +1,15 @@
 """The corpus pipeline: five stages over the documents, each written and read again.
 
 1. toxicity: documents scored ``toxicity.DECIDE`` or more go.
-2. n-gram Jaccard join: of each group of near copies (five words, similarity 0.8) the document
-   of the lowest id stays.
+2. n-gram Jaccard join: of each group of near copies (five words, similarity 0.8) one row stays, that
+   of the lowest id; rows without an id and repeated rows go, too, where another row stays.
 3. benchmark decontamination: documents that hold a window of a benchmark item go.
 4. secret scans: every span found is replaced by a mask.
 5. mixing sources to target weights: each document as often as the mix takes it; ``copy``
    numbers the repeats.
 
-Stages 1 to 4 return the columns of documents; ``n_chars`` follows the text. Rows with a NULL
-id pass stage 2, as no group is named after them. An empty table passes all stages.
+Stages 1 to 4 return the columns of documents, whatever their names; ``n_chars`` follows the
+text. Texts without words are in no group and pass stage 2. An empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -25,15 +25,16 @@ from airgrid.session import stored
 def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; the model learns from this stage's own labelled rows."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    kept = toxicity.score_toxicity(docs, model).where(F.col("toxicity") < toxicity.DECIDE)
+    score = "toxicity"
+    while score in docs.columns:
+        score += "_"
+    kept = toxicity.score_toxicity(docs, model, score).where(F.col(score) < toxicity.DECIDE)
     return kept.select(docs.columns)
 
 
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    groups = jaccard_join.similar_groups(docs)
-    copies = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near_copies")
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return jaccard_join.one_of_each(docs)
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
