@@ -179,11 +179,17 @@ def word_symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seeds:
     if not len(size):
         return [np.zeros(0, np.uint64) for _ in seeds]
     before = np.cumsum(size) - size
-    inner = np.arange(int(size.sum())) - np.repeat(before, size)
-    raw = data[inner + np.repeat(starts, size)].astype(np.uint64) << ((inner & 7) << 3).astype(np.uint64)
+    inner = np.arange(int(size.sum()), dtype=np.int32)  # a text has fewer than 2**31 bytes
+    inner -= np.repeat(before.astype(np.int32), size)
+    raw = data[inner + np.repeat(starts.astype(np.int32), size)].astype(np.uint64)
+    inner &= 7
+    inner <<= 3
+    raw <<= inner.astype(np.uint64)
+    del inner
     first = np.cumsum(blocks) - blocks
     turn = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
     packed = np.add.reduceat(raw, np.repeat(before, blocks) + 8 * turn)
+    del raw
     numbered = (turn.astype(np.uint64) + np.uint64(1)) * np.uint64(ODD[1])
     length = size.astype(np.uint64) * np.uint64(ODD[0])
     return [mix(np.add.reduceat(mix(spread(packed, seed) + numbered), first) + length) for seed in seeds]
