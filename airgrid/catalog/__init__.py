@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.catalog import cleaning, learned, modelling_tables, views  # noqa: F401
+from airgrid.catalog import cleaning, file_tables, learned, modelling_tables, views  # noqa: F401
 from airgrid.catalog.registry import QUERIES, SQL, r6
 from airgrid.functions import labels
 from airgrid.operators import align, features, quality

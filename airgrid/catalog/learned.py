@@ -15,7 +15,7 @@ from airgrid import config
 from airgrid.catalog import views as v
 from airgrid.catalog.modelling_tables import _SCENARIOS as SCENARIOS_SQL
 from airgrid.catalog.modelling_tables import USER, _scenarios, _with_weather
-from airgrid.catalog.registry import query, r6, s6, s_ts, ts_text, with_sql
+from airgrid.catalog.registry import once, query, r6, s6, s_ts, ts_text, with_sql
 from airgrid.functions import moments
 from airgrid.models import boosted, importance, shap
 from airgrid.operators import features as fe
@@ -27,19 +27,6 @@ ROUNDS = 100
 PARAMS = boosted.BoostParams(rounds=ROUNDS)
 TARGET = "value"
 IDS = ("user_id", "ts")
-_DONE: dict[tuple, object] = {}
-
-
-def _once(name, make):
-    """``make(spark, sf)``, once per session and folder."""
-
-    def made(spark, sf):
-        key = (name, spark.sparkContext.applicationId, sf)
-        if key not in _DONE:
-            _DONE[key] = make(spark, sf)
-        return _DONE[key]
-
-    return made
 
 
 def _features(spark, sf):
@@ -62,7 +49,7 @@ def _fit(spark, sf):
     return model, rows, columns
 
 
-_fitted = _once("fitted", _fit)
+_fitted = once("fitted", _fit)
 
 
 def _wide(spark, sf):
@@ -127,7 +114,7 @@ def _hours(spark, sf):
     return stored(timed)
 
 
-_validated = _once("validated", _validate)
+_validated = once("validated", _validate)
 
 
 @query("cross_validate")
@@ -171,7 +158,7 @@ def _several(spark, sf):
     return boosted.fit_multi_target(train, columns, v.VARIABLES, params=PARAMS)
 
 
-_multi = _once("multi", _several)
+_multi = once("multi", _several)
 
 
 @query("multi_target")
@@ -234,7 +221,7 @@ def _explain(spark, sf):
     return stored(shap.tree_shap(fitted.model, rows.filter("role = 'test'"), columns, IDS), "explained")
 
 
-_explained = _once("explained", _explain)
+_explained = once("explained", _explain)
 
 
 @query("tree_shap")
@@ -370,7 +357,7 @@ def _multi_scoring(spark, sf):
     return stored(scored, "score_multi")
 
 
-_scored = _once("score_multi", _multi_scoring)
+_scored = once("score_multi", _multi_scoring)
 
 
 @query("score_multi")

@@ -54,3 +54,18 @@ def with_sql(*parts: str) -> str:
     """Common table expressions, then the final SELECT."""
     *ctes, final = parts
     return (f"WITH {', '.join(ctes)} " if ctes else "") + final
+
+
+_DONE: dict[tuple, object] = {}
+
+
+def once(name: str, make: Callable) -> Callable:
+    """``make(spark, sf)``, once per session and folder, for what several queries share."""
+
+    def made(spark: SparkSession, sf: str):
+        key = (name, spark.sparkContext.applicationId, sf)
+        if key not in _DONE:
+            _DONE[key] = make(spark, sf)
+        return _DONE[key]
+
+    return made
