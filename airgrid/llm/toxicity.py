@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from airgrid.llm import arrays
 from airgrid.llm.labelled import label_totals, remainder, training_rows
-from airgrid.llm.shipping import in_tasks
+from airgrid.llm.shipping import give_back, in_tasks
 from airgrid.llm.text import table
 
 FOLDS, HELD_OUT, DECIDE = 3, 1, 0.7
@@ -258,6 +258,8 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     z_clean = np.concatenate([nystroem(clean[i : i + 1000]) for i in range(0, len(clean), 1000)])
     toxic_bags = [np.array([place[w] for w in bag], int) for bag, k in zip(bags, y, strict=True) if k and bag]
     order = np.array([blame(w) for w in mine])
+    del bags, stems, suspects, ordinary
+    give_back()
     weights = np.zeros(1 << 15)
     for turn in range(TURNS):
         picked = []
@@ -273,8 +275,11 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
         beta = squared_hinge(z.astype(float), sign, cost)
         weights = features @ beta[:-1]
         order = z_mine @ beta[:-1]
+        del z
+    del z_mine, z_clean, features
+    give_back()
     model = ToxicModel(weights)
-    peak = np.concatenate([model.highest(*flat(texts[i : i + 64])) for i in range(0, len(texts), 64)])
+    peak = np.concatenate([model.highest(*flat(texts[i : i + 16])) for i in range(0, len(texts), 16)])
     return ToxicModel(weights, logistic(peak, y, totals))
 
 
@@ -290,7 +295,13 @@ def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, mo
     rows = training_rows(docs, labels, "toxic", folds, held_out, most, LONGEST).collect()
     rows = sorted(rows, key=lambda r: (r["label"], r["text"] or ""))
     totals = label_totals(docs, labels, "toxic", folds, held_out)
-    return fit([r["text"] or "" for r in rows], [r["label"] for r in rows], totals)
+    texts, toxic = [r["text"] or "" for r in rows], [r["label"] for r in rows]
+    del rows
+    give_back()
+    model = fit(texts, toxic, totals)
+    del texts
+    give_back()
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, name: str = "toxicity") -> DataFrame:
