@@ -518,8 +518,9 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """
     rows = stored(grouped_rows(docs, words, percent).where("n_shingles > 0"), "jaccard_rows")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
-    first = rows.groupBy("root").agg(F.min(place).alias("first"))
-    judged = rows.groupBy("root", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies")).join(first, "root")
+    first = stored(rows.groupBy("root").agg(F.min(place).alias("first")), "jaccard_first")
+    judged = stored(rows.groupBy("root", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies")), "jaccard_keys")
+    judged = judged.join(first, "root")  # of written tables, so that Spark can split a large group
     judged = stored(judged.select("doc_id", "mark", "copies", (place == F.col("first")).alias("stays")), "jaccard_judged")
     kept = rows_by_key(docs, judged.where("not stays"), "left_anti")
     repeated = judged.where("stays and copies > 1")
