@@ -4,8 +4,8 @@ Induced sorting sorts only the suffixes at S*-places (a byte below its left and
 right neighbour) and induces the rest. Here, too, only sampled S*-suffixes are sorted: of
 those in reach of a 100-byte window, the one with the least name, about one byte in thirty.
 Their tuples (name of the bytes around the place, name of the stretch, document, position)
-go through Spark's range of sorted spills on disk, the external priority queue of the method,
-so that a shard may be far larger than memory. Equal stretches stand together after the
+are sorted by Spark, which spills to disk, so that a shard may be far larger than memory; there are no
+priority queues, no recursion and no common-prefix values (see the README). Equal stretches stand together after the
 sort; where tuples agree around the place but not over the whole stretch, the common part is
 settled window by window in a second sort (see ``repeats``). Windows at unsampled places take
 the verdict of the suffix that they elect. The full order of all suffixes is never needed
