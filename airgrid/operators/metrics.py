@@ -61,6 +61,11 @@ def fold_mean_r2(fold_metrics: DataFrame) -> DataFrame:
     return fold_metrics.groupBy("fold").agg(F.avg("r2").alias("r2_mean"))
 
 
+def part_mean_r2(scores: DataFrame, part: str = "part") -> DataFrame:
+    """Mean R2 over targets per part of the data (train, test), and how many targets have one."""
+    return scores.groupBy(part).agg(F.avg("r2").alias("r2_mean"), F.count("r2").alias("n_targets"))
+
+
 def curve_summary(curves: DataFrame, keys: Sequence[str] = ("target",)) -> DataFrame:
     """Mean and population deviation over folds, per round, up to the shortest curve.
 

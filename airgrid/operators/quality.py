@@ -55,10 +55,15 @@ def list_stations(*tables: DataFrame, column: str = "station") -> DataFrame:
     return union.filter(~F.col(column).isin(*config.NOT_STATIONS)).distinct()
 
 
-def station_variables(readings: DataFrame) -> DataFrame:
-    """Per station the variables with at least one value."""
+def station_variables(readings: DataFrame, among: Sequence[str] | None = None) -> DataFrame:
+    """Per station the variables with at least one value.
+
+    With ``among`` only those are looked for, so that a set holds no more names than that.
+    """
+    variable = F.col("variable")
+    wanted = variable if among is None else F.when(variable.isin(*among), variable)
     known = readings.filter(F.col("value").isNotNull())
-    return known.groupBy("station").agg(F.collect_set("variable").alias("present"))
+    return known.groupBy("station").agg(F.collect_set(wanted).alias("present"))
 
 
 def completeness(
@@ -68,7 +73,7 @@ def completeness(
 ) -> DataFrame:
     """Per station the expected variables that are present and missing, in expected order."""
     wanted = F.array(*[F.lit(v) for v in expected])
-    return station_variables(readings).select(
+    return station_variables(readings, expected).select(
         "station",
         F.array_intersect(wanted, "present").alias("present"),
         F.array_except(wanted, "present").alias("missing"),

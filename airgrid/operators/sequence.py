@@ -11,9 +11,9 @@ whatever the size of the table, and a cell of integer ids ``CELL_IDS`` rows.
   ``groupBy``, and the only window partitioned by the key alone runs over them,
   one row per cell.
 * :func:`over_rows` runs row windows that look back a bounded number of rows. It
-  cuts the numbered rows into blocks of equal length and copies the last
-  ``reach`` rows of each block to the next one, so that every window is complete
-  and no block is longer than ``BLOCK_ROWS + reach``.
+  deals whole cells to blocks of some ``BLOCK_ROWS`` rows and copies the cells that
+  hold the ``reach`` rows before a block to it, so that every window is complete and
+  no block is longer than ``BLOCK_ROWS + reach`` rows and two cells.
 * :func:`with_known` looks for the nearest known value at any distance: inside the
   cell by a window, beyond it by a value carried over the cell summaries.
 
@@ -125,6 +125,38 @@ def with_positions(
     return joined.select(*df.columns, *placed, *[f"n_{n}" for n in counted])
 
 
+def cell_blocks(
+    celled: DataFrame, keys: Sequence[str], reach: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Per cell its block, the blocks its rows are copied to, the rows before it and the key's rows.
+
+    A block is the cells that start within one stretch of ``block_rows`` rows. A cell is also
+    copied to each later block that starts less than ``reach`` rows after the cell's end. Built
+    from counts: the windows run over one row per cell.
+    """
+    along = Window.partitionBy(*keys).orderBy("__cell")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    counts = celled.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    placed = counts.select(
+        *keys,
+        "__cell",
+        "__n",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        F.sum("__n").over(whole).alias("n_rows"),
+    ).withColumn("__home", F.floor(F.col("__before") / block_rows))
+    seen_by = F.floor((F.col("__before") + F.col("__n") + F.lit(reach - 1)) / block_rows)
+    last = F.max("__home").over(whole)
+    return placed.select(
+        *keys,
+        "__cell",
+        "__before",
+        "n_rows",
+        "__home",
+        F.sequence("__home", F.least(F.greatest(seen_by, "__home"), last)).alias("__blocks"),
+    )
+
+
 def over_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -141,21 +173,24 @@ def over_rows(
     new columns by name. All of them share one exchange and one sort. With
     ``keep_position`` the result has ``pos`` and ``n_rows`` as well, so that a split
     of the same rows needs no second numbering.
+
+    Whole cells are dealt to blocks, so the rows need no numbers beforehand. The plan of the
+    blocks has one row per cell and is written first: while Spark may broadcast it, the
+    exchange by block is the only one the rows go through; beyond that they are also joined
+    by cell, which no hot key can fill.
     """
     if reach > block_rows:
         raise ValueError("a block must hold at least as many rows as the windows look back")
-    numbered = with_position(df, keys, order, cell)
-    index = F.col("pos") - 1
-    block = F.floor(index / block_rows)
-    is_tail = (index % block_rows) >= block_rows - reach
-    is_last = F.floor((F.col("n_rows") - 1) / block_rows) == block
-    targets = F.when(is_tail & ~is_last, F.array(block, block + 1)).otherwise(F.array(block))
-    spread = numbered.withColumn("__home", block).withColumn("__block", F.explode(targets))
-    window = Window.partitionBy(*keys, "__block").orderBy("pos")
-    extra = ["__home", "__block"] + ([] if keep_position else ["pos", "n_rows"])
-    return (
-        spread.withColumns(dict(columns(window))).filter("__block = __home").drop(*extra)
-    )
+    keys = list(keys)
+    celled = df.withColumn("__cell", cell(order))
+    blocks = stored(cell_blocks(celled, keys, reach, block_rows), "blocks")
+    spread = celled.join(blocks, [*keys, "__cell"]).withColumn("__block", F.explode("__blocks"))
+    window = Window.partitionBy(*keys, "__block").orderBy(order)
+    made = dict(columns(window))
+    if keep_position:
+        made["pos"] = F.first("__before").over(window) + F.row_number().over(window)
+    kept = [*df.columns, *made] + (["n_rows"] if keep_position else [])
+    return spread.withColumns(made).filter("__block = __home").select(*dict.fromkeys(kept))
 
 
 def with_known(

@@ -288,20 +288,17 @@ def lookup_climatology(
     """Add the climatological mean of each feature at the row's hour and month.
 
     The table grows with the stations, so it is written first and Spark broadcasts it
-    only where its size allows; beyond that the 288 (hour, month) groups spread a hot
-    station over the join's tasks.
+    only where its size allows; beyond that each group of a hot station is spread over
+    several tasks by the day of its rows.
     """
-    table = stored(wide, "climatology").select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        F.col("hour").alias("__hour"),
-        F.col("month").alias("__month"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in features],
+    found = [f"{prefix}{c}" for c in features]
+    table = wide.select(
+        *keys, F.col("hour").alias("__hour"), F.col("month").alias("__month"),
+        *[F.col(c).alias(name) for c, name in zip(features, found)],
     )
-    match = (F.hour(df[ts]) == table["__hour"]) & (F.month(df[ts]) == table["__month"])
-    for k in keys:
-        match = match & (df[k] == table[f"__{k}"])
-    joined = df.join(table, match, "left")
-    return joined.select(*df.columns, *[f"{prefix}{c}" for c in features])
+    slotted = df.withColumns({"__hour": F.hour(ts), "__month": F.month(ts)})
+    joined = sequence.join_per_key(slotted, table, [*keys, "__hour", "__month"], ts)
+    return joined.select(*df.columns, *found)
 
 
 def lookup_lagged(
