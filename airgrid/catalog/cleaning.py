@@ -346,17 +346,18 @@ def require_any(spark, sf):
     with_sql(
         v.READINGS,
         v.HOURLY,
-        'SELECT station, count(*) FILTER ("view" IS NOT NULL AND click IS NOT NULL) AS n_kept, '
-        'CAST(sum(CAST("view" IS NULL AS INT) + CAST(click IS NULL AS INT)) AS BIGINT) AS n_nulls '
-        "FROM hourly GROUP BY station",
+        "SELECT station, count(*) FILTER ("
+        + " AND ".join(f'"{c}" IS NOT NULL' for c in v.VARIABLES)
+        + ") AS n_kept, CAST(sum("
+        + " + ".join(f'CAST("{c}" IS NULL AS INT)' for c in v.VARIABLES)
+        + ") AS BIGINT) AS n_nulls FROM hourly GROUP BY station",
     ),
 )
 def drop_any_null(spark, sf):
-    """Rows complete in two columns, and the NULL cells over them."""
-    hourly = v.hourly(spark, sf)
-    columns = ("view", "click")
-    nulls = hourly.groupBy("station").agg(qu.null_total(hourly, columns).alias("n_nulls"))
-    kept = qu.require_all(hourly, columns).groupBy("station").agg(F.count(F.lit(1)).alias("n_kept"))
+    """Rows complete in all columns, and the NULL cells over them; hours are aligned once."""
+    hourly = stored(v.hourly(spark, sf))
+    nulls = hourly.groupBy("station").agg(qu.null_total(hourly, v.VARIABLES).alias("n_nulls"))
+    kept = qu.require_all(hourly).groupBy("station").agg(F.count(F.lit(1)).alias("n_kept"))
     return nulls.join(kept, "station", "left").select(
         "station", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), "n_nulls"
     )

@@ -292,8 +292,8 @@ def time_series_folds(spark, sf):
 )
 def stack_parts(spark, sf):
     """The fit part on top of the validation part."""
-    split = stored(splits.chronological_split(stored(v.series(spark, sf)), USER))
-    stacked = splits.stack_parts(split.filter("role = 'fit'"), split.filter("role = 'val'"))
+    split = splits.chronological_split(stored(v.series(spark, sf)), USER)
+    stacked = splits.stack_roles(split, "fit", "val")
     return stacked.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -309,8 +309,11 @@ def _persistence(spark, sf):
 
 _FORECAST = f"forecast AS (SELECT *, lag(value) {OVER} AS yhat FROM {{source}})"
 _SCORES = (
-    "count(*) AS n, avg(abs(value - yhat)) AS mae, sqrt(avg((value - yhat) ** 2)) AS rmse, "
-    "1 - avg((value - yhat) ** 2) / nullif(var_pop(value), 0) AS r2"
+    "count(*) AS n, CASE WHEN count(*) > 1 THEN avg(abs(value - yhat)) END AS mae, "
+    "CASE WHEN count(*) > 1 THEN sqrt(avg((value - yhat) ** 2)) END AS rmse, "
+    "CASE WHEN count(*) < 2 THEN NULL WHEN var_pop(value) > 0 "
+    "THEN 1 - avg((value - yhat) ** 2) / var_pop(value) "
+    "WHEN avg((value - yhat) ** 2) = 0 THEN 1 ELSE 0 END AS r2"
 )
 
 
@@ -397,6 +400,26 @@ def fold_mean_r2(spark, sf):
     return means.select("fold", r6("r2_mean").alias("r2_mean"))
 
 
+@query(
+    "part_mean_r2",
+    with_sql(
+        v.SERIES,
+        "predicted AS (SELECT *, lag(value) " + OVER + " AS yhat FROM series)",
+        _POS.replace("FROM series", "FROM predicted"),
+        "roles AS (SELECT *, CASE WHEN pos <= floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END "
+        "AS part FROM pos)",
+        f"scores AS (SELECT user_id, part, {_SCORES} FROM roles WHERE yhat IS NOT NULL GROUP BY 1, 2)",
+        "SELECT part, " + s6("avg(r2)", "r2_mean") + ", count(r2) AS n_targets FROM scores GROUP BY part",
+    ),
+)
+def part_mean_r2(spark, sf):
+    """Mean score over all series on the training and on the test part."""
+    split = splits.chronological_split(_persistence(spark, sf), USER, inner_ratio=None)
+    scores = metrics.regression_metrics(split, ("user_id", "role"))
+    means = metrics.part_mean_r2(scores.withColumnRenamed("role", "part"))
+    return means.select("part", r6("r2_mean").alias("r2_mean"), "n_targets")
+
+
 ROUNDS = tuple(range(1, 11))
 
 
@@ -609,13 +632,14 @@ def importance_share(spark, sf):
     with_sql(
         v.USER_HOURLY,
         "SELECT user_id, " + s_ts("max(ts)", "last_ts") + ", CAST(month(max(ts)) AS INTEGER) AS last_month, "
-        'arg_max_null("view", ts) AS row_view, arg_max_null(click, ts) AS row_click, '
-        'arg_max("view", ts) AS known_view, arg_max(click, ts) AS known_click '
-        "FROM user_hourly GROUP BY user_id",
+        + ", ".join(
+            f'arg_max_null("{c}", ts) AS row_{c}, arg_max("{c}", ts) AS known_{c}' for c in v.VARIABLES
+        )
+        + " FROM user_hourly GROUP BY user_id",
     ),
 )
 def last_known(spark, sf):
-    table = stats.last_known(v.user_hourly(spark, sf), ("view", "click"), USER)
+    table = stats.last_known(v.user_hourly(spark, sf), v.VARIABLES, USER)
     return table.withColumn("last_ts", ts_text("last_ts"))
 
 
@@ -628,7 +652,7 @@ def last_known(spark, sf):
         v.READINGS, v.HOURLY,
         "long AS (" + " UNION ALL ".join(
             f"SELECT CAST(station AS VARCHAR) AS key, ts, '{c}' AS feature, \"{c}\" AS x FROM hourly"
-            for c in ("view", "click")
+            for c in v.VARIABLES
         ) + " UNION ALL SELECT o_orderpriority, o_orderdate, 'o_totalprice', o_totalprice FROM orders)",
         "SELECT key, feature, CAST(hour(ts) AS INTEGER) AS hour, CAST(month(ts) AS INTEGER) AS month, "
         + s6("avg(x)", "mean") + " FROM long GROUP BY ALL HAVING avg(x) IS NOT NULL",
@@ -638,7 +662,7 @@ def climatology(spark, sf):
     """Means by hour and month: hourly readings, and order values over all months."""
     hourly = v.hourly(spark, sf).withColumn("key", F.col("station").cast("string"))
     orders = v.table(spark, sf, "orders").withColumn("key", F.col("o_orderpriority"))
-    by_hour = stats.climatology(hourly, ("view", "click"), ("key",))
+    by_hour = stats.climatology(hourly, v.VARIABLES, ("key",))
     by_month = stats.climatology(orders, ("o_totalprice",), ("key",), "o_orderdate")
     return by_hour.unionByName(by_month).withColumn("mean", r6("mean"))
 

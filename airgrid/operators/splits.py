@@ -91,3 +91,8 @@ def stack_parts(*parts: DataFrame) -> DataFrame:
     for other in parts[1:]:
         stacked = stacked.unionByName(other)
     return stacked
+
+
+def stack_roles(split: DataFrame, *roles: str) -> DataFrame:
+    """The parts of one split on top of each other: the split is computed and read once."""
+    return split.filter(F.col("role").isin(*roles))

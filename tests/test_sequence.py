@@ -243,3 +243,59 @@ def test_correlations_in_one_scan(spark):
     order = frame.drop(columns="c0").std().sort_values(ascending=False).index[:5].tolist()
     assert [r["column"] for r in top] == order
     assert all(r["r"] == pytest.approx(want.loc["c0", r["column"]], abs=1e-9) for r in top)
+
+
+def test_rows_of_a_window_are_exchanged_once(spark, frame):
+    """The aligned table is read once for the windows, and only the exchange by block moves its rows."""
+    table = stored(frame)
+    plan = features.add_lags(table, "value")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "__block" in plan
+    assert plan.count("BroadcastHashJoin") == 1
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_row_windows_beyond_a_broadcast(spark, frame, expected, threshold):
+    """The same rows, positions and values whether the plan of the blocks is sent or joined."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        build = lambda w: features.lag_columns("value", (24,), w)
+        got = collected(
+            sequence.over_rows(frame, ["station"], "ts", 24, build, block_rows=700, keep_position=True)
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    series = expected.groupby("station")["value"]
+    same(got["value_lag_24h"], series.shift(24))
+    same(got["pos"], expected.groupby("station").cumcount() + 1)
+    same(got["n_rows"], expected.groupby("station")["ts"].transform("size"))
+
+
+def test_blocks_are_bounded(spark, frame):
+    """No block holds more than its rows, the rows looked back at, and two cells; one cell is in few blocks."""
+    celled = frame.withColumn("__cell", sequence.month_cell("ts"))
+    blocks = sequence.cell_blocks(celled, ["station"], 24, 1000)
+    assert blocks.agg(F.max(F.size("__blocks"))).first()[0] <= 2
+    rows = celled.join(blocks, ["station", "__cell"]).select("station", F.explode("__blocks").alias("b"))
+    largest = rows.groupBy("station", "b").count().agg(F.max("count")).first()[0]
+    assert largest <= 1000 + 24 + 2 * 744
+
+
+def test_stacked_roles_are_read_once(spark, frame):
+    split = splits.chronological_split(stored(frame))
+    both = splits.stack_roles(split, "fit", "val")
+    assert both.count() == split.filter("role <> 'test'").count()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    once = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == once.count("FileScan")
+
+
+def test_climatology_lookup_keeps_rows_of_a_hot_station(spark, frame, expected):
+    wide = stats.climatology_wide(frame, ["value"])
+    got = stats.lookup_climatology(frame, wide, ["value"]).toPandas()
+    assert len(got) == len(expected)
+    slots = [expected["station"], expected["ts"].dt.hour, expected["ts"].dt.month]
+    wanted = expected.assign(mean=expected.groupby(slots)["value"].transform("mean"))
+    got["ts"] = pd.to_datetime(got["ts"])
+    merged = got.merge(wanted, on=["station", "ts"])
+    same(merged["clim_value"], merged["mean"])
