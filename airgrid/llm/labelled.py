@@ -38,18 +38,16 @@ def training_rows(
     folds: int,
     held_out: int,
     most: int = MOST_ROWS,
-    longest: int | None = None,
 ) -> DataFrame:
     """(doc_id, text, label) of at most ``most`` labelled documents of each label.
 
     The ids of the lowest hashes outside the held-out fold; ids labelled both ways count as
-    the larger label. ``longest`` leaves out longer texts, to bound what training holds. The
-    labels' shares in the sample are not those of all rows; see ``label_totals``.
+    the larger label. The labels' shares in the sample are not those of all rows; see
+    ``label_totals``.
     """
     known = _known(labels, label, folds, held_out)
     parts = [
         known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         for value in (0, 1)
     ]
-    rows = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
-    return rows if longest is None else rows.where(F.char_length("text") <= longest)
+    return docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")

@@ -10,7 +10,8 @@ Learning. From a bounded sample of labelled texts, landmarks are drawn: words th
 in toxic texts, and ordinary words. The Nystroem map (kernel to the landmarks times the
 inverse root of the landmark kernel) gives features for a linear squared-hinge machine.
 Which word of a toxic text is to blame is not labelled; it is found by turns of fitting and
-picking the highest word of each toxic text, against the words of clean texts. A logistic
+picking the highest word of each toxic text, and others that many different toxic texts hold,
+against the words of clean texts. A logistic
 curve over the texts' highest values gives the score; there the sample's texts weigh as much
 as their label does among all training rows. As kernel, map and machine are linear
 in the triples, the model folds into one weight per triple (32,768 numbers), and scoring is one
@@ -39,10 +40,13 @@ from airgrid.llm.text import table
 
 FOLDS, HELD_OUT, DECIDE = 3, 1, 0.7
 SPAN, DECAY = 5, 0.8  # characters of a triple from first to last, and the decay per character
-SAMPLE, LONGEST = 1_500, 20_000  # texts of each label, characters of a text to learn from
+SAMPLE = 1_500  # texts of each label to learn from, whole
 LANDMARKS, ORDINARY, NEGATIVES = 320, 160, 15_000
 RANK = 256  # features kept of the Nystroem map
 TURNS, COST = 4, 10.0
+# A word may be to blame beside a higher one if it stands in this share of the toxic texts, and if to find
+# it in no clean text has a chance of at most exp(-SURE).
+COMMON, SURE = 0.05, 7.0
 STEMS = (3, 4, 5, 6, 7)
 PIECE = 1 << 20  # bytes of text scored at once, as every byte takes some ten numbers
 
@@ -195,14 +199,22 @@ def logistic(x: np.ndarray, y: np.ndarray, totals: tuple[int, int] | None = None
     weight = np.ones(len(y))
     if totals:
         weight = np.where(y == 1, totals[1] / n[1], totals[0] / n[0]) * len(y) / sum(totals)
-    scale = max(float(np.abs(x).max()), 1e-9)
+    scale = max(float(np.std(x)), 1e-9)
     a = np.column_stack([x / scale, np.ones(len(x))])
     beta = np.zeros(2)
+
+    def loss(b: np.ndarray) -> float:
+        v = a @ b
+        return float(weight @ (np.logaddexp(0, v) - soft * v)) + 5e-5 * float(b @ b)
+
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
         h = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-4 * np.eye(2)
         step = np.linalg.solve(h, a.T @ (weight * (soft - p)) - 1e-4 * beta)
-        beta = beta + np.clip(step, -5, 5)
+        now = loss(beta)
+        while np.abs(step).max() >= 1e-6 and loss(beta + step) > now:
+            step = step / 2  # a full step may overshoot where the labels are all but separate
+        beta = beta + step
         if np.abs(step).max() < 1e-6:
             break
     return float(beta[0] / scale), float(beta[1])
@@ -217,6 +229,9 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     seen = [Counter(), Counter()]
     for bag, k in zip(bags, y, strict=True):
         seen[k].update(bag)
+    kinds = Counter()  # copies of a text count once
+    for bag in {tuple(bag) for bag, k in zip(bags, y, strict=True) if k}:
+        kinds.update(bag)
     n = [(y == 0).sum(), (y == 1).sum()]
     # Prefixes stand for inflected forms in choosing landmarks.
     stems = [Counter(), Counter()]
@@ -258,6 +273,8 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     z_clean = np.concatenate([nystroem(clean[i : i + 1000]) for i in range(0, len(clean), 1000)])
     toxic_bags = [np.array([place[w] for w in bag], int) for bag, k in zip(bags, y, strict=True) if k and bag]
     order = np.array([blame(w) for w in mine])
+    held = np.array([kinds[w] for w in mine])
+    common = (held >= COMMON * len(toxic_bags)) & (held * np.log((n[0] + n[1]) / n[1]) >= SURE)
     del bags, stems, suspects, ordinary
     give_back()
     weights = np.zeros(1 << 15)
@@ -266,7 +283,8 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
         for bag in toxic_bags:
             rank = order[bag]
             enough = max(rank.max() - (0.5 if turn == 0 else 0.0), 0.0)
-            picked += [int(k) for k in bag[rank >= enough][:3]]
+            beside = bag[common[bag] & (rank >= (1.0 if turn == 0 else 0.0))]
+            picked += np.unique(np.concatenate([bag[rank >= enough][:3], beside])).tolist()
         if not picked:
             break
         z = np.concatenate([z_mine[picked], z_clean])
@@ -279,10 +297,23 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     del z_mine, z_clean, features
     give_back()
     model = ToxicModel(weights)
-    peak = np.concatenate([model.highest(*flat(texts[i : i + 16])) for i in range(0, len(texts), 16)])
+    peak = np.concatenate([model.highest(*flat(some)) for some in portions(texts)])
     return ToxicModel(weights, logistic(peak, y, totals))
 
 
+def portions(texts: list[str], limit: int = PIECE // 16) -> Iterator[list[str]]:
+    """The texts in a row, some ``limit`` characters at a time; a longer text stands alone."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > limit:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of some texts in a row, and where each begins."""
     parts = [t.encode() for t in texts]
@@ -292,7 +323,7 @@ def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def learn(docs: DataFrame, labels: DataFrame, folds=FOLDS, held_out=HELD_OUT, most=SAMPLE) -> ToxicModel:
     """A model from at most ``most`` labelled texts of each kind outside the held-out fold, weighed by all of them."""
-    rows = training_rows(docs, labels, "toxic", folds, held_out, most, LONGEST).collect()
+    rows = training_rows(docs, labels, "toxic", folds, held_out, most).collect()
     rows = sorted(rows, key=lambda r: (r["label"], r["text"] or ""))
     totals = label_totals(docs, labels, "toxic", folds, held_out)
     texts, toxic = [r["text"] or "" for r in rows], [r["label"] for r in rows]

@@ -553,3 +553,49 @@ def test_places_are_sums_of_blocks(spark):
     df = spark.createDataFrame([([int(x) for x in range(n)],) for n in (0, 1, 2, 7, 8, 9, 64, 65, 200)], "v array<int>")
     got = df.select("v", secrets.running(F.col("v"), 8).alias("s")).collect()
     assert all(r.s == [sum(r.v[:i]) for i in range(len(r.v))] for r in got)
+
+
+def test_toxicity_learns_every_insult_of_a_text_and_whole_texts(spark):
+    """Insults that always stand beside a more frequent one are learnt, from texts of any length."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("aeou", k=1) + rng.choices("lnrst", k=1) + rng.choices("aeou", k=2)) for _ in range(300)]
+    clean = [" ".join(rng.choices(words, k=40)) for _ in range(80)]
+    foul = [" ".join(rng.choices(words, k=40) + ["idiot"] + ["scumbag"] * (i % 3 == 0)) for i in range(80)]
+    foul[0] = " ".join(rng.choices(words, k=8000) + ["idiot", "scumbag"])
+    docs, labels = labelled(spark, clean, foul, "toxic")
+    model = toxicity.learn(docs, labels)
+    data, cuts = toxicity.flat(["the scumbag here", foul[0], clean[0]])
+    high = model.score(data, cuts)
+    assert high[0] >= 0.7 and high[1] >= 0.7 and high[2] < 0.7
+
+
+def test_logistic_curve_with_an_outlier():
+    """Labels that are all but separate, beside a value far out, still give a rising curve."""
+    x = np.array([0.1, 0.2, 0.15, 0.3, 2.0, 2.1, 1.9, 90.0])
+    y = np.array([0, 0, 0, 0, 1, 1, 1, 0])
+    slope, bias = toxicity.logistic(x[:-1], y[:-1])
+    assert slope * 2.0 + bias > 1 and slope * 0.2 + bias < -1
+    far = toxicity.logistic(x, y)
+    assert np.isfinite(far).all()
+
+
+def test_kernel_is_the_sum_over_shared_triples():
+    """Columns of two words multiply to the kernel of its definition."""
+    from itertools import combinations
+
+    def features(word):
+        codes = [toxicity.START, *(int(c) for c in toxicity.CODES[np.frombuffer(word.encode(), np.uint8)])]
+        out = Counter()
+        for a, b, c in combinations(range(len(codes)), 3):
+            if c - a < toxicity.SPAN:
+                out[codes[a], codes[b], codes[c]] += toxicity.DECAY ** (c - a + 1)
+        return out, len(codes)
+
+    words = ["idiot", "idxiot", "moron", "no", "banana"]
+    columns = toxicity.triple_table(words).astype(float)
+    for i, one in enumerate(words):
+        for j, two in enumerate(words):
+            (f, n), (g, m) = features(one), features(two)
+            size = toxicity.norms(np.array([n, m]))
+            expected = sum(v * g[t] for t, v in f.items()) / size[0] / size[1]
+            assert columns[:, i] @ columns[:, j] == pytest.approx(expected, rel=1e-4)
