@@ -23,7 +23,7 @@ are the repeats of one document.
 Rows that repeat an id and its text count as one document and each get its result. Rows of one
 id and different texts are documents of their own, in the order of the texts' hashes. A NULL id
 counts as lower than any other and names nothing: each such row is a document of its own, in the
-order of the rows as written. ``row`` tells documents of one id apart.
+order of the texts' hashes. ``row`` tells documents of one id apart.
 """
 
 from __future__ import annotations
@@ -64,6 +64,10 @@ class Method:
     piece: int
     naming: type = arrays.Ranges
 
+    def __post_init__(self) -> None:
+        if not 2 * self.reach + 2 <= self.length < 1 << _COUNT_BITS:
+            raise ValueError(f"a window has {2 * self.reach + 2} to {(1 << _COUNT_BITS) - 1} symbols")
+
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of ``width`` values from each place on; shorter by ``width - 1``."""
@@ -102,6 +106,8 @@ class Named:
         nothing = np.zeros(0, np.int64)
         if self.n < length:
             return nothing, nothing, nothing, nothing
+        if self.n >= 1 << _PLACE_BITS:
+            raise ValueError(f"a text has more than {(1 << _PLACE_BITS) - 1} symbols")
         place = np.arange(reach, self.n - reach + 1)
         order = (self.core(place) >> np.uint64(1 + _PLACE_BITS)) << np.uint64(_PLACE_BITS)
         plain = np.ones(self.n + 1, bool)
@@ -125,7 +131,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, row, text) of all rows; ``row`` is 0 where an id has one text, as most have.
 
     Ids of several texts, of which there are few, get the text's hash; rows without an id are
-    numbered and written, so that every reading sees the same numbers.
+    numbered in the order of their texts' hashes, whatever files they come from, and written, so
+    that every reading sees the same numbers. Which of two equal texts is first does not matter.
     """
     docs = docs.select("doc_id", "text")
     named = docs.where(F.col("doc_id").isNotNull())
@@ -134,9 +141,9 @@ def keyed(docs: DataFrame) -> DataFrame:
     several = stored(several.where("a <> b").select("of"), "repeat_ids")
     row = F.when(F.col("of").isNotNull(), text).otherwise(F.lit(0).cast("bigint"))
     named = named.join(several, F.col("doc_id") == F.col("of"), "left").select("doc_id", row.alias("row"), "text")
-    unnamed = docs.where(F.col("doc_id").isNull()).select(
-        "doc_id", F.monotonically_increasing_id().alias("row"), "text"
-    )
+    # The second key lets rows of one text go to several parts.
+    unnamed = docs.where(F.col("doc_id").isNull()).withColumn("nth", F.monotonically_increasing_id())
+    unnamed = unnamed.orderBy(text, "nth").select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     return named.unionByName(stored(unnamed, "repeat_unnamed"))
 
 

@@ -51,8 +51,6 @@ def keep_bytes(data: np.ndarray, offsets: np.ndarray):
 
 def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n, n_removed, spans, kept): bytes counted and removed, removed runs, kept bytes."""
-    if length < 2 * REACH + 2:
-        raise ValueError(f"a string has {2 * REACH + 2} bytes at least")
     return without_repeats(docs, Method(parse, length, REACH, PIECE), keep_bytes, "binary")
 
 

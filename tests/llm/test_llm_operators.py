@@ -599,3 +599,21 @@ def test_kernel_is_the_sum_over_shared_triples():
             size = toxicity.norms(np.array([n, m]))
             expected = sum(v * g[t] for t, v in f.items()) / size[0] / size[1]
             assert columns[:, i] @ columns[:, j] == pytest.approx(expected, rel=1e-4)
+
+
+def test_rows_without_an_id_do_not_depend_on_their_files(spark):
+    """The same of several NULL-id rows loses its passage however the rows are split; lengths out of range raise."""
+    shared = " ".join(f"s{i}" for i in range(25))
+    texts = [f"{shared} tail {i} " + " ".join(f"t{i}_{j}" for j in range(i)) for i in range(12)] + [shared, shared, None]
+    rows = [(None, t) for t in texts]
+
+    def result(some, parts):
+        docs = spark.createDataFrame(some, "doc_id bigint, text string").repartition(parts)
+        got = substring_dedup.remove_repeated_words(docs).collect()
+        return sorted((r.n, r.n_removed, r.kept) for r in got)
+
+    one = result(rows, 1)
+    assert result(rows[::-1], 5) == one and sum(r[1] == 0 for r in one) == 2
+    for wrong in (8, 40_000):
+        with pytest.raises(ValueError):
+            suffix_dedup.remove_repeated_bytes(corpus(spark, ["x"]), wrong)
