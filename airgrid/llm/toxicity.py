@@ -24,6 +24,7 @@ NULL ids are scored and are not held out. Other columns are no input.
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -174,14 +175,20 @@ class ToxicModel:
 
 def squared_hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Primal Newton steps for the linear squared-hinge machine; the last entry is the bias."""
-    z = np.column_stack([z, np.ones(len(z))])
-    beta = np.zeros(z.shape[1])
-    damp = np.full(z.shape[1], ridge)
+    width = z.shape[1] + 1
+    beta = np.zeros(width)
+    damp = np.full(width, ridge)
     damp[-1] = 1e-3
     for _ in range(20):
-        on = y * (z @ beta) < 1
-        zw = z[on] * weight[on, None]
-        new = np.linalg.solve(zw.T @ z[on] + np.diag(damp), zw.T @ y[on])
+        left, right = np.diag(damp), np.zeros(width)
+        for i in range(0, len(z), 1000):
+            part, sign, cost = z[i : i + 1000].astype(float), y[i : i + 1000], weight[i : i + 1000]
+            part = np.column_stack([part, np.ones(len(part))])
+            on = sign * (part @ beta) < 1
+            costly = part[on] * cost[on, None]
+            left += costly.T @ part[on]
+            right += costly.T @ sign[on]
+        new = np.linalg.solve(left, right)
         if np.abs(new - beta).max() < 1e-8:
             break
         beta = new
@@ -225,18 +232,29 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     y = np.array(toxic, int)
     if len(y) == 0 or y.min() == y.max():
         return ToxicModel(None)
-    bags = [sorted({w.lower().strip(".,;:!?") for w in t.split()} - {""}) for t in texts]
+    # Words of clean texts are counted text by text; only words of toxic texts are kept by text.
+    clean_texts = [t for t, k in zip(texts, y, strict=True) if not k]
+    bags = [bag_of(t) for t, k in zip(texts, y, strict=True) if k]
     seen = [Counter(), Counter()]
-    for bag, k in zip(bags, y, strict=True):
-        seen[k].update(bag)
+    for t in clean_texts:
+        seen[0].update(bag_of(t))
     kinds = Counter()  # copies of a text count once
-    for bag in {tuple(bag) for bag, k in zip(bags, y, strict=True) if k}:
+    for bag in {tuple(bag) for bag in bags}:
         kinds.update(bag)
+    for bag in bags:
+        seen[1].update(bag)
     n = [(y == 0).sum(), (y == 1).sum()]
-    # Prefixes stand for inflected forms in choosing landmarks.
+    # Prefixes stand for inflected forms in choosing landmarks; those of words no clean text has will do.
+    wanted = {w[:m] for w in seen[1] if w not in seen[0] for m in STEMS if len(w) >= m}
+
+    def stems_of(bag):
+        return {w[:m] for w in bag for m in STEMS if len(w) >= m} & wanted
+
     stems = [Counter(), Counter()]
-    for bag, k in zip(bags, y, strict=True):
-        stems[k].update({w[:m] for w in bag for m in STEMS if len(w) >= m})
+    for t in clean_texts:
+        stems[0].update(stems_of(bag_of(t)))
+    for bag in bags:
+        stems[1].update(stems_of(bag))
 
     def odds(c, w):
         return np.log((c[1][w] + 0.2) / (n[1] + 1)) - np.log((c[0][w] + 0.2) / (n[0] + 1))
@@ -244,8 +262,10 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
     def blame(w):
         return max([odds(seen, w), *(odds(stems, w[:m]) for m in STEMS if len(w) >= m)])
 
-    suspects = sorted(seen[1], key=lambda w: (-blame(w), -seen[1][w], w))
-    suspects = [w for w in suspects if len(w) >= 3 and not seen[0][w]]
+    bags = [[w for w in bag if w not in seen[0]] for bag in bags if bag]  # no word of a clean text is to blame
+    bags = [bag for bag in bags if bag]
+    mine = sorted({w for bag in bags for w in bag})
+    suspects = sorted((w for w in mine if len(w) >= 3), key=lambda w: (-blame(w), -seen[1][w], w))
     landmarks = suspects[:LANDMARKS]
     ordinary = sorted(seen[0], key=lambda w: (-seen[0][w], w))
     step = max(1, len(ordinary) // (ORDINARY // 2))
@@ -263,19 +283,18 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
         codes, owner = encode(words)
         return triple_sums(codes, owner, len(words), features)
 
-    bags = [[w for w in bag if not seen[0][w]] for bag in bags]  # no word of a clean text is to blame
-    mine = sorted({w for bag, k in zip(bags, y, strict=True) if k for w in bag})
     place = {w: i for i, w in enumerate(mine)}
     if not mine or not ordinary:
         return ToxicModel(None)
-    z_mine = np.concatenate([nystroem(mine[i : i + 1000]) for i in range(0, len(mine), 1000)])
     clean = ordinary[:NEGATIVES]
-    z_clean = np.concatenate([nystroem(clean[i : i + 1000]) for i in range(0, len(clean), 1000)])
-    toxic_bags = [np.array([place[w] for w in bag], int) for bag, k in zip(bags, y, strict=True) if k and bag]
+    z_clean = np.empty((len(clean), features.shape[1]), np.float32)
+    for i in range(0, len(clean), 1000):
+        z_clean[i : i + 1000] = nystroem(clean[i : i + 1000])
+    toxic_bags = [np.array([place[w] for w in bag], int) for bag in bags]
     order = np.array([blame(w) for w in mine])
     held = np.array([kinds[w] for w in mine])
     common = (held >= COMMON * len(toxic_bags)) & (held * np.log((n[0] + n[1]) / n[1]) >= SURE)
-    del bags, stems, suspects, ordinary
+    del bags, stems, seen, kinds, wanted, suspects, ordinary
     give_back()
     weights = np.zeros(1 << 15)
     for turn in range(TURNS):
@@ -287,20 +306,31 @@ def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = Non
             picked += np.unique(np.concatenate([bag[rank >= enough][:3], beside])).tolist()
         if not picked:
             break
-        z = np.concatenate([z_mine[picked], z_clean])
+        unique, again = np.unique(picked, return_inverse=True)
+        z = np.concatenate([nystroem([mine[i] for i in unique])[again], z_clean])
         sign = np.concatenate([np.ones(len(picked)), -np.ones(len(clean))])
         cost = np.where(sign > 0, COST * max(1.0, 0.02 * len(clean) / len(picked)), COST)
-        beta = squared_hinge(z.astype(float), sign, cost)
+        beta = squared_hinge(z, sign, cost)
         weights = features @ beta[:-1]
-        order = z_mine @ beta[:-1]
+        order = np.concatenate([triple_sums(*encode(w), len(w), weights) for w in thousands(mine)])
         del z
-    del z_mine, z_clean, features
+    del z_clean, features
     give_back()
     model = ToxicModel(weights)
     peak = np.concatenate([model.highest(*flat(some)) for some in portions(texts)])
     return ToxicModel(weights, logistic(peak, y, totals))
 
 
+def bag_of(text: str) -> list[str]:
+    """The words of a text, each once, without marks around them."""
+    return sorted({sys.intern(w.lower().strip(".,;:!?")) for w in text.split()} - {""})
+
+
+def thousands(words: list[str]) -> Iterator[list[str]]:
+    for i in range(0, len(words), 1000):
+        yield words[i : i + 1000]
+
+
 def portions(texts: list[str], limit: int = PIECE // 16) -> Iterator[list[str]]:
     """The texts in a row, some ``limit`` characters at a time; a longer text stands alone."""
     some, size = [], 0
