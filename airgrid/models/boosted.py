@@ -45,7 +45,7 @@ def rmse_curve(model: TreeModel, df: DataFrame) -> list[float]:
     def rows(batches) -> Iterator[pa.RecordBatch]:
         sums, n = np.zeros(len(model.trees)), 0
         for batch in batches:
-            x, y = trees._matrix(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
+            x, y = np.asfortranarray(trees._matrix(batch.column(0))), batch.column(1).to_numpy(zero_copy_only=False)
             margin = np.full(len(y), model.base)
             n += len(y)
             for t, tree in enumerate(model.trees):
@@ -248,7 +248,7 @@ def _validated(
         rows = rows.withColumn("parts", kept) if few else rows
         grown, coded = trees.grow(rows, targets, len(columns), params, min_train, allowed)
         best = [m.best + 1 if m.n_val else len(m.trees) for m in grown]
-        scores = trees.scored(coded, grown, [min(b, len(m.trees)) for b, m in zip(best, grown, strict=True)], len(columns))
+        scores = trees.scored(coded, grown, [min(b, len(m.trees)) for b, m in zip(best, grown, strict=True)])
         nothing = {"n": 0, "mae": None, "rmse": None, "r2": None}
         for (t, f), m, b in zip(models, grown, best, strict=True):
             enough = t not in few and m.n_train >= min_train

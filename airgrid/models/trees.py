@@ -1,6 +1,8 @@
 """Boosted regression trees, grown level by level, many models in lockstep.
 
-Feature values are coded once by quantile cuts and the coded rows are written. Each level of
+Feature values are coded once by quantile cuts and the coded rows are written, a record for a
+block of rows: the bytes of a column of codes, targets or margins lie together, so that reading a
+row costs a few bytes copied and not a value converted. Each level of
 a round is one Spark job for all models still growing: tasks sum gradients and rows per
 (model, node, feature, code), the sums meet by (model, node), and one best split per node
 comes back. The driver holds trees and splits, never rows; what a task sends grows with
@@ -35,9 +37,12 @@ from airgrid.tasks import in_tasks
 
 STORE_EVERY = 10
 TASK_ROWS = 1 << 15  # at least, where the table is read by every level's tasks
+BLOCK_ROWS, BLOCK_BYTES = 1 << 15, 1 << 22  # of one record at most
+FEW_BLOCKS = {"maxRecordsPerFile": 2}  # small files: a task takes as many as it can hold at once
 TASK_NODES = 64  # nodes whose sums meet in one task
 TRAIN, VALIDATE = 1, 2
 NODE_SLOTS = 1 << 16
+COLUMN_NODES = 128  # of a tree whose every inner node is compared with every row
 
 
 @dataclass(frozen=True)
@@ -62,6 +67,8 @@ class BoostParams:
 class Tree:
     """Nodes as arrays; a leaf has no children (-1) and carries its value, rate included.
 
+    Children come after their parent.
+
     ``x <= threshold`` goes left, and so does ``code <= cut``. ``count`` is the number of
     training rows the tree was grown from.
     """
@@ -79,7 +86,13 @@ class Tree:
         return sum(getattr(self, name).nbytes for name in FIELDS)
 
     def leaves(self, x: np.ndarray, limits: np.ndarray) -> np.ndarray:
-        """The node each row of ``x`` ends in; ``limits`` are cuts or thresholds."""
+        """The node each row of ``x`` ends in; ``limits`` are cuts or thresholds.
+
+        Small trees compare whole columns, inner node by inner node: fastest where ``x`` lies
+        in memory by columns.
+        """
+        if len(self.left) <= COLUMN_NODES:
+            return self._ends(x.T, limits.tolist()).astype(np.int64)
         node = np.zeros(len(x), np.int64)
         rows = np.arange(len(x))
         while True:
@@ -89,6 +102,24 @@ class Tree:
             below = x[rows, np.maximum(self.feature[node], 0)] <= limits[node]
             node = np.where(inner, np.where(below, self.left[node], self.right[node]), node)
 
+    def _ends(self, columns: np.ndarray, limits: list) -> np.ndarray:
+        """The last node of every row, from the last node up: a parent takes one of its children's.
+
+        Bits instead of branches: a comparison is a mask of no bits or all, and right ^ ((left ^ right) & mask)
+        is one of both.
+        """
+        ends: list = [np.uint8(i) for i in range(len(self.left))]
+        feature, left, right = self.feature.tolist(), self.left.tolist(), self.right.tolist()
+        for i in range(len(left) - 1, -1, -1):  # children come after their parent
+            if left[i] >= 0:
+                mask = np.negative((columns[feature[i]] <= limits[i]).view(np.uint8))
+                one, other = ends[left[i]], ends[right[i]]
+                mask &= one ^ other
+                mask ^= other
+                ends[i] = mask
+                ends[left[i]] = ends[right[i]] = None
+        return np.full(columns.shape[1], ends[0], np.uint8) if left[0] < 0 else ends[0]
+
 
 FIELDS = ("feature", "cut", "threshold", "left", "right", "value", "count")
 
@@ -111,6 +142,7 @@ class TreeModel:
         return len(self.trees)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
+        x = np.asfortranarray(x)
         out = np.full(len(x), self.base)
         for tree in self.trees:
             out += tree.value[tree.leaves(x, tree.threshold)]
@@ -184,16 +216,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(n, -1) if n else flat.reshape(0, 0)
 
 
-def _bytes_matrix(column: pa.Array, width: int) -> np.ndarray:
-    """A binary column of equal lengths as a matrix of bytes."""
-    n = len(column)
-    if not n:
-        return np.zeros((0, width), np.uint8)
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[n]].reshape(n, width)
+CODED = "n int, codes binary, y binary, parts binary, draw binary, margins binary"
 
 
-CODED = "codes binary, y array<double>, parts array<tinyint>, draw bigint, margins array<double>"
+def _blocks(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(codes, y, parts, draw, margins) of every record of a coded table; a line for each column."""
+    kinds = (np.uint8, np.float64, np.int8, np.int64, np.float64)
+    for batch in batches:
+        for i, n in enumerate(batch.column(0).to_pylist()):
+            codes, y, parts, draw, margins = (
+                np.frombuffer(batch.column(1 + k)[i].as_buffer(), kind) for k, kind in enumerate(kinds)
+            )
+            yield codes.reshape(-1, n), y.reshape(-1, n), parts.reshape(-1, n), draw, margins.reshape(-1, n)
+
+
+def _record(n: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """One record of a coded table."""
+    packed = [pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in columns]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([n], pa.int32()), *packed], ["n", "codes", "y", "parts", "draw", "margins"]
+    )
 
 
 # -- coded rows ------------------------------------------------------------------------
@@ -209,27 +251,38 @@ def quantile_cuts(rows: DataFrame, n_features: int, bins: int) -> tuple[list[np.
     return [np.unique(np.array(wide[f"c{i}"] or [], float)) for i in range(n_features)], wide["n"]
 
 
-def coded_rows(rows: DataFrame, cuts: list[np.ndarray], models: int, n_rows: int) -> DataFrame:
-    """(codes, y, parts, draw, margins) of rows (x, y, parts, draw), written; margins start at 0."""
+def _in_blocks(batches, most: int) -> Iterator[pa.Table]:
+    """The same rows in tables of ``most`` rows, the last one shorter."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        while n >= most:
+            table = pa.Table.from_batches(held)
+            yield table.slice(0, most).combine_chunks()
+            held = table.slice(most).to_batches()
+            n -= most
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def coded_rows(rows: DataFrame, cuts: list[np.ndarray], models: int, n_rows: int, targets: int) -> DataFrame:
+    """Blocks of (codes, y, parts, draw, margins) of rows (x, y, parts, draw), written; margins start at 0."""
+    width = len(cuts) + 8 * targets + models + 8 + 8 * models
+    most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // width))
 
     def code(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch.column(0))
-            n = len(x)
-            codes = np.empty((n, len(cuts)), np.uint8)
+        for block in _in_blocks(batches, most):
+            n = block.num_rows
+            x, y, parts = (_matrix(block.column(i).chunk(0)) for i in range(3))
+            draw = block.column(3).to_numpy()
+            codes = np.empty((len(cuts), n), np.uint8)
             for j, cut in enumerate(cuts):
-                codes[:, j] = np.searchsorted(cut, x[:, j], side="left")
-            width = pa.binary(len(cuts))
-            packed = pa.Array.from_buffers(width, n, [None, pa.py_buffer(codes.tobytes())])
-            zero = pa.ListArray.from_arrays(
-                pa.array(np.arange(n + 1, dtype=np.int32) * models), pa.array(np.zeros(n * models))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [packed.cast(pa.binary()), *batch.columns[1:], zero], ["codes", "y", "parts", "draw", "margins"]
-            )
+                codes[j] = np.searchsorted(cut, x[:, j], side="left")
+            yield _record(n, codes, y.T, parts.T.astype(np.int8), draw, np.zeros((models, n)))
 
     coded = in_tasks(rows.select("x", "y", "parts", "draw"), code, CODED)
-    return stored(coded.coalesce(1 + n_rows // TASK_ROWS), "coded_rows")
+    return stored(coded.coalesce(1 + n_rows // TASK_ROWS), "coded_rows", FEW_BLOCKS)
 
 
 # -- growing ---------------------------------------------------------------------------
@@ -303,50 +356,44 @@ def _new_node(value: float = 0.0, count: float = 0.0) -> dict:
     return {"feature": -1, "cut": -1, "threshold": 0.0, "left": -1, "right": -1, "value": value, "count": count}
 
 
-def _level_sums(plan: list[dict], n_features: int, bins: int, params: BoostParams, errors: bool) -> Callable:
+def _level_sums(plan: list[dict], bins: int, params: BoostParams, errors: bool) -> Callable:
     """The task side of a level: sums by (model, open node), and errors where asked for."""
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         sums = {p["number"]: np.zeros((len(p["open"]), 2, len(p["features"]), bins)) for p in plan}
         wrong = {p["number"]: np.zeros(6) for p in plan}
-        for batch in batches:
-            codes = _bytes_matrix(batch.column(0), n_features)
-            y = _matrix(batch.column(1))
-            draw = batch.column(3).to_numpy(zero_copy_only=False)
-            margins = _matrix(batch.column(4))
-            parts = _matrix(batch.column(2))
-            if not len(codes):
-                continue
+        for codes, y, parts, draw, margins in _blocks(batches):
             for p in plan:
                 m = p["number"]
-                part = parts[:, m]
-                mine = np.flatnonzero(part > 0) if errors else np.flatnonzero(
-                    (part == TRAIN) & drawn(draw, m, p["turn"], params.subsample, params.seed)
-                )
+                part = parts[m]
+                mine = np.flatnonzero(part > 0 if errors else part == TRAIN)
+                if not errors and len(mine):
+                    mine = mine[drawn(draw[mine], m, p["turn"], params.subsample, params.seed)]
                 if not len(mine):
                     continue
-                own = codes[mine]
-                margin = margins[mine, m] + p["base"]
+                own = codes.take(mine, axis=1)
+                margin = margins[m, mine] + p["base"]
                 for tree in p["new"]:
-                    margin += tree.value[tree.leaves(own, tree.cut)]
-                g = margin - y[mine, p["target"]]
+                    margin += tree.value[tree.leaves(own.T, tree.cut)]
+                g = margin - y[p["target"], mine]
                 if errors:
                     for k, which in enumerate((TRAIN, VALIDATE)):
                         e = g[part[mine] == which]
                         wrong[m][3 * k : 3 * k + 3] += len(e), e.sum(), (e * e).sum()
-                    used = (part[mine] == TRAIN) & drawn(draw[mine], m, p["turn"], params.subsample, params.seed)
-                    own, g = own[used], g[used]
-                if not p["open"] or not len(own):
+                    used = np.flatnonzero(part[mine] == TRAIN)
+                    used = used[drawn(draw[mine[used]], m, p["turn"], params.subsample, params.seed)]
+                    own, g = own.take(used, axis=1), g[used]
+                if not p["open"] or not len(g):
                     continue
-                node = p["tree"].leaves(own, p["tree"].cut)
-                slot = p["slot"][node]
-                inside = slot >= 0
-                own, g, slot = own[inside][:, p["features"]], g[inside], slot[inside]
-                width = len(p["features"])
-                at = ((slot[:, None] * width + np.arange(width)) * bins + own).ravel()
-                size = len(p["open"]) * width * bins
-                sums[m][:, 0] += np.bincount(at, np.repeat(g, width), size).reshape(-1, width, bins)
-                sums[m][:, 1] += np.bincount(at, minlength=size).reshape(-1, width, bins)
+                slot = p["slot"][p["tree"].leaves(own.T, p["tree"].cut)]
+                inside = np.flatnonzero(slot >= 0)
+                whole = len(inside) == len(slot)
+                slot, g = (slot, g) if whole else (slot[inside], g[inside])
+                start, size = slot * bins, len(p["open"]) * bins
+                for j, feature in enumerate(p["features"]):
+                    at = start + (own[feature] if whole else own[feature].take(inside))
+                    sums[m][:, 0, j] += np.bincount(at, g, size).reshape(-1, bins)
+                    sums[m][:, 1, j] += np.bincount(at, minlength=size).reshape(-1, bins)
         keys, packed = [], []
         for p in plan:
             m = p["number"]
@@ -387,7 +434,7 @@ def _splits(widths: dict[int, int], bins: int, params: BoostParams) -> Callable:
     return rows
 
 
-def _one_level(rows: DataFrame, models: list[Growing], columns: dict[int, np.ndarray], bins: int, n_features: int,
+def _one_level(rows: DataFrame, models: list[Growing], columns: dict[int, np.ndarray], bins: int,
                params: BoostParams, errors: bool, one_task: bool) -> dict[int, list[float]]:
     """One Spark job: the best split of every open node, by key; errors under -1 - model."""
     plan = []
@@ -402,7 +449,7 @@ def _one_level(rows: DataFrame, models: list[Growing], columns: dict[int, np.nda
             }
         )
     widths, n_open = {m.number: len(columns[m.number]) for m in models}, sum(len(m.open) for m in models)
-    sums, splits = _level_sums(plan, n_features, bins, params, errors), _splits(widths, bins, params)
+    sums, splits = _level_sums(plan, bins, params, errors), _splits(widths, bins, params)
     found = "key bigint, found array<double>"
     if one_task:  # its sums are whole
         met = in_tasks(rows, lambda batches: splits(sums(batches)), found)
@@ -434,23 +481,19 @@ def _apply(m: Growing, found: dict[int, list[float]], cuts: list[np.ndarray], co
     m.open = opened
 
 
-def _with_margins(rows: DataFrame, models: list[Growing], n_features: int) -> DataFrame:
+def _with_margins(rows: DataFrame, models: list[Growing]) -> DataFrame:
     """The rows with the margins of all trees so far, written."""
     new = {m.number: m.trees[m.since_store :] for m in models}
 
     def add(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = _bytes_matrix(batch.column(0), n_features)
-            margins = _matrix(batch.column(4)).copy()
+        for codes, y, parts, draw, margins in _blocks(batches):
+            margins = margins.copy()
             for number, trees in new.items():
                 for tree in trees:
-                    margins[:, number] += tree.value[tree.leaves(codes, tree.cut)]
-            n = len(codes)
-            width = margins.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(margins.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], lists], ["codes", "y", "parts", "draw", "margins"])
+                    margins[number] += tree.value[tree.leaves(codes.T, tree.cut)]
+            yield _record(len(draw), codes, y, parts, draw, margins)
 
-    out = stored(in_tasks(rows, add, CODED), "margins")
+    out = stored(in_tasks(rows, add, CODED), "margins", FEW_BLOCKS)
     for m in models:
         m.since_store = len(m.trees)
     return out
@@ -488,11 +531,11 @@ def grow(
     models = [Growing(target, number) for number, target in enumerate(targets)]
     if not models:
         return [], None
-    coded = whole = coded_rows(rows, cuts, len(models), n_rows)
+    coded = whole = coded_rows(rows, cuts, len(models), n_rows, max(targets) + 1)
     one_task = coded.rdd.getNumPartitions() == 1
     own = [np.array(a) for a in allowed] if allowed else [np.arange(n_features)] * len(models)
     every = {m.number: np.arange(n_features) for m in models}
-    first = _one_level(coded, models, every, params.bins, n_features, params, True, one_task)
+    first = _one_level(coded, models, every, params.bins, params, True, one_task)
     for m in models:
         n, g, _, n_val, _, _ = first.get(-1 - m.number, [0.0] * 6)
         m.n_train, m.n_val = int(n), int(n_val)
@@ -511,7 +554,7 @@ def grow(
             errors = level == 0 and turn > 0
             if not splitting:
                 break
-            found = _one_level(coded, splitting, columns, params.bins, n_features, params, errors, one_task)
+            found = _one_level(coded, splitting, columns, params.bins, params, errors, one_task)
             for m in splitting:
                 if errors:
                     _judge(m, found.get(-1 - m.number), params)
@@ -521,11 +564,11 @@ def grow(
         for m in growing:
             m.trees.append(grown_tree(m.nodes))
         if growing and len(growing[0].trees) - growing[0].since_store >= STORE_EVERY:
-            coded = _with_margins(coded, growing, n_features)
+            coded = _with_margins(coded, growing)
         if growing and len(growing[0].trees) >= params.rounds:
             for m in growing:
                 m.open, m.nodes = [], []
-            found = _one_level(coded, growing, columns, params.bins, n_features, params, True, one_task)
+            found = _one_level(coded, growing, columns, params.bins, params, True, one_task)
             for m in growing:
                 _judge(m, found.get(-1 - m.number), params)
             growing = []
@@ -534,7 +577,7 @@ def grow(
     return models, whole
 
 
-def scored(coded: DataFrame, models: list[Growing], kept: Sequence[int], n_features: int) -> dict[int, dict]:
+def scored(coded: DataFrame, models: list[Growing], kept: Sequence[int]) -> dict[int, dict]:
     """Per model n, mae, rmse and r2 on its validation rows, by its first ``kept`` trees.
 
     One pass; a task sends one row per model. Below two rows the scores are None.
@@ -543,20 +586,16 @@ def scored(coded: DataFrame, models: list[Growing], kept: Sequence[int], n_featu
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         sums = {number: np.zeros(5) for number, *_ in plan}
-        for batch in batches:
-            codes = _bytes_matrix(batch.column(0), n_features)
-            if not len(codes):
-                continue
-            y, parts = _matrix(batch.column(1)), _matrix(batch.column(2))
+        for codes, y, parts, _, _ in _blocks(batches):
             for number, target, base, trees in plan:
-                mine = np.flatnonzero(parts[:, number] == VALIDATE)
+                mine = np.flatnonzero(parts[number] == VALIDATE)
                 if not len(mine):
                     continue
-                own = codes[mine]
+                own = codes.take(mine, axis=1)
                 margin = np.full(len(mine), base)
                 for tree in trees:
-                    margin += tree.value[tree.leaves(own, tree.cut)]
-                actual = y[mine, target]
+                    margin += tree.value[tree.leaves(own.T, tree.cut)]
+                actual = y[target, mine]
                 e, centred = actual - margin, actual - base
                 sums[number] += len(mine), np.abs(e).sum(), (e * e).sum(), centred.sum(), (centred * centred).sum()
         yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +51,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+def stored(df: DataFrame, name: str = "stage", options: Mapping[str, object] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
     For tables that several later steps read: each of them would otherwise compute
@@ -59,5 +60,5 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

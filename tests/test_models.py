@@ -122,6 +122,42 @@ def test_trees_equal_the_definition(spark):
     assert again.predict(x) == pytest.approx(margin, abs=1e-9)
 
 
+def test_coded_rows_are_read_by_the_block(spark):
+    """A level reads a record per block, not one per row, and blocks of any length give the same trees."""
+    rng = np.random.default_rng(7)
+    rows = [([float(v) for v in rng.integers(0, 9, 3)], [float(rng.normal())], [1 + i % 2], i * 7919) for i in range(300)]
+    df = spark.createDataFrame(rows, "x array<double>, y array<double>, parts array<tinyint>, draw bigint").coalesce(1)
+    (whole,), coded = trees.grow(df, [0], 3, QUICK)
+    assert coded.count() == 1
+    most = trees.BLOCK_ROWS
+    try:
+        trees.BLOCK_ROWS = 70
+        (cut,), coded = trees.grow(df, [0], 3, QUICK)
+    finally:
+        trees.BLOCK_ROWS = most
+    assert sorted(r["n"] for r in coded.select("n").collect()) == [20, 70, 70, 70, 70]
+    assert cut.curves["val"] == pytest.approx(whole.curves["val"]) and len(whole.curves["val"]) == QUICK.rounds
+
+
+def test_columns_and_rows_walk_to_the_same_leaves():
+    rng = np.random.default_rng(8)
+    nodes, ends = [trees._new_node()], [0]
+    while len(nodes) < 61:
+        at = ends.pop(rng.integers(len(ends)))
+        nodes[at].update(feature=int(rng.integers(4)), threshold=float(rng.normal()), left=len(nodes), right=len(nodes) + 1)
+        ends += [len(nodes), len(nodes) + 1]
+        nodes += [trees._new_node(), trees._new_node()]
+    tree, x = trees.grown_tree(nodes), rng.normal(size=(400, 4))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    by_column, most = tree.leaves(x, tree.threshold), trees.COLUMN_NODES
+    try:
+        trees.COLUMN_NODES = 0
+        by_row = tree.leaves(x, tree.threshold)
+    finally:
+        trees.COLUMN_NODES = most
+    assert np.array_equal(by_column, by_row) and set(by_row) <= set(ends) and len(set(by_row)) > 5
+
+
 def test_regularised_leaves_and_saved_models(spark, fitted, tmp_path):
     model, rows = fitted
     strict = boosted.BoostParams(rounds=2, depth=3, rate=0.5, gamma=1e9)
