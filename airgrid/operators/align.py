@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.functions import values
 from airgrid.functions.labels import air_index
+from airgrid.session import stored
+
+TASK_NAMES = 8192
 
 
 def drop_unit_rows(
@@ -33,17 +36,18 @@ def unpivot_stations(
     return long.withColumn(name, F.upper(F.trim(name)))
 
 
-def _substrings(text: Column) -> Column:
-    """All distinct substrings, the empty one included."""
+def _substrings(text: Column, sizes: Sequence[int]) -> Column:
+    """All distinct substrings of the given lengths."""
     length = F.length(text)
+    fitting = F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda size: size <= length)
     pieces = F.transform(
-        F.sequence(F.lit(1), length),
-        lambda start: F.transform(
-            F.sequence(F.lit(1), length - start + 1),
-            lambda size: F.substring(text, start, size),
+        fitting,
+        lambda size: F.transform(
+            F.sequence(F.lit(1), length - size + 1),
+            lambda start: F.substring(text, start, size),
         ),
     )
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(pieces)))
+    return F.array_distinct(F.flatten(pieces))
 
 
 def match_station(
@@ -54,20 +58,26 @@ def match_station(
     ``headers`` lists station columns with their position, ``searches`` the names
     looked for. ``kind`` is ``exact``, ``partial`` or ``missing``. To contain a name
     is to have it among the substrings of a header; names are short, so the
-    substrings are listed, reduced to the first header each, and joined by equality.
+    substrings as long as some searched name are listed, reduced to the first header
+    each, and joined by equality. The distinct headers are dealt evenly, some
+    ``TASK_NAMES`` to a task, so that no task lists the substrings of more.
     """
-    wanted = searches.select(search).distinct().withColumn("__s", F.upper(F.trim(search)))
+    wanted = stored(searches.select(search).distinct().withColumn("__s", F.upper(F.trim(search))), "wanted")
+    sizes = [r["size"] for r in wanted.select(F.length("__s").alias("size")).distinct().dropna().collect()]
     names = (
         headers.select(F.trim(header).alias("__header"), F.col(position).alias("__at"))
         .withColumn("__s", F.upper("__header"))
         .filter(F.col("__s") != "")
     )
-    exact = names.groupBy("__s").agg(F.min_by("__header", "__at").alias("__exact"))
+    first = F.min_by("__header", "__at")
+    exact = stored(names.groupBy("__s").agg(first.alias("__header"), F.min("__at").alias("__at")), "names")
     partial = (
-        names.withColumn("__s", F.explode(_substrings(F.col("__s"))))
+        exact.repartition(1 + exact.count() // TASK_NAMES)
+        .withColumn("__s", F.explode(_substrings(F.col("__s"), sorted(sizes))))
         .groupBy("__s")
-        .agg(F.min_by("__header", "__at").alias("__partial"))
+        .agg(first.alias("__partial"))
     )
+    exact = exact.select("__s", F.col("__header").alias("__exact"))
     both = wanted.join(exact, "__s", "left").join(partial, "__s", "left")
     return both.select(
         search,

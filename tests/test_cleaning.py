@@ -94,6 +94,27 @@ def test_match_station(spark):
     }
 
 
+def test_match_station_lists_searched_lengths_only(spark):
+    """Of a header's substrings those of a searched length, the blank one included where it is searched."""
+    df = spark.createDataFrame([("ABAB",), ("",)], "name string")
+    listed = [sorted(r["s"]) for r in df.select(align._substrings(F.col("name"), [0, 2, 9]).alias("s")).collect()]
+    assert listed == [["", "AB", "BA"], [""]]
+    headers = spark.createDataFrame(
+        [("Norte 1", 3), ("norte 1", 1), ("Sur", None), ("Centro", 2), (None, 0), (" ", 4)], "name string, at int"
+    )
+    searches = spark.createDataFrame([("NORTE 1",), ("te",), ("r",), (" ",), ("sur",), (None,)], "search string")
+    few = align.TASK_NAMES
+    try:
+        align.TASK_NAMES = 1
+        got = align.match_station(searches, headers, "search", "name", "at").collect()
+    finally:
+        align.TASK_NAMES = few
+    assert {r["search"]: (r["matched"], r["kind"]) for r in got} == {
+        "NORTE 1": ("norte 1", "exact"), "te": ("norte 1", "partial"), "r": ("norte 1", "partial"),
+        " ": ("norte 1", "partial"), "sur": (None, "missing"), None: (None, "missing"),
+    }
+
+
 def test_alignment_is_outer_and_keeps_the_first_arrival(spark):
     t = dt.datetime(2020, 5, 1)
     rows = [
