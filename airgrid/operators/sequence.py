@@ -27,10 +27,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airgrid.session import stored
+from airgrid.session import broadcast_bytes, stored
 
 BLOCK_ROWS = 8192
 CELL_IDS = 65536
+SENT_ROWS = 1 << 18  # of facts that are broadcast
 
 Cell = Callable[[str], Column]
 
@@ -255,17 +256,32 @@ def with_known(
     return joined.select(*passed, *[value.alias(name) for name, value in found.items()])
 
 
+def _fits_broadcast(known: DataFrame) -> bool:
+    """Whether a written table may be broadcast: files no larger than Spark's threshold, and few rows.
+
+    Files hold sorted and repeated values in a small part of what the rows take in memory, so the
+    size of the files alone does not bound what the driver would hold.
+    """
+    size = F.struct("_metadata.file_path", "_metadata.file_size")
+    found = known.agg(F.count(F.lit(1)).alias("n"), F.collect_set(size).alias("files")).first()
+    limit = broadcast_bytes(known.sparkSession)
+    return found["n"] <= SENT_ROWS and sum(f["file_size"] for f in found["files"]) <= limit
+
+
 def join_per_key(
     df: DataFrame, facts: DataFrame, keys: Sequence[str], spread: str, salts: int = 16
 ) -> DataFrame:
     """Left-join one row of facts per key without a hot task and, if possible, a shuffle.
 
     The facts are written first, so that their size is known when the join is planned:
-    below ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts them and ``df``
-    stays where it is. Above it the join shuffles, with each key spread over ``salts``
-    tasks by ``spread``, a column that differs within a key; only the facts are copied.
+    up to ``SENT_ROWS`` rows and ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast, as
+    they are, and ``df`` stays where it is. Above that the join shuffles, with each key spread
+    over ``salts`` tasks by ``spread``, a column that differs within a key; only the facts are
+    copied, and the copies are never broadcast.
     """
     known = stored(facts, "facts")
+    if _fits_broadcast(known):
+        return df.join(F.broadcast(known), list(keys), "left")
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = known.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "__salt"], "left").drop("__salt")
+    return salted.join(copies.hint("merge"), [*keys, "__salt"], "left").drop("__salt")

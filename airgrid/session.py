@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -29,6 +30,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` as a number; below 0 nothing is broadcast."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", text).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airgrid.operators import features, fills, quality, sequence, splits, stats
-from airgrid.session import stored
+from airgrid.session import broadcast_bytes, stored
 
 START = dt.datetime(2019, 11, 3)
 
@@ -188,6 +188,34 @@ def test_join_per_key_keeps_all_rows(spark, frame):
     assert joined.filter("station = 'hot' and fact = 1").count() == 4000
 
 
+@pytest.mark.parametrize("threshold, most, broadcast", [("10MB", 1 << 18, 1), ("10MB", 2, 0), ("100b", 1 << 18, 0), ("-1", 1 << 18, 0)])
+def test_join_per_key_broadcasts_no_copies(spark, frame, monkeypatch, threshold, most, broadcast):
+    """Facts are broadcast as they are, few of them and only below the threshold; salted copies never."""
+    monkeypatch.setattr(sequence, "SENT_ROWS", most)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        facts = spark.createDataFrame([("hot", 1), ("a", 2), ("c", 3)], "station string, fact int")
+        joined = sequence.join_per_key(stored(frame), facts, ["station"], "ts")
+        assert joined.columns == [*frame.columns, "fact"]
+        got = {(r["station"], r["ts"]): r["fact"] for r in joined.collect()}
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {(r["station"], r["ts"]): {"hot": 1, "a": 2}.get(r["station"]) for r in frame.collect()}
+    assert plan.count("BroadcastHashJoin") == broadcast and plan.count("Generate") == 1 - broadcast
+
+
+def test_threshold_in_bytes(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, number in (("256k", 256 << 10), ("10MB", 10 << 20), ("10485760b", 10 << 20), ("7", 7), ("-1", -1), ("1g", 1 << 30)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert broadcast_bytes(spark) == number
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_unsorted_times_match_arrival_order(spark):
     rows = [("s", 70000 * i, START + dt.timedelta(hours=h)) for i, h in enumerate([0, 3, 1, 2, 2, 9, 8])]
     df = spark.createDataFrame(rows, "station string, arrival bigint, ts timestamp_ntz")
