@@ -303,6 +303,44 @@ def test_permutation_importance_moves_rows_once(fitted):
     assert got[(-1, 0)] == pytest.approx(own) and len(got) == 1 + 3 * 2
 
 
+def test_permutation_importance_scores_once(fitted):
+    """What comes back reads written sums: no block is scored a second time for the rows as they are."""
+    model, rows = fitted
+    test = rows.filter("role = 'test'")
+    table = importance.permutation_importance(model.model, test, ["x0", "x1", "x2"], ["station", "ts"], 2)
+    assert "MapInArrow" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("thresholds", [5, 400])
+def test_codes_compare_as_values(thresholds):
+    """Rows end in the same leaves by codes as by values: at a threshold, beside it, at NaN, in trees of any size."""
+    rng = np.random.default_rng(thresholds)
+    limits = rng.normal(size=thresholds).round(2)
+    leaf = dict(feature=-1, cut=-1, threshold=0.0, left=-1, right=-1, value=0.0, count=1.0)
+
+    def chain(n):  # every inner node has a leaf on its left
+        nodes = []
+        for i in range(n):
+            nodes += [{**leaf, "feature": i % 2, "threshold": rng.choice(limits), "left": 2 * i + 1, "right": 2 * i + 2},
+                      {**leaf, "value": rng.normal()}]
+        return trees.grown_tree([*nodes, {**leaf, "value": rng.normal()}])
+
+    model = trees.TreeModel(1.5, [chain(3), chain(30), chain(100), chain(0)])
+    x = np.concatenate([rng.choice(limits, (300, 3)), rng.normal(size=(100, 3)), np.full((1, 3), np.nan), np.zeros((1, 3))])
+    codes, cuts = importance.coded(model, x)
+    assert codes.dtype == (np.uint8 if thresholds == 5 else codes.dtype) and codes.shape == (3, 402)
+    for tree, cut in zip(model.trees, cuts, strict=True):
+        assert np.array_equal(tree.leaves(codes.T, cut), tree.leaves(x, tree.threshold))
+    y = rng.normal(size=402)
+    got = {(f, r): e for f, r, e in importance.variant_errors(model, x, y, 4, 3, 9)}
+    assert set(got) == {(-1, 0), *itertools.product(range(3), range(3))}
+    for (f, r), e in got.items():
+        other = x.copy()
+        if f >= 0:
+            other[:, f] = x[importance.shuffled(402, 4, f, r, 9), f]
+        assert e == pytest.approx(((y - model.predict(other)) ** 2).sum())
+
+
 def test_select_features(table):
     with_label = table.withColumn("extra", F.col("x0") * 0 + 1.0)
     chosen, listing = boosted.select_features(with_label, ["x2", "x1", "extra", "x0"], "PM25", n=2, trees=5)
